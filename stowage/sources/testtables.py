@@ -147,6 +147,115 @@ VIEWS: dict[str, str] = {
               FROM lineitem GROUP BY l_orderkey, l_suppkey) t
         JOIN orders ON o_orderkey = l_orderkey JOIN rses ON rse_id = l_suppkey
     """,
+    # nested containers: nation -> customer containers on top of ``contents``
+    "nested_contents": f"""
+        SELECT name, child_name, did_type, child_type FROM contents
+        UNION ALL
+        SELECT '/Nation' || CAST(c_nationkey AS STRING) || '/All-v1/RAW' AS name, {container_name('c_custkey')} AS child_name,
+               'C' AS did_type, 'C' AS child_type
+        FROM customer
+    """,
+    # --- two inventories per site: what a source lists and what the catalogue holds ------
+    "site_files": f"""
+        SELECT DISTINCT coalesce(region, 'X') || '_' || rse_type AS site, rse,
+               {block_name('o_custkey', 'l_orderkey')} AS block, {file_name('l_partkey')} AS name,
+               l_returnflag AS flag, l_linestatus AS status
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN rses ON rse_id = l_suppkey
+    """,
+    "source_files": "SELECT site, rse, block, name FROM site_files WHERE flag <> 'A'",
+    "catalogue_files": """
+        SELECT site, rse, block, name, CASE WHEN status = 'O' THEN 'A' ELSE 'U' END AS state
+        FROM site_files WHERE flag <> 'N' OR status = 'F'
+    """,
+    "source_blocks": "SELECT site, block, count(*) AS n_files FROM source_files GROUP BY site, block",
+    "catalogue_blocks": "SELECT site, block, count(*) AS n_files FROM catalogue_files GROUP BY site, block",
+    # rules of the sync accounts, some of them expiring
+    "sync_rules": """
+        SELECT row_key AS rule_id, name, 'D' AS did_type, 'sync_' || lower(rse) AS account, 'rse=' || rse AS rse_expression,
+               CASE WHEN available_length = 0 THEN 'later' END AS expires_at
+        FROM (SELECT name || '@' || rse AS row_key, name, rse, length, available_length, bytes FROM dataset_replicas) t
+        WHERE bytes > 1500000
+    """,
+    "storage_paths": "SELECT rse, name AS path FROM source_files",
+    "catalogue_paths": "SELECT rse, name AS path FROM catalogue_files",
+    # runs that saw a path on storage that the catalogue does not hold
+    "dark_history": f"""
+        SELECT DISTINCT coalesce(region, 'X') || '_' || rse_type AS rse, {file_name('l_partkey')} AS path, l_shipdate AS run_at
+        FROM lineitem JOIN rses ON rse_id = l_suppkey WHERE l_returnflag = 'N'
+    """,
+    "scan_totals": f"""
+        SELECT rse, count(*) * 40 AS files, max(run_at) AS last_run FROM dark_history GROUP BY rse
+    """,
+    # --- accounts ------------------------------------------------------------------------
+    "accounts": """
+        SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN 'team' || CAST(c_custkey AS STRING) || '_group'
+                    WHEN c_mktsegment = 'MACHINERY' THEN 'site' || CAST(c_custkey AS STRING) || '_local_users'
+                    WHEN c_mktsegment = 'FURNITURE' THEN 'team' || CAST(c_custkey AS STRING)
+                    ELSE 'u' || CAST(c_custkey AS STRING) END AS account,
+               CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE') THEN 'GROUP' ELSE 'USER' END AS account_type,
+               CASE WHEN c_acctbal > 1000 THEN 'mail' || CAST(c_custkey AS STRING) || '@example.org' END AS email,
+               c_custkey AS account_key, c_nationkey AS home
+        FROM customer
+    """,
+    "identities_now": """
+        SELECT account, CASE WHEN account_type = 'USER' THEN 'SUB=' || account ELSE '/DC=org/CN=' || account END AS identity,
+               CASE WHEN account_type = 'USER' THEN 'OIDC' ELSE 'X509' END AS authtype, email
+        FROM accounts
+        UNION ALL
+        SELECT account, '/DC=org/CN=old ' || account, 'X509', NULL FROM accounts WHERE email IS NULL
+    """,
+    "identities_wanted": """
+        SELECT account, '/DC=org/CN=' || account AS identity FROM accounts WHERE email IS NOT NULL
+    """,
+    "scopes": """
+        SELECT 'group.' || account AS scope FROM accounts WHERE account_type = 'GROUP' AND email IS NULL
+        UNION ALL SELECT 'user.' || account FROM accounts WHERE account_type = 'USER'
+    """,
+    "sync_accounts": "SELECT 'sync_' || lower(rse) AS account FROM rses WHERE availability_write",
+    "sync_attributes": """
+        SELECT 'sync_' || lower(rse) AS account, 'admin' AS key, CASE WHEN tier = 0 THEN 'True' ELSE 'true' END AS value
+        FROM rses WHERE weight_hint > 0
+    """,
+    # --- endpoint attributes --------------------------------------------------------------
+    "attributes_wanted": """
+        SELECT rse, 'tier' AS key, CAST(tier AS STRING) AS value FROM rses
+        UNION ALL SELECT rse, 'country', country FROM rses
+        UNION ALL SELECT rse, 'tape', CASE WHEN rse_type = 'TAPE' THEN '1' ELSE '0' END FROM rses
+        UNION ALL SELECT rse, rse, 'True' FROM rses
+    """,
+    "attributes_now": """
+        SELECT rse, 'tier' AS key, CASE WHEN weight_hint > 0 THEN CAST(tier AS STRING) ELSE '9' END AS value FROM rses
+        UNION ALL SELECT rse, 'country', country FROM rses WHERE availability_write
+        UNION ALL SELECT rse, 'tape', 'True' FROM rses
+        UNION ALL SELECT rse, rse, 'True' FROM rses WHERE weight_hint > -500
+        UNION ALL SELECT rse, site, 'True' FROM rses WHERE rse_type = 'TAPE'
+        UNION ALL SELECT rse, 'site_admins', 'u' || CAST(tier AS STRING) || ',u' || CAST(rse_id AS STRING) FROM rses
+        UNION ALL SELECT rse, 'site_capacity_manager', 'u1,u2,u' || CAST(rse_id AS STRING) FROM rses WHERE rse_type = 'DISK'
+    """,
+    "protocols_wanted": """
+        SELECT rse, scheme, read_priority, scheme || '://' || lower(rse) || ':' || CAST(1000 + read_priority AS STRING) AS definition
+        FROM (SELECT rse, 'root' AS scheme, 3 AS read_priority FROM rses
+              UNION ALL SELECT rse, 'davs', 1 FROM rses WHERE rse_type = 'DISK'
+              UNION ALL SELECT rse, 'srm', 2 FROM rses WHERE rse_type = 'TAPE'
+              UNION ALL SELECT rse, 'file', 4 FROM rses WHERE tier = 1) t
+    """,
+    "protocols_now": """
+        SELECT rse, scheme, CASE WHEN availability_write THEN 3 ELSE 5 END AS read_priority,
+               scheme || '://' || lower(rse) || ':' || CASE WHEN availability_write THEN '1003' ELSE '1094' END AS definition
+        FROM (SELECT rse, availability_write, 'root' AS scheme FROM rses WHERE tier > 0
+              UNION ALL SELECT rse, availability_write, 'gsiftp' FROM rses WHERE rse_type = 'TAPE'
+              UNION ALL SELECT rse, availability_write, 'file' FROM rses WHERE tier = 1 AND rse_type = 'DISK') t
+    """,
+    # --- snapshots of names: yesterday, today, archive of deleted names --------------------
+    "dids_old": """
+        SELECT scope, name, 'F' AS did_type, bytes FROM files WHERE brand <> 'Brand#1'
+    """,
+    "dids_new": """
+        SELECT scope, name, 'F' AS did_type, bytes FROM files WHERE brand NOT IN ('Brand#2', 'Brand#3')
+    """,
+    "dids_archive": """
+        SELECT scope, name, 'F' AS did_type, bytes FROM files WHERE brand IN ('Brand#1', 'Brand#3', 'Brand#4')
+    """,
 }
 
 
