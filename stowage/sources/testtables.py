@@ -256,6 +256,73 @@ VIEWS: dict[str, str] = {
     "dids_archive": """
         SELECT scope, name, 'F' AS did_type, bytes FROM files WHERE brand IN ('Brand#1', 'Brand#3', 'Brand#4')
     """,
+    # --- space, metrics, links -------------------------------------------------------------
+    "space_held": """
+        SELECT rse, tier, rse_type, weight_hint, CAST(sum(bytes) AS BIGINT) AS used,
+               CAST(sum(CASE WHEN state = 'B' THEN bytes ELSE 0 END) AS BIGINT) AS expired,
+               CAST(sum(CASE WHEN state = 'U' THEN bytes ELSE 0 END) AS BIGINT) AS unavailable
+        FROM (SELECT rse_id AS replica_rse, bytes, state FROM replicas) r JOIN rses ON rse_id = replica_rse
+        GROUP BY rse, tier, rse_type, weight_hint
+    """,
+    # no static figure for some, and less than what is held for others
+    "rse_usage": """
+        SELECT rse, 'used' AS source, used FROM space_held
+        UNION ALL SELECT rse, 'expired', expired FROM space_held
+        UNION ALL SELECT rse, 'unavailable', unavailable FROM space_held WHERE tier <> 3
+        UNION ALL SELECT rse, 'static',
+                         used * CASE tier WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END
+                         - CASE WHEN weight_hint > 5000 THEN 1000000 ELSE 0 END
+                  FROM space_held WHERE weight_hint > -500
+    """,
+    "rse_limits": "SELECT rse, CAST(round(weight_hint * 1000) AS BIGINT) AS min_free FROM rses WHERE weight_hint > 2000",
+    "weight_settings": """
+        SELECT rse, availability_write, CASE WHEN region = 'A' THEN '0.5' WHEN region = 'C' THEN '2' END AS coefficient,
+               rse_type, cms_type, tier
+        FROM rses
+    """,
+    "site_metrics": """
+        SELECT site AS name, ts, event_id, value AS disk_experiment_use,
+               CASE WHEN value < 20 THEN 0.0 ELSE value END AS disk_local_use, value * 3 AS tape_usable,
+               CASE event_type WHEN 'view' THEN 'enabled' WHEN 'click' THEN 'dependable' WHEN 'error' THEN 'blocked' END AS status
+        FROM (SELECT event_id, ts, value, event_type, user_id % (SELECT count(*) FROM supplier) AS k FROM events) e
+        JOIN rses ON rse_id = k
+    """,
+    "transfer_events": f"""
+        SELECT CASE WHEN event_type = 'error' THEN 'transfer-failed' ELSE 'transfer-done' END AS event_type,
+               src_rse, rse AS dst_rse, {file_name('event_id')} AS name, ts, value AS duration,
+               'r' || CAST(event_id AS STRING) AS request_id, 'TRANSFER [70] "' || event_type || '"' AS purged_reason
+        FROM (SELECT event_id, event_type, ts, value, rse AS src_rse, d
+              FROM (SELECT event_id, event_type, ts, value, user_id % (SELECT count(*) FROM supplier) AS s,
+                           event_id % (SELECT count(*) FROM supplier) AS d FROM events) e
+              JOIN rses ON rse_id = s) t
+        JOIN rses ON rse_id = d
+    """,
+    "links": "SELECT DISTINCT src_rse AS src, dst_rse AS dest FROM transfer_events",
+    "distances": """
+        SELECT src_rse AS src, dst_rse AS dest,
+               CASE WHEN max(duration) > 60 THEN NULL WHEN max(duration) > 30 THEN 13 ELSE 7 END AS distance
+        FROM transfer_events WHERE event_type = 'transfer-failed' GROUP BY src_rse, dst_rse
+    """,
+    # accounts with the endpoint of their home
+    "users": """
+        SELECT account, account_type, rse, site, country, region, account_key, email
+        FROM (SELECT account, account_type, account_key, email, account_key % (SELECT count(*) FROM supplier) AS k FROM accounts) a
+        JOIN rses ON rse_id = k
+    """,
+    "user_limits": """
+        SELECT account, rse, CAST(CASE WHEN account_type = 'USER' THEN 1000 ELSE 7000 END AS BIGINT) AS quota
+        FROM users WHERE email IS NOT NULL
+    """,
+    "managers": "SELECT lower(site) AS site, account AS login FROM users",
+    "local_accounts": """
+        SELECT lower(rse) || CASE WHEN tier = 1 THEN '_local_users' ELSE '_local' END AS account FROM rses WHERE availability_write
+        UNION ALL SELECT lower(rse) || '_local' FROM rses WHERE tier = 1
+    """,
+    "local_quotas": "SELECT lower(rse) || '_local_users' AS account, rse, CAST(5000 AS BIGINT) AS quota FROM rses",
+    "dataset_files": """
+        SELECT block AS dataset, name, bytes, events
+        FROM (SELECT name AS block, child_name AS file FROM contents WHERE did_type = 'D') c JOIN files ON name = file
+    """,
 }
 
 
