@@ -123,7 +123,7 @@ def job_result_json(logs: DataFrame) -> DataFrame:
 
     A log without such a line, or with one that is no list, gives one row with the error.
     """
-    lines = F.filter(F.transform(F.split("logs", r"\r\n|\n|\r"), F.trim), lambda x: x.startswith("["))
+    lines = F.filter(F.transform(F.split("logs", r"\r\n|\n|\r"), lambda x: F.trim(x)), lambda x: x.startswith("["))
     last = F.try_element_at(lines, F.lit(-1))
     parsed = logs.withColumn("_line", last).withColumn("_list", F.from_json("_line", RESULT_SCHEMA))
     error = F.when(F.col("_line").isNull(), "no result list in log").when(F.col("_list").isNull(), "result is not a list")

@@ -323,6 +323,76 @@ VIEWS: dict[str, str] = {
         SELECT block AS dataset, name, bytes, events
         FROM (SELECT name AS block, child_name AS file FROM contents WHERE did_type = 'D') c JOIN files ON name = file
     """,
+    # --- requests, jobs, integrity -----------------------------------------------------------
+    "inv_requests": f"""
+        SELECT o_orderkey AS id, 'q' || CAST(o_custkey AS STRING) AS request_id, {file_name('o_orderkey')} AS file_name,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'aborted' WHEN '2-HIGH' THEN 'failed' WHEN '3-MEDIUM' THEN 'queued'
+                    WHEN '4-NOT SPECIFIED' THEN 'success' ELSE CASE WHEN o_orderstatus = 'O' THEN 'parked' ELSE 'waiting_approval' END END AS status,
+               CASE o_orderstatus WHEN 'O' THEN 'global' WHEN 'F' THEN 'local' ELSE 'other' END AS mode,
+               CASE WHEN o_orderstatus = 'F' THEN 'T0_AA_S0' END AS rse,
+               o_orderpriority = '3-MEDIUM' AS dry_run, o_orderstatus = 'F' AND o_totalprice > 200000 AS last_replicas,
+               'Lost files CMSDM-' || CAST(o_custkey % 97 AS STRING) || ' and CMSPROD-' || CAST(o_custkey AS STRING)
+                   || CASE WHEN o_orderpriority = '1-URGENT' THEN ' - Request aborted by u' || CAST(o_orderkey AS STRING) ELSE '' END AS reason,
+               'file-invalidation-job-' || substr(md5(CAST(o_custkey AS STRING)), 1, 8) || '-x1' AS job_id,
+               'u' || CAST(o_custkey % 11 AS STRING) AS request_user,
+               CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'boss' END AS approve_user,
+               o_orderdate AS submitted_date
+        FROM orders
+    """,
+    "job_logs": f"""
+        SELECT 'j' || CAST(o_orderkey AS STRING) AS job,
+               CASE WHEN o_orderstatus = 'F' THEN 'start' || chr(10) || 'Would declare file ' || {file_name('o_orderkey')} || ' as bad at [X]' || chr(10)
+                         || 'Would invalidate file on DBS: ' || {file_name('o_custkey')} || chr(10)
+                         || 'Would invalidate dataset on DBS: ' || {file_name('o_custkey + 1')} || chr(10)
+                    WHEN o_orderstatus = 'O' THEN 'Declared file ' || {file_name('o_orderkey')} || ' as bad at [X]' || chr(10)
+                         || 'Declared file ' || {file_name('o_custkey')} || ' as bad at [X]' || chr(10)
+                         || 'Invalidation OK for file: ' || {file_name('o_orderkey')} || chr(10) || 'end'
+                    WHEN o_orderpriority = '1-URGENT' THEN 'Error running shell script: Declared file ' || {file_name('o_orderkey')} || ' as bad at'
+                    ELSE 'nothing to do' END AS logs
+        FROM orders
+    """,
+    "pods": """
+        SELECT 'job' || CAST(o_custkey AS STRING) AS job_name, 'pod' || CAST(o_orderkey AS STRING) AS pod,
+               CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS start_time, o_orderdate AS created_at, o_totalprice AS size
+        FROM orders
+    """,
+    # a few requests hold all rows
+    "int_replicas": f"""
+        SELECT DISTINCT 'i' || CAST(l_linenumber AS STRING) AS request_id, 'cms' AS scope, {file_name('l_partkey')} AS lfn,
+               CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN NULL ELSE 'T1_R' || CAST(l_suppkey AS STRING) END AS rse,
+               CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN NULL ELSE 'root://r' || CAST(l_suppkey AS STRING) || '/f' END AS pfn,
+               CASE WHEN l_returnflag = 'R' THEN 'OK' WHEN l_returnflag = 'A' THEN CASE WHEN l_linestatus = 'O' THEN 'CORRUPTED' ELSE 'OK' END
+                    WHEN l_linestatus = 'F' THEN 'pending' ELSE 'ERROR' END AS status
+        FROM lineitem
+    """,
+    "int_requests": """
+        SELECT DISTINCT 'i' || CAST(l_linenumber AS STRING) AS request_id,
+               CASE WHEN l_linenumber < 4 THEN 'u1' ELSE 'u2' END AS requested_by,
+               CASE WHEN l_linenumber = 7 THEN 'FAILED' ELSE 'COMPLETED' END AS status
+        FROM lineitem
+    """,
+    "int_checked": f"""
+        SELECT 'i' || CAST(l_linenumber AS STRING) AS request_id,
+               CASE WHEN max(l_linestatus) = 'O' THEN 'cms:' ELSE '' END || {file_name('l_partkey')} AS filename, {file_name('l_partkey')} AS lfn,
+               CASE WHEN max(l_discount) > 0.08 THEN 'no replicas' END AS error,
+               'T1_R' || CAST(max(l_suppkey) AS STRING) AS rse1, 'T2_R' || CAST(min(l_suppkey) AS STRING) AS rse2
+        FROM lineitem WHERE l_quantity > 20 GROUP BY l_linenumber, l_partkey
+    """,
+    # access paths tried in order; content is one byte so that its checksum has a closed form
+    "attempts": f"""
+        SELECT {file_name('l_partkey')} AS lfn, 'T1_S' || l_linestatus AS rse, l_orderkey * 100000 + l_suppkey AS pos,
+               'root://h' || CAST(l_orderkey AS STRING) || '/' || CAST(l_suppkey AS STRING) AS pfn, max(l_tax) > 0.05 AS copied,
+               max(l_returnflag) AS letter,
+               CASE WHEN l_linestatus = 'O' THEN CASE max(l_returnflag) WHEN 'A' THEN '00420042' WHEN 'N' THEN '004f004f' ELSE '00530053' END
+                    ELSE '004f004f' END AS adler32
+        FROM lineitem GROUP BY l_partkey, l_linestatus, l_orderkey, l_suppkey
+    """,
+    "submissions": f"""
+        SELECT 's' || CAST(o_custkey AS STRING) AS request_id,
+               CASE o_orderpriority WHEN '5-LOW' THEN '  ' WHEN '1-URGENT' THEN 'cms:' || {file_name('o_custkey')} ELSE {file_name('o_orderkey')} END
+               || CASE WHEN o_orderpriority = '2-HIGH' AND o_totalprice > 450000 THEN '.txt' ELSE '' END AS line
+        FROM orders
+    """,
 }
 
 
