@@ -73,9 +73,9 @@ def lfn_to_pfn_simple(path: Column | str, protocol: Column) -> Column:
     """
     lfn = lfn_from_path(path)
     field = protocol.getField
-    hits = F.filter(field("rules"), lambda r: lfn.rlike(F.concat(F.lit("^(?:"), r["path"], F.lit(")"))))
+    hits = F.filter(field("rules"), lambda r: F.rlike(lfn, F.concat(F.lit("^(?:"), r["path"], F.lit(")"))))
     hit = F.try_element_at(hits, F.lit(1))
-    by_rule = F.replace(hit["out"], F.lit("$1"), F.regexp_extract(lfn, hit["path"], F.lit(1)))
+    by_rule = F.replace(hit["out"], F.lit("$1"), F.call_function("regexp_extract", lfn, hit["path"], F.lit(1)))
     url = F.concat(
         field("scheme"), F.lit("://"), field("host"), F.lit(":"), field("port").cast("string"),
         F.coalesce(field("service_path"), F.lit("")), F.regexp_replace(field("prefix"), "/$", ""), lfn,
@@ -99,7 +99,7 @@ def _resolve(name: Column, rules: Column, proto: Column, depth: int) -> Column:
         before = F.when(rule["chain"].isNotNull(), chained).otherwise(state(acc["name"], F.lit(False), none))
 
         def apply(seen: Column) -> Column:
-            matched = seen["name"].rlike(F.concat(F.lit("^(?:"), rule["path"], F.lit(")")))
+            matched = F.rlike(seen["name"], F.concat(F.lit("^(?:"), rule["path"], F.lit(")")))
             done = state(F.regexp_replace(seen["name"], rule["path"], rule["out"]), F.lit(True), none)
             return (
                 F.when(seen["error"].isNotNull(), state(seen["name"], F.lit(False), seen["error"]))

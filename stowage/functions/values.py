@@ -40,14 +40,27 @@ def storage_verdict(size: Column, checksum: Column, want_size: Column, want_chec
     )
 
 
+def _two_decimals(q: Column) -> Column:
+    """Nearest multiple of 0.01 to the exact binary value, ties to even, for ``0 <= q < 2**20``.
+
+    The value is split so that 200 times each part is exact; the sign of what is left over
+    the midpoint then decides without rounding error.
+    """
+    low = F.floor(q * 100).cast("double")
+    head = F.floor(q * 65536.0).cast("double") / 65536.0
+    over = (head * 200.0 - (low * 2.0 + 1.0)) + (q - head) * 200.0
+    up = F.when(over > 0, 1.0).when(over < 0, 0.0).otherwise(F.pmod(low, F.lit(2.0)))
+    return (low + up) / 100.0
+
+
 def _human(size: Column, base: int) -> Column:
-    """Unit by comparison with exact powers; two decimals, ties to even."""
+    """Unit by comparison with exact powers; two decimals."""
     out = F.when(size == 0, F.lit("0B"))
     for i, unit in enumerate(SIZE_UNITS):
         if base**i > 2**63 - 1:
             break
         last = i + 1 >= len(SIZE_UNITS) or base ** (i + 1) > 2**63 - 1
-        text = F.concat(F.bround(size / F.lit(float(base**i)), 2).cast("string"), F.lit(" " + unit))
+        text = F.concat(_two_decimals(size / F.lit(float(base**i))).cast("string"), F.lit(" " + unit))
         out = out.when(F.lit(True) if last else size < F.lit(base ** (i + 1)), text)
     return F.when(size >= 0, out)
 

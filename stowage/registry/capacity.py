@@ -260,7 +260,7 @@ def _(c):
 @registered(
     "dataset_summary",
     """SELECT dataset, count(*) AS file_count, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(events) AS BIGINT) AS events,
-              CAST(round_even(sum(bytes) / CASE WHEN sum(bytes) < 1000000 THEN 1e3 WHEN sum(bytes) < 1000000000 THEN 1e6 ELSE 1e9 END, 2) AS VARCHAR)
+              CAST(CAST(printf('%.2f', sum(bytes) / CASE WHEN sum(bytes) < 1000000 THEN 1e3 WHEN sum(bytes) < 1000000000 THEN 1e6 ELSE 1e9 END) AS DOUBLE) AS VARCHAR)
               || CASE WHEN sum(bytes) < 1000000 THEN ' KB' WHEN sum(bytes) < 1000000000 THEN ' MB' ELSE ' GB' END AS size
        FROM dataset_files GROUP BY dataset""",
 )
