@@ -12,7 +12,17 @@ from ..sources.testtables import Catalogue, check_sql
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _CHECKS: dict[str, str] = {}
 
-FAMILIES = ("invalidation", "reconcile", "capacity", "placement", "requests", "functions", "containers")
+FAMILIES = (
+    "sources",
+    "invalidation",
+    "reconcile",
+    "capacity",
+    "placement",
+    "requests",
+    "functions",
+    "containers",
+    "traces",
+)
 
 
 def registered(name: str, sql: str | None = None):

@@ -343,7 +343,7 @@ VIEWS: dict[str, str] = {
         SELECT 'j' || CAST(o_orderkey AS STRING) AS job,
                CASE WHEN o_orderstatus = 'F' THEN 'start' || chr(10) || 'Would declare file ' || {file_name('o_orderkey')} || ' as bad at [X]' || chr(10)
                          || 'Would invalidate file on DBS: ' || {file_name('o_custkey')} || chr(10)
-                         || 'Would invalidate dataset on DBS: ' || {file_name('o_custkey + 1')} || chr(10)
+                         || 'Would invalidate dataset on DBS: ' || {file_name('(o_custkey + 1)')} || chr(10)
                     WHEN o_orderstatus = 'O' THEN 'Declared file ' || {file_name('o_orderkey')} || ' as bad at [X]' || chr(10)
                          || 'Declared file ' || {file_name('o_custkey')} || ' as bad at [X]' || chr(10)
                          || 'Invalidation OK for file: ' || {file_name('o_orderkey')} || chr(10) || 'end'

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.traces import access_traces
 from ..session import scratch_path
@@ -96,4 +97,4 @@ def run_once(stream: DataFrame, mode: str = "append", keys: list[str] | None = N
 
 
 def _with_batch(stream: DataFrame, mode: str):
-    return stream.schema if mode == "append" else stream.schema.add("batch", "bigint")
+    return stream.schema if mode == "append" else T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
