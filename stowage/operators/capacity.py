@@ -288,7 +288,7 @@ def blocks_in_container(contents: DataFrame, containers: DataFrame) -> DataFrame
     """Datasets of the listed containers; a name that is no container gives none."""
     return (
         contents.filter("did_type = 'C' AND child_type = 'D'")
-        .join(containers.select("name").distinct(), "name", "left_semi")
+        .join(containers.select("name"), "name", "left_semi")
         .select(F.col("name").alias("container"), F.col("child_name").alias("block"))
     )
 

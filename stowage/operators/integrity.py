@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import split_scope
-from .ranking import top_n_per_key
 
 OK, CORRUPTED, ERROR, PENDING = "OK", "CORRUPTED", "ERROR", "pending"
 STATES = (OK, CORRUPTED, ERROR, PENDING)
@@ -179,12 +178,19 @@ def integrity_upsert(old: DataFrame, results: DataFrame) -> DataFrame:
 # --- checks on content ---------------------------------------------------------------
 def first_good_pfn(attempts: DataFrame) -> DataFrame:
     """(lfn, rse, pos, pfn, copied, ...) -> the first copied path decides; if none was, the
-    last path with status ERROR."""
-    key = ["lfn", "rse"]
-    good = top_n_per_key(attempts.filter("copied"), key, [F.col("pos")], 1)
-    none = attempts.groupBy(*key).agg(F.max_by("pfn", "pos").alias("pfn"), F.bool_or("copied").alias("any"))
-    failed = none.filter("NOT any").drop("any").withColumn("status", F.lit(ERROR))
-    return good.drop("pos", "copied").unionByName(failed, allowMissingColumns=True)
+    last path with status ERROR.  One aggregate: a hot file sends one row per task."""
+    rest = [c for c in attempts.columns if c not in ("lfn", "rse", "pos", "copied")]
+    picked = attempts.groupBy("lfn", "rse").agg(
+        F.min_by(F.struct(*rest), F.when(F.col("copied"), F.col("pos"))).alias("good"),
+        F.max_by("pfn", "pos").alias("last"),
+    )
+    return picked.select(
+        "lfn",
+        "rse",
+        F.coalesce("good.pfn", "last").alias("pfn"),
+        *[F.col(f"good.{c}").alias(c) for c in rest if c != "pfn"],
+        F.when(F.col("good").isNull(), ERROR).alias("status"),
+    )
 
 
 def _adler(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -237,28 +243,38 @@ def chunk_checksum(chunks: DataFrame, sizes: DataFrame) -> DataFrame:
 ContentCheck = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
-def payload_check_job(
-    attempts: DataFrame,
-    content_check: ContentCheck | None = None,
-    content_schema: str = "lfn string, rse string, pfn string, status string",
-) -> DataFrame:
+def _check_with(content_check: ContentCheck | None):
+    """Checksum and content check in one pass, so content crosses to Python once and does
+    not come back."""
+    columns = ["lfn", "rse", "pfn", "status"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            computed = [None if c is None else f"{zlib.adler32(c):08x}" for c in frame["content"]]
+            fine = pd.Series(computed, index=frame.index, dtype="object") == frame["adler32"]
+            yield frame[~fine].assign(status=CORRUPTED)[columns]
+            good = frame[fine]
+            if content_check is None:
+                yield good.assign(status=OK)[columns]
+            elif len(good):
+                for out in content_check(iter([good[["lfn", "rse", "pfn", "content"]]])):
+                    yield out[columns]
+
+    return run
+
+
+def payload_check_job(attempts: DataFrame, contents: DataFrame, content_check: ContentCheck | None = None) -> DataFrame:
     """One row per file and endpoint: checksum first, content only if that is not wrong.
 
-    ``attempts`` is (lfn, rse, pos, pfn, copied, content, adler32).  ``content_check`` maps
-    frames of lfn, rse, pfn, content to lfn, rse, pfn, status.
+    ``attempts`` is (lfn, rse, pos, pfn, copied, adler32); ``contents`` (pfn, content).  The
+    path is chosen on the small table, and only chosen content is read.  ``content_check``
+    maps frames of lfn, rse, pfn, content to lfn, rse, pfn, status.
     """
-    decided = first_good_pfn(attempts)
-    failed = decided.filter(F.col("status") == ERROR).select("lfn", "rse", "pfn", "status")
-    copied = decided.filter(F.col("status").isNull()).drop("status")
-    summed = payload_checksum(copied.withColumn("_keep", F.col("content")))
-    fine = F.coalesce(F.col("computed") == F.col("adler32"), F.lit(False))
-    bad = summed.filter(~fine).select("lfn", "rse", "pfn", F.lit(CORRUPTED).alias("status"))
-    good = summed.filter(fine)
-    if content_check is None:
-        passed = good.select("lfn", "rse", "pfn", F.lit(OK).alias("status"))
-    else:
-        passed = good.select("lfn", "rse", "pfn", F.col("_keep").alias("content")).mapInPandas(content_check, content_schema)
-    return failed.unionByName(bad).unionByName(passed)
+    decided = first_good_pfn(attempts.select("lfn", "rse", "pos", "pfn", "copied", "adler32"))
+    failed = decided.filter("status IS NOT NULL").select("lfn", "rse", "pfn", "status")
+    chosen = decided.filter("status IS NULL").drop("status").join(contents.select("pfn", "content"), "pfn")
+    schema = "lfn string, rse string, pfn string, status string"
+    return failed.unionByName(chosen.mapInPandas(_check_with(content_check), schema))
 
 
 def non_root_results(lfns: DataFrame) -> DataFrame:
@@ -267,10 +283,17 @@ def non_root_results(lfns: DataFrame) -> DataFrame:
     return lfns.select("filename", F.when(~name.endswith(".root"), "The LFN provided is not a .root file.").alias("error"))
 
 
-def checksum_invalidations(attempts: DataFrame) -> DataFrame:
+def checksum_invalidations(attempts: DataFrame, contents: DataFrame) -> DataFrame:
     """Replicas to declare bad after a checksum pass: the first access path decides, and a
     path that could not be copied counts as not intact."""
-    first = top_n_per_key(attempts, ["lfn", "rse"], [F.col("pos")], 1)
-    summed = payload_checksum(first.select("lfn", "rse", "copied", "adler32", "content"))
-    intact = F.col("copied") & F.coalesce(F.col("computed") == F.col("adler32"), F.lit(False))
-    return summed.filter(~intact).select("lfn", "rse", F.lit("Checksum mismatch").alias("reason"))
+    first = attempts.groupBy("lfn", "rse").agg(F.min_by(F.struct("pfn", "copied", "adler32"), "pos").alias("f"))
+    first = first.select("lfn", "rse", "f.*")
+    copied = first.filter("copied").join(contents.select("pfn", "content"), "pfn")
+    bad = copied.mapInPandas(_check_with(None), "lfn string, rse string, pfn string, status string").filter(
+        F.col("status") == CORRUPTED
+    )
+    return (
+        bad.select("lfn", "rse")
+        .unionByName(first.filter("NOT copied").select("lfn", "rse"))
+        .withColumn("reason", F.lit("Checksum mismatch"))
+    )

@@ -74,7 +74,7 @@ def _rules_on(files: DataFrame, replicas: DataFrame, locks: DataFrame) -> DataFr
 
 def _members(names: DataFrame, contents: DataFrame, level: str) -> DataFrame:
     """Rows of container/dataset/file whose ``level`` column is listed in ``names``."""
-    wanted = names.select(F.col("name").alias(level)).distinct()
+    wanted = names.select(F.col("name").alias(level))
     return container_dataset_file(contents).join(wanted, level, "left_semi").filter(F.col("file").isNotNull())
 
 
@@ -87,8 +87,7 @@ def invalidate_containers(
     A file without any replica is left out of all four.
     """
     members = _members(names, contents, "container")
-    present = replicas.select("name").distinct()
-    files = members.select(F.col("file").alias("name")).distinct().join(present, "name", "left_semi")
+    files = members.select(F.col("file").alias("name")).distinct().join(replicas.select("name"), "name", "left_semi")
     return {
         "files": files,
         "replicas": replica_rse_list(replicas.join(files, "name", "left_semi")),
@@ -107,7 +106,7 @@ def invalidate_datasets(
         _members(names, contents, "dataset")
         .select(F.col("file").alias("name"))
         .distinct()
-        .join(replicas.select("name").distinct(), "name", "left_semi")
+        .join(replicas.select("name"), "name", "left_semi")
     )
     return {
         "files": files,
@@ -320,7 +319,7 @@ def tape_stat_summary(checked: DataFrame) -> DataFrame:
 # --- replicas of names ---------------------------------------------------------------
 def file_replicas(names: DataFrame, replicas: DataFrame) -> DataFrame:
     """Per listed file the sorted endpoints and the ``rse=state`` list."""
-    found = replicas.join(names.select("name").distinct(), "name", "left_semi")
+    found = replicas.join(names.select("name"), "name", "left_semi")
     return found.groupBy("name").agg(
         F.array_sort(F.collect_set("rse")).alias("rses"),
         F.array_sort(F.collect_set(F.concat_ws("=", "rse", "state"))).alias("states"),

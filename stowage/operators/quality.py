@@ -172,8 +172,9 @@ def integrity_submission_check(lines: DataFrame, limit: int = 20) -> DataFrame:
 
 def did_level_check(names: DataFrame) -> DataFrame:
     """Level of each request's names and whether they agree."""
+    level = did_level("name")
     return names.groupBy("request_id").agg(
-        F.min(did_level("name")).alias("level"), (F.count_distinct(did_level("name")) == 1).alias("same_level")
+        F.min(level).alias("level"), (F.min(level) == F.max(level)).alias("same_level")
     )
 
 
@@ -202,7 +203,9 @@ def unique_dataset_name(files: DataFrame, dataset: Column) -> DataFrame:
     named = files.withColumn("_dataset", dataset)
     return named.groupBy("upload_id").agg(
         F.min("_dataset").alias("dataset"),
-        ((F.count_distinct("_dataset") == 1) & (F.count("_dataset") == F.count(F.lit(1)))).alias("ok"),
+        F.coalesce(
+            (F.min("_dataset") == F.max("_dataset")) & (F.count("_dataset") == F.count(F.lit(1))), F.lit(False)
+        ).alias("ok"),
     )
 
 

@@ -47,7 +47,8 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
     if n <= threshold:
         return cut(df, keys)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)))
     return cut(cut(salted, [*keys, "_salt"]).drop("_salt"), keys)
 
 

@@ -78,7 +78,7 @@ def access_traces(
 
 def touch_traces(names: DataFrame, replicas: DataFrame) -> DataFrame:
     """One touch record as JSON per available replica of the listed files."""
-    held = replicas.filter("state = 'A'").join(names.select("name").distinct(), "name", "left_semi")
+    held = replicas.filter("state = 'A'").join(names.select("name"), "name", "left_semi")
     frame = F.struct(
         F.lit("touch").alias("eventType"),
         F.lit("DONE").alias("clientState"),

@@ -163,18 +163,19 @@ def _(c):
     return _matched(c).select("name", "rse", "kind")
 
 
-@registered(
-    "site_capacity_plan",
-    f"""WITH {_LATEST}, {_MATCH},
+_PLAN = f"""{_LATEST}, {_MATCH},
     v AS (SELECT hit.rse, kind, CASE WHEN kind = 'tape' THEN tape_usable * 1e12 ELSE disk_experiment_use * 1e12 + disk_local_use * 1e12 END AS new_static,
                  coalesce(u.used, 0) AS old_static, coalesce(l.min_free, 0) AS old_limit, p.tier
           FROM hit LEFT JOIN rse_usage u ON u.rse = hit.rse AND u.source = 'static' LEFT JOIN rse_limits l ON l.rse = hit.rse
-          JOIN rses p ON p.rse = hit.rse WHERE kind = 'tape' OR disk_experiment_use <> 0)
-    SELECT rse, kind, old_static, new_static, old_limit,
+          JOIN rses p ON p.rse = hit.rse WHERE kind = 'tape' OR disk_experiment_use <> 0),
+    plan AS (SELECT rse, kind, old_static, new_static, old_limit,
            CASE WHEN kind = 'disk' THEN CAST(floor(new_static * (CASE WHEN tier = 1 THEN 5.0 ELSE 10.0 END::DOUBLE / 100.0::DOUBLE)) AS BIGINT) END AS new_limit
-    FROM v WHERE new_static <> old_static OR (kind = 'disk' AND CAST(floor(new_static * (CASE WHEN tier = 1 THEN 5.0 ELSE 10.0 END::DOUBLE / 100.0::DOUBLE)) AS BIGINT) <> old_limit)""",
-)
-def _(c):
+    FROM v WHERE new_static <> old_static OR (kind = 'disk' AND CAST(floor(new_static * (CASE WHEN tier = 1 THEN 5.0 ELSE 10.0 END::DOUBLE / 100.0::DOUBLE)) AS BIGINT) <> old_limit))
+"""
+
+
+@registered("site_capacity_plan", f"WITH {_PLAN} SELECT * FROM plan")
+def capacity_plan(c):
     percents = c.rses.filter("tier = 1").select("rse", F.lit(5.0).alias("percent"))
     return cap.site_capacity_plan(_matched(c), c.rse_usage, c.rse_limits, percents)
 
@@ -241,17 +242,18 @@ def _availability(c):
     return cap.availability_plan(c.site_metrics.select("name", "ts", "status"), c.rses, skip, _occupancy(c))
 
 
-@registered(
-    "availability_plan",
-    f"""WITH {_WIDE}, {_OCC},
+_SWITCHES = f"""{_WIDE}, {_OCC},
     m AS (SELECT name, status FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ts DESC, status NULLS FIRST) AS rn FROM site_metrics) WHERE rn = 1),
     d AS (SELECT m.name, m.status, min(r.rse) AS rse FROM m JOIN rses r ON r.rse IN (m.name, m.name || '_Disk') GROUP BY m.name, m.status),
-    s AS (SELECT rse, status FROM d UNION ALL SELECT r.rse, m.status FROM m JOIN rses r ON r.rse = m.name || '_Tape')
-    SELECT s.rse, coalesce(status IN ('dependable', 'enabled'), false) AS availability_read,
+    s AS (SELECT rse, status FROM d UNION ALL SELECT r.rse, m.status FROM m JOIN rses r ON r.rse = m.name || '_Tape'),
+    sw AS (SELECT s.rse, coalesce(status IN ('dependable', 'enabled'), false) AS availability_read,
            coalesce(status IN ('dependable', 'enabled'), false) AND (contains(s.rse, '_Tape') OR coalesce(o.occupancy_ok, true)) AS availability_write,
            coalesce(status IN ('dependable', 'enabled'), false) AS availability_delete
-    FROM s LEFT JOIN o ON o.rse = s.rse JOIN rses r ON r.rse = s.rse WHERE r.cms_type <> 'test' AND s.rse NOT LIKE 'T3\\_%' ESCAPE '\\'""",
-)
+    FROM s LEFT JOIN o ON o.rse = s.rse JOIN rses r ON r.rse = s.rse WHERE r.cms_type <> 'test' AND s.rse NOT LIKE 'T3\\_%' ESCAPE '\\')
+"""
+
+
+@registered("availability_plan", f"WITH {_SWITCHES} SELECT * FROM sw")
 def _(c):
     return _availability(c)
 

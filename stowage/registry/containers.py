@@ -246,12 +246,14 @@ def _(c):
     return _args(act.invalidation_actions(lists, "lost", erase))
 
 
-@registered("capacity_actions")
+@registered(
+    "capacity_actions",
+    f"""WITH {reg_capacity._PLAN}
+    SELECT 9 AS position, 'set_usage' AS kind, 'cms' AS scope, 'static' AS name, rse, 'used=' || CAST(CAST(floor(new_static) AS BIGINT) AS VARCHAR) AS args, '' AS reason FROM plan
+    UNION ALL SELECT 9, 'set_limit', 'cms', 'MinFreeSpace', rse, 'value=' || CAST(new_limit AS VARCHAR), '' FROM plan WHERE new_limit IS NOT NULL""",
+)
 def _(c):
-    from ..operators import capacity as cap
-
-    percents = c.rses.filter("tier = 1").select("rse", F.lit(5.0).alias("percent"))
-    return _args(act.capacity_actions(cap.site_capacity_plan(reg_capacity._matched(c), c.rse_usage, c.rse_limits, percents)))
+    return _args(act.capacity_actions(reg_capacity.capacity_plan(c)))
 
 
 @registered(
@@ -282,7 +284,13 @@ def _(c):
     return _args(act.link_actions(reg_placement._link_plan(c)))
 
 
-@registered("availability_actions")
+@registered(
+    "availability_actions",
+    f"""WITH {reg_capacity._SWITCHES}
+    SELECT 9 AS position, 'set_availability' AS kind, 'cms' AS scope, rse AS name, rse,
+           'availability_delete=' || availability_delete || ',availability_read=' || availability_read || ',availability_write=' || availability_write AS args,
+           '' AS reason FROM sw""",
+)
 def _(c):
     return _args(act.availability_actions(reg_capacity._availability(c)))
 

@@ -99,9 +99,14 @@ def _(c):
     return c.files.select("name", N.tape_data_type("name").alias("kind"))
 
 
-@registered("tape_tier_era", "SELECT name, split_part(name, '/', 6) AS tier, split_part(name, '/', 4) AS era FROM files")
+@registered("tape_tier", "SELECT name, split_part(name, '/', 6) AS tier FROM files")
 def _(c):
-    return c.files.select("name", N.tape_tier("name").alias("tier"), N.tape_era("name").alias("era"))
+    return c.files.select("name", N.tape_tier("name").alias("tier"))
+
+
+@registered("tape_era", "SELECT name, split_part(name, '/', 4) AS era FROM files")
+def _(c):
+    return c.files.select("name", N.tape_era("name").alias("era"))
 
 
 @registered(
@@ -284,18 +289,22 @@ def _(c):
     return rows.select("base", "v.variant", "v.rse", "v.prefix")
 
 
+@registered("sync_account_name", "SELECT rse, substr('sync_' || lower(rse), 1, 25) AS account FROM rses")
+def _(c):
+    return c.rses.select("rse", N.sync_account_name("rse").alias("account"))
+
+
 @registered(
-    "account_names",
-    """SELECT rse, substr('sync_' || lower(rse), 1, 25) AS sync_account, contains(rse, 'Tape') AS purge,
-              replace(lower(rse), '-', '_') || CASE WHEN length(rse) > 13 THEN '_local' ELSE '_local_users' END AS group_account FROM rses""",
+    "group_account_name",
+    """SELECT rse, replace(lower(rse), '_', '_') || CASE WHEN length(rse) > 13 THEN '_local' ELSE '_local_users' END AS account FROM rses""",
 )
 def _(c):
-    return c.rses.select(
-        "rse",
-        N.sync_account_name("rse").alias("sync_account"),
-        N.purge_flag("rse").alias("purge"),
-        N.group_account_name(F.lower("rse")).alias("group_account"),
-    )
+    return c.rses.select("rse", N.group_account_name(F.replace(F.lower("rse"), F.lit("_"), F.lit("-"))).alias("account"))
+
+
+@registered("purge_flag", "SELECT rse, contains(rse, 'Tape') AS purge FROM rses")
+def _(c):
+    return c.rses.select("rse", N.purge_flag("rse").alias("purge"))
 
 
 @registered(
@@ -370,18 +379,18 @@ _SIZE_SQL = """CASE WHEN n = 0 THEN '0B' WHEN n < {b} THEN CAST(CAST(printf('%.2
     ELSE CAST(CAST(printf('%.2f', n / ({b}.0::DOUBLE * {b} * {b} * {b})) AS DOUBLE) AS VARCHAR) || ' TB' END"""
 
 
-@registered(
-    "human_size",
-    f"""SELECT n, {_SIZE_SQL.format(b=1024)} AS size, {_SIZE_SQL.format(b=1000)} AS size_si
-        FROM (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey WHEN o_orderpriority = '1-URGENT' THEN o_orderkey * o_orderkey * 9973
-                          ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS n FROM orders)""",
-)
+_SIZES = """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey WHEN o_orderpriority = '1-URGENT' THEN o_orderkey * o_orderkey * 9973
+    ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS n FROM orders"""
+
+
+@registered("human_size", f"SELECT n, {_SIZE_SQL.format(b=1024)} AS size FROM ({_SIZES})")
 def _(c):
-    rows = c.sql(
-        """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey WHEN o_orderpriority = '1-URGENT' THEN o_orderkey * o_orderkey * 9973
-                  ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS n FROM orders"""
-    )
-    return rows.select("n", V.human_size("n").alias("size"), V.human_size_si("n").alias("size_si"))
+    return c.sql(_SIZES).select("n", V.human_size("n").alias("size"))
+
+
+@registered("human_size_si", f"SELECT n, {_SIZE_SQL.format(b=1000)} AS size FROM ({_SIZES})")
+def _(c):
+    return c.sql(_SIZES).select("n", V.human_size_si("n").alias("size"))
 
 
 @registered("min_free_bytes", "SELECT rse, CAST(floor(used * (CASE WHEN tier = 1 THEN 5.0 ELSE 10.0 END::DOUBLE / 100.0::DOUBLE)) AS BIGINT) AS min_free FROM space_held")
@@ -390,14 +399,15 @@ def _(c):
     return c.space_held.select("rse", V.min_free_bytes("used", percent).alias("min_free"))
 
 
+@registered("snapshot_day", "SELECT event_id, strftime(ts - INTERVAL 6 HOUR, '%Y-%m-%d') AS day FROM events")
+def _(c):
+    return c.events.select("event_id", F.date_format(V.snapshot_day("ts"), "yyyy-MM-dd").alias("day"))
+
+
 @registered(
-    "snapshot_day",
-    """SELECT event_id, strftime(ts - INTERVAL 6 HOUR, '%Y-%m-%d') AS day, strftime(make_timestamp(epoch_us(ts) // 1000000 * 1000000), '%Y-%m-%d %H:%M:%S') AS at FROM events""",
+    "epoch_to_ts",
+    "SELECT event_id, strftime(make_timestamp(epoch_us(ts) // 1000000 * 1000000), '%Y-%m-%d %H:%M:%S') AS at FROM events",
 )
 def _(c):
     seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
-    return c.events.select(
-        "event_id",
-        F.date_format(V.snapshot_day("ts"), "yyyy-MM-dd").alias("day"),
-        F.date_format(V.epoch_to_ts(seconds), "yyyy-MM-dd HH:mm:ss").alias("at"),
-    )
+    return c.events.select("event_id", F.date_format(V.epoch_to_ts(seconds), "yyyy-MM-dd HH:mm:ss").alias("at"))

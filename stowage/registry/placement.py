@@ -116,7 +116,7 @@ def _(c):
 
 
 @registered(
-    "site_list",
+    "cric_site_list",
     """SELECT site, upper(site) AS facility, tier, country, site <> upper(site) AS name_mismatch
        FROM (SELECT DISTINCT site, tier, country FROM rses)""",
 )

@@ -297,7 +297,7 @@ def _reject_r(frames):
     UNION ALL SELECT lfn, rse, arg_max(pfn, pos), 'ERROR' FROM attempts GROUP BY 1, 2 HAVING NOT bool_or(copied)""",
 )
 def _(c):
-    return itg.payload_check_job(_content(c), _reject_r)
+    return itg.payload_check_job(c.attempts, _content(c), _reject_r)
 
 
 @registered(
@@ -306,7 +306,7 @@ def _(c):
         WHERE n = 1 AND NOT (copied AND {_SUM} = adler32)""",
 )
 def _(c):
-    return itg.checksum_invalidations(_content(c))
+    return itg.checksum_invalidations(c.attempts, _content(c))
 
 
 _ADLER = """

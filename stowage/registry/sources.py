@@ -63,15 +63,14 @@ def _(c):
     "SELECT rse, site, unnest(['root', 'davs']) AS protocol, unnest([tier, tier + 1]) AS prio FROM rses",
 )
 def _(c):
+    # one document per site, a list of its few endpoints, each in its own file
     path = scratch_path(c.spark, "json")
     proto = lambda name, prio: F.struct(F.lit(name).alias("protocol"), prio.alias("prio"))
-    c.rses.select("rse", "site", F.array(proto("root", F.col("tier")), proto("davs", F.col("tier") + 1)).alias("protocols")).select(
-        F.to_json(F.struct("rse", "site", "protocols")).alias("value")
-    ).repartition(4).write.text(path)
-    # one document per line here; whole-file documents are read with json_list_scan
+    entry = F.struct("rse", "site", F.array(proto("root", F.col("tier")), proto("davs", F.col("tier") + 1)).alias("protocols"))
+    docs = c.rses.withColumn("folder", F.col("site")).groupBy("folder").agg(F.to_json(F.collect_list(entry)).alias("value"))
+    docs.write.partitionBy("folder").text(path)
     schema = "rse string, site string, protocols array<struct<protocol:string,prio:bigint>>"
-    docs = c.spark.read.schema(schema).json(path)
-    return docs.select("rse", "site", F.inline("protocols"))
+    return ls.json_list_scan(c.spark, path, schema).select("rse", "site", F.inline("protocols"))
 
 
 @registered("list_sink_text", "SELECT DISTINCT child_name AS name FROM contents WHERE did_type = 'D'")
@@ -120,3 +119,10 @@ def _(c):
 )
 def _(c):
     return ls.did_glob(c.contents.select("name", "did_type").distinct(), "/C1*/Era?-v1/*", "container")
+
+
+@registered("list_sink_csv", "SELECT DISTINCT name, did_type FROM contents WHERE did_type = 'C'")
+def _(c):
+    path = scratch_path(c.spark, "sink")
+    ls.list_sink_csv(c.contents.filter("did_type = 'C'").select("name", "did_type"), path)
+    return ls.csv_list_scan(c.spark, path, ["name", "did_type"])

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 def did_list_scan(spark: SparkSession, path: str) -> DataFrame:
     """Text of one name per line: trimmed, blank lines dropped."""
-    name = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
+    name = F.regexp_replace("value", r"^\s+|\s+$", "")
     return spark.read.text(path).select(name.alias("name")).filter("name <> ''")
 
 

@@ -381,7 +381,8 @@ VIEWS: dict[str, str] = {
     # access paths tried in order; content is one byte so that its checksum has a closed form
     "attempts": f"""
         SELECT {file_name('l_partkey')} AS lfn, 'T1_S' || l_linestatus AS rse, l_orderkey * 100000 + l_suppkey AS pos,
-               'root://h' || CAST(l_orderkey AS STRING) || '/' || CAST(l_suppkey AS STRING) AS pfn, max(l_tax) > 0.05 AS copied,
+               'root://h' || CAST(l_orderkey AS STRING) || l_linestatus || '/' || CAST(l_suppkey AS STRING)
+                   || {file_name('l_partkey')} AS pfn, max(l_tax) > 0.05 AS copied,
                max(l_returnflag) AS letter,
                CASE WHEN l_linestatus = 'O' THEN CASE max(l_returnflag) WHEN 'A' THEN '00420042' WHEN 'N' THEN '004f004f' ELSE '00530053' END
                     ELSE '004f004f' END AS adler32

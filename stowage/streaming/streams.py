@@ -27,8 +27,8 @@ def read_stream(spark: SparkSession, folder: str, name: str, schema: str) -> Dat
 def access_traces_stream(reports: DataFrame, **options) -> DataFrame:
     """Traces without the repeats that overlapping polls bring.
 
-    ``reports`` has a report id and an event time ``ts``; a repeat of (report, file) within
-    the look-back is dropped, and its state is let go after it.
+    ``reports`` has a ``report_id`` and an event time ``ts``; a repeat of a report within the
+    look-back is dropped before it is exploded, and its state is let go after it.
     """
     once = (
         reports.withWatermark("ts", TRACE_LOOKBACK).dropDuplicatesWithinWatermark(["report_id"])
