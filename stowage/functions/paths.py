@@ -99,8 +99,10 @@ def _resolve(name: Column, rules: Column, proto: Column, depth: int) -> Column:
         before = F.when(rule["chain"].isNotNull(), chained).otherwise(state(acc["name"], F.lit(False), none))
 
         def apply(seen: Column) -> Column:
-            matched = F.rlike(seen["name"], F.concat(F.lit("^(?:"), rule["path"], F.lit(")")))
-            done = state(F.regexp_replace(seen["name"], rule["path"], rule["out"]), F.lit(True), none)
+            # anchored, so that a pattern like (.*) is put in once and not again at the end
+            pattern = F.concat(F.lit("^(?:"), rule["path"], F.lit(")"))
+            matched = F.rlike(seen["name"], pattern)
+            done = state(F.regexp_replace(seen["name"], pattern, rule["out"]), F.lit(True), none)
             return (
                 F.when(seen["error"].isNotNull(), state(seen["name"], F.lit(False), seen["error"]))
                 .when(matched, done)
@@ -126,14 +128,19 @@ def lfn_to_pfn_chain(name: Column | str, rules: Column, proto: Column | str, dep
     return F.struct(F.when(error.isNull(), out["name"]).alias("pfn"), error.alias("error"))
 
 
-def lfn_to_path(name: Column | str, pfn: Column, scheme: Column, base: Column) -> Column:
-    """Path to hand to the storage: a URL as it is, else the rule's result without the
-    protocol part and (except for ``root``) without double slashes; ``/name`` where there
-    are no rules (``pfn`` null)."""
+def lfn_to_path(name: Column | str, pfn: Column, scheme: Column, base: Column, strip_own: bool = False) -> Column:
+    """Path to hand to the storage: the rule's result without the protocol part ``base`` and
+    (except for ``root``) without double slashes; ``/name`` where there are no rules
+    (``pfn`` null).
+
+    A result that is a URL stays as it is; with ``strip_own`` only one of another place
+    does, and one that begins with ``base`` is cut to its path.
+    """
     rest = F.replace(pfn, base, F.lit(""))
+    url = pfn.rlike(r"^\w+://")
     return (
         F.when(pfn.isNull(), F.regexp_replace(F.concat(F.lit("/"), _c(name)), "/+", "/"))
-        .when(pfn.rlike(r"^\w+://"), pfn)
+        .when(url & ~pfn.startswith(base) if strip_own else url, pfn)
         .when(scheme == "root", rest)
         .otherwise(F.regexp_replace(rest, "/+", "/"))
     )

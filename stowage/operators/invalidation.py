@@ -66,18 +66,22 @@ def replica_rse_list(replicas: DataFrame) -> DataFrame:
 
 
 # --- invalidation lists --------------------------------------------------------------
-def _rules_on(files: DataFrame, replicas: DataFrame, locks: DataFrame) -> DataFrame:
-    """Distinct (rule, endpoint) of locks on existing replicas of ``files``."""
-    held = locks.join(files.select("name"), "name", "left_semi")
-    return held.join(replicas.select("name", "rse"), ["name", "rse"], "left_semi").select("rule_id", "rse").distinct()
-
-
 def _members(names: DataFrame, contents: DataFrame, level: str) -> DataFrame:
     """Rows of container/dataset/file whose ``level`` column is listed in ``names``."""
     wanted = names.select(F.col("name").alias(level))
     return container_dataset_file(contents).join(wanted, level, "left_semi").filter(F.col("file").isNotNull())
 
 
+def _names(members: DataFrame) -> DataFrame:
+    return members.select(F.col("file").alias("name")).distinct()
+
+
+def _rules_on(names: DataFrame, replicas: DataFrame, locks: DataFrame) -> DataFrame:
+    """Distinct (rule, endpoint) of locks on existing replicas of the named files."""
+    held = locks.join(names, "name", "left_semi")
+    return held.join(replicas.select("name", "rse"), ["name", "rse"], "left_semi").select("rule_id", "rse").distinct()
+
+
 def invalidate_containers(
     names: DataFrame, contents: DataFrame, replicas: DataFrame, locks: DataFrame
 ) -> dict[str, DataFrame]:
@@ -87,14 +91,13 @@ def invalidate_containers(
     A file without any replica is left out of all four.
     """
     members = _members(names, contents, "container")
-    files = members.select(F.col("file").alias("name")).distinct().join(replicas.select("name"), "name", "left_semi")
+    listed = _names(members)
+    present = replicas.select(F.col("name").alias("file"))
     return {
-        "files": files,
-        "replicas": replica_rse_list(replicas.join(files, "name", "left_semi")),
-        "datasets": members.join(files.withColumnRenamed("name", "file"), "file", "left_semi")
-        .select(F.col("dataset").alias("name"))
-        .distinct(),
-        "rules": _rules_on(files, replicas, locks),
+        "files": listed.join(replicas.select("name"), "name", "left_semi"),
+        "replicas": replica_rse_list(replicas.join(listed, "name", "left_semi")),
+        "datasets": members.join(present, "file", "left_semi").select(F.col("dataset").alias("name")).distinct(),
+        "rules": _rules_on(listed, replicas, locks),
     }
 
 
@@ -102,16 +105,11 @@ def invalidate_datasets(
     names: DataFrame, contents: DataFrame, replicas: DataFrame, locks: DataFrame, rules: DataFrame
 ) -> dict[str, DataFrame]:
     """Lists for datasets; only rules set on datasets or files are to be deleted."""
-    files = (
-        _members(names, contents, "dataset")
-        .select(F.col("file").alias("name"))
-        .distinct()
-        .join(replicas.select("name"), "name", "left_semi")
-    )
+    listed = _names(_members(names, contents, "dataset"))
     return {
-        "files": files,
-        "replicas": replica_rse_list(replicas.join(files, "name", "left_semi")),
-        "rules": _rules_on(files, replicas, locks).join(
+        "files": listed.join(replicas.select("name"), "name", "left_semi"),
+        "replicas": replica_rse_list(replicas.join(listed, "name", "left_semi")),
+        "rules": _rules_on(listed, replicas, locks).join(
             rules_by_did_type(rules, ("D", "F")).select("rule_id"), "rule_id", "left_semi"
         ),
     }
@@ -123,11 +121,11 @@ def invalidate_files(
     """Lists for single files.  A listed file that is in a dataset stays in ``replicas``
     with an empty list when it has no replica.  File-level rules go; suspended rules are
     to be tried again."""
-    files = _members(names, contents, "file").select(F.col("file").alias("name")).distinct()
-    lists = replica_rse_list(replicas.join(files, "name", "left_semi"))
-    touched = _rules_on(files, replicas, locks).join(rules.select("rule_id", "did_type", "state"), "rule_id")
+    listed = _names(_members(names, contents, "file"))
+    lists = replica_rse_list(replicas.join(listed, "name", "left_semi"))
+    touched = _rules_on(listed, replicas, locks).join(rules.select("rule_id", "did_type", "state"), "rule_id")
     return {
-        "replicas": files.join(lists, "name", "left").select("name", F.coalesce("rses", F.lit("")).alias("rses")),
+        "replicas": listed.join(lists, "name", "left").select("name", F.coalesce("rses", F.lit("")).alias("rses")),
         "rules": touched.filter(F.col("did_type") == "F").select("rule_id", "rse").distinct(),
         "rules_stuck": rules_suspended(touched),
     }

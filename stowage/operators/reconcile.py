@@ -191,8 +191,8 @@ def metadata_for_missing(missing: DataFrame, info: DataFrame) -> DataFrame:
 
 # --- storage against catalogue -------------------------------------------------------
 def under_any(col: str, folders: Sequence[str]) -> Column:
-    """Path is one of ``folders`` or below one."""
-    return _any([(F.col(col) == f) | F.col(col).startswith(f.rstrip("/") + "/") for f in folders])
+    """File path below one of ``folders``.  Prefix tests reach the scan of a stored path."""
+    return _any([F.col(col).startswith(f.rstrip("/") + "/") for f in folders])
 
 
 def dark_missing_files(

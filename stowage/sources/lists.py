@@ -68,7 +68,7 @@ def line_counts(spark: SparkSession, path: str) -> DataFrame:
 
     A file counts one line more than it has newlines.  Lines are read as rows, so a file of
     any size is split over tasks; whether its last line ends in a newline follows from the
-    file size.  Files without any line are found through a listing that reads no content.
+    file size.  An empty file counts one line.
     """
     folder = lambda c: F.regexp_replace(c, "/[^/]*$", "")
     lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
@@ -84,10 +84,10 @@ def line_counts(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"), F.sum("filled").alias("filled"))
         .select("file", (F.col("rows") + F.when(F.col("bytes") == F.col("size"), 1).otherwise(0)).alias("total"), "filled")
     )
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select(F.regexp_replace("path", r"^file:/+", "/").alias("file"))
-    )
+    # scans skip empty files, so the names come from the file index that Spark has listed
+    listing = spark.createDataFrame([(f,) for f in lines.inputFiles()], "file string").withColumn(
+        "file", F.regexp_replace("file", r"^file:/+", "/")
+    )
     per_file = per_file.withColumn("file", F.regexp_replace("file", r"^file:/+", "/"))
     return (
         listing.join(per_file, "file", "left")

@@ -47,7 +47,8 @@ def block_name(cust: str, order: str) -> str:
 
 
 VIEWS: dict[str, str] = {
-    # --- endpoints: three per site (tape, disk, plain) --------------------------------
+    # --- endpoints: three per site (tape, disk, plain).  A plain projection, so that its
+    # size estimate is that of the table and not the product of a join.
     "rses": """
         SELECT s_suppkey AS rse_id, site, site || suffix AS rse,
                CASE WHEN suffix = '_Tape' THEN 'TAPE' ELSE 'DISK' END AS rse_type,
@@ -57,11 +58,9 @@ VIEWS: dict[str, str] = {
         FROM (SELECT s_suppkey, s_acctbal, k, country, region,
                      'T' || CAST(k % 4 AS STRING) || '_' || country || '_S' || CAST(k AS STRING) AS site,
                      CASE s_suppkey % 3 WHEN 0 THEN '_Tape' WHEN 1 THEN '_Disk' ELSE '' END AS suffix
-              FROM (SELECT s_suppkey, s_acctbal, k,
-                           chr(65 + n_regionkey) || chr(65 + n_nationkey) AS country,
-                           CASE WHEN n_regionkey = 4 THEN NULL ELSE chr(65 + n_regionkey) END AS region
-                    FROM (SELECT s_suppkey, s_acctbal, CAST(floor(s_suppkey / 3) AS BIGINT) AS k FROM supplier) s
-                    JOIN nation ON CAST(n_nationkey AS BIGINT) = k % 25) t) u
+              FROM (SELECT s_suppkey, s_acctbal, k, chr(65 + CAST(k % 5 AS INT)) || chr(65 + CAST(k % 25 AS INT)) AS country,
+                           CASE WHEN k % 5 = 4 THEN NULL ELSE chr(65 + CAST(k % 5 AS INT)) END AS region
+                    FROM (SELECT s_suppkey, s_acctbal, CAST(floor(s_suppkey / 3) AS BIGINT) AS k FROM supplier) s) t) u
     """,
     "files": f"""
         SELECT p_partkey AS file_id, 'cms' AS scope, {file_name('p_partkey')} AS name,
@@ -75,9 +74,9 @@ VIEWS: dict[str, str] = {
                'C' AS did_type, 'D' AS child_type
         FROM orders
         UNION ALL
-        SELECT DISTINCT {block_name('o_custkey', 'o_orderkey')} AS name, {file_name('l_partkey')} AS child_name,
+        SELECT {block_name('o_custkey', 'o_orderkey')} AS name, {file_name('l_partkey')} AS child_name,
                'D' AS did_type, 'F' AS child_type
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) t JOIN orders ON l_orderkey = o_orderkey
     """,
     "replicas": f"""
         SELECT 'cms' AS scope, {file_name('l_partkey')} AS name, l_suppkey AS rse_id,
@@ -89,10 +88,11 @@ VIEWS: dict[str, str] = {
               FROM lineitem GROUP BY l_partkey, l_suppkey) t
     """,
     "locks": f"""
-        SELECT DISTINCT 'cms' AS scope, {file_name('l_partkey')} AS name, l_suppkey AS rse_id, l_orderkey AS rule_id,
-               CASE WHEN l_linestatus = 'O' THEN 'O' WHEN l_returnflag = 'R' THEN 'R' ELSE 'S' END AS state,
+        SELECT 'cms' AS scope, {file_name('l_partkey')} AS name, l_suppkey AS rse_id, l_orderkey AS rule_id, state,
                {file_bytes('l_partkey')} AS bytes
-        FROM lineitem
+        FROM (SELECT DISTINCT l_partkey, l_suppkey, l_orderkey,
+                     CASE WHEN l_linestatus = 'O' THEN 'O' WHEN l_returnflag = 'R' THEN 'R' ELSE 'S' END AS state
+              FROM lineitem) t
     """,
     "rules": f"""
         SELECT o_orderkey AS rule_id, 'u' || CAST(o_custkey AS STRING) AS account,
@@ -157,10 +157,11 @@ VIEWS: dict[str, str] = {
     """,
     # --- two inventories per site: what a source lists and what the catalogue holds ------
     "site_files": f"""
-        SELECT DISTINCT coalesce(region, 'X') || '_' || rse_type AS site, rse,
+        SELECT coalesce(region, 'X') || '_' || rse_type AS site, rse,
                {block_name('o_custkey', 'l_orderkey')} AS block, {file_name('l_partkey')} AS name,
                l_returnflag AS flag, l_linestatus AS status
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN rses ON rse_id = l_suppkey
+        FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem) t
+        JOIN orders ON o_orderkey = l_orderkey JOIN rses ON rse_id = l_suppkey
     """,
     "source_files": "SELECT site, rse, block, name FROM site_files WHERE flag <> 'A'",
     "catalogue_files": """
@@ -176,8 +177,15 @@ VIEWS: dict[str, str] = {
         FROM (SELECT name || '@' || rse AS row_key, name, rse, length, available_length, bytes FROM dataset_replicas) t
         WHERE bytes > 1500000
     """,
-    "storage_paths": "SELECT rse, name AS path FROM source_files",
-    "catalogue_paths": "SELECT rse, name AS path FROM catalogue_files",
+    "storage_paths": f"""
+        SELECT rse, {file_name('l_partkey')} AS path
+        FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag <> 'A') t JOIN rses ON rse_id = l_suppkey
+    """,
+    "catalogue_paths": f"""
+        SELECT rse, {file_name('l_partkey')} AS path
+        FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag <> 'N' OR l_linestatus = 'F') t
+        JOIN rses ON rse_id = l_suppkey
+    """,
     # runs that saw a path on storage that the catalogue does not hold
     "dark_history": f"""
         SELECT DISTINCT coalesce(region, 'X') || '_' || rse_type AS rse, {file_name('l_partkey')} AS path, l_shipdate AS run_at
@@ -358,12 +366,13 @@ VIEWS: dict[str, str] = {
     """,
     # a few requests hold all rows
     "int_replicas": f"""
-        SELECT DISTINCT 'i' || CAST(l_linenumber AS STRING) AS request_id, 'cms' AS scope, {file_name('l_partkey')} AS lfn,
-               CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN NULL ELSE 'T1_R' || CAST(l_suppkey AS STRING) END AS rse,
-               CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN NULL ELSE 'root://r' || CAST(l_suppkey AS STRING) || '/f' END AS pfn,
-               CASE WHEN l_returnflag = 'R' THEN 'OK' WHEN l_returnflag = 'A' THEN CASE WHEN l_linestatus = 'O' THEN 'CORRUPTED' ELSE 'OK' END
-                    WHEN l_linestatus = 'F' THEN 'pending' ELSE 'ERROR' END AS status
-        FROM lineitem
+        SELECT 'i' || CAST(l_linenumber AS STRING) AS request_id, 'cms' AS scope, {file_name('l_partkey')} AS lfn,
+               'T1_R' || CAST(supp AS STRING) AS rse, 'root://r' || CAST(supp AS STRING) || '/f' AS pfn, status
+        FROM (SELECT DISTINCT l_linenumber, l_partkey,
+                     CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN NULL ELSE l_suppkey END AS supp,
+                     CASE WHEN l_returnflag = 'R' THEN 'OK' WHEN l_returnflag = 'A' THEN CASE WHEN l_linestatus = 'O' THEN 'CORRUPTED' ELSE 'OK' END
+                          WHEN l_linestatus = 'F' THEN 'pending' ELSE 'ERROR' END AS status
+              FROM lineitem) t
     """,
     "int_requests": """
         SELECT DISTINCT 'i' || CAST(l_linenumber AS STRING) AS request_id,
