@@ -36,15 +36,19 @@ def file_status(total: Column, ok: Column, corrupted: Column, error: Column, pen
     )
 
 
-def integrity_file_status(replicas: DataFrame) -> DataFrame:
-    """Status and counts per request and file."""
+def _per_file(replicas: DataFrame, *more: Column) -> DataFrame:
     counted = replicas.groupBy("request_id", "lfn").agg(
-        F.min("scope").alias("scope"), F.count(F.lit(1)).alias("replica_count"), *_counts()
+        F.min("scope").alias("scope"), F.count(F.lit(1)).alias("replica_count"), *_counts(), *more
     )
     status = file_status(*[F.col(c) for c in ("replica_count", OK, CORRUPTED, ERROR, PENDING)])
     return counted.withColumn("file_status", status)
 
 
+def integrity_file_status(replicas: DataFrame) -> DataFrame:
+    """Status and counts per request and file."""
+    return _per_file(replicas)
+
+
 def integrity_request_summary(replicas: DataFrame) -> DataFrame:
     """Files, replicas and counts per status of each request.
 
@@ -60,12 +64,10 @@ def integrity_request_summary(replicas: DataFrame) -> DataFrame:
 
 
 def integrity_files_view(replicas: DataFrame) -> DataFrame:
-    """Per file the status, the counts and the sorted set of its replica records.  A file
-    has at most one record per endpoint and access path, so the set is small."""
-    records = replicas.groupBy("request_id", "lfn").agg(
-        F.array_sort(F.collect_set(F.struct("rse", "pfn", "status"))).alias("replicas")
-    )
-    return integrity_file_status(replicas).join(records, ["request_id", "lfn"])
+    """Per file the status, the counts and the sorted set of its replica records, in one
+    aggregate.  A file has at most one record per endpoint and access path, so the set is
+    small."""
+    return _per_file(replicas, F.array_sort(F.collect_set(F.struct("rse", "pfn", "status"))).alias("replicas"))
 
 
 def lfns_per_rse(replicas: DataFrame) -> DataFrame:

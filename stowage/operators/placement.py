@@ -268,10 +268,9 @@ def site_config_select(
 
 def self_expression_check(attributes: DataFrame, rses: DataFrame) -> DataFrame:
     """Attributes named like an endpoint: must be on that endpoint and on it alone."""
-    named = attributes.join(rses.select(F.col("rse").alias("key")), "key", "left_semi").select("key", "rse")
     checked = (
         rses.select(F.col("rse").alias("key"))
-        .join(named, "key", "left")
+        .join(attributes.select("key", "rse"), "key", "left")
         .groupBy("key")
         .agg(
             F.count("rse").alias("holders"),

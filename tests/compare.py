@@ -39,9 +39,11 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, name, build, sql, sf_dir):
+def compare(spark, con, name, build, sql, sf_dir, inspect=None):
     """None when equal, else a text that says how they differ."""
     df = build(spark, sf_dir)
+    if inspect:
+        inspect(df)
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
         return None if got is not None else "no rows"
