@@ -145,12 +145,13 @@ def integrity_upsert(old: DataFrame, results: DataFrame) -> DataFrame:
         .withColumn("_did", split_scope("filename"))
         .select("request_id", "_did.scope", F.col("_did.name").alias("lfn"), "error", "replicas")
     )
-    pending = F.col("status") == PENDING
-    done = reported.select("request_id", "lfn", F.lit(True).alias("_done")).distinct()
+    pending = F.col("status").eqNullSafe(PENDING)
+    done = reported.select("request_id", "lfn")
+    # only pending rows are looked up; all others pass without a shuffle
     kept = (
-        old.join(done, ["request_id", "lfn"], "left")
-        .filter(~(pending & F.col("_done").isNotNull()))
+        old.filter(~pending)
         .select(*cols)
+        .unionByName(old.filter(pending).select(*cols).join(done, ["request_id", "lfn"], "left_anti"))
     )
     blank = F.lit(None).cast("string")
     failed = reported.filter("error IS NOT NULL").select(
@@ -168,13 +169,16 @@ def integrity_upsert(old: DataFrame, results: DataFrame) -> DataFrame:
         .select("request_id", "lfn", "rse", "_row.*")
         .select(*cols)
     )
-    k, n = kept.select("request_id", "lfn", "rse").distinct().alias("k"), new.alias("n")
+    k, n = kept.alias("k"), new.alias("n")
     same = (
         (F.col("k.request_id") == F.col("n.request_id"))
         & (F.col("k.lfn") == F.col("n.lfn"))
         & F.col("k.rse").eqNullSafe(F.col("n.rse"))
     )
-    return kept.unionByName(n.join(k, same, "left_anti").select(*cols))
+    # an old row wins over the new one of its key; one outer join does both
+    old_row = F.col("k.request_id").isNotNull()
+    pick = lambda c: F.when(old_row, F.col(f"k.{c}")).otherwise(F.col(f"n.{c}")).alias(c)
+    return k.join(n, same, "full_outer").select(*[pick(c) for c in cols])
 
 
 # --- checks on content ---------------------------------------------------------------
