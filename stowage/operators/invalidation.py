@@ -76,6 +76,12 @@ def _names(members: DataFrame) -> DataFrame:
     return members.select(F.col("file").alias("name")).distinct()
 
 
+def _present(replicas: DataFrame) -> DataFrame:
+    """Names with a replica, once each: repeats are taken out before the shuffle, which then
+    serves the join too."""
+    return replicas.select("name").distinct()
+
+
 def _rules_on(names: DataFrame, replicas: DataFrame, locks: DataFrame) -> DataFrame:
     """Distinct (rule, endpoint) of locks on existing replicas of the named files."""
     held = locks.join(names, "name", "left_semi")
@@ -92,11 +98,13 @@ def invalidate_containers(
     """
     members = _members(names, contents, "container")
     listed = _names(members)
-    present = replicas.select(F.col("name").alias("file"))
+    present = _present(replicas)
     return {
-        "files": listed.join(replicas.select("name"), "name", "left_semi"),
+        "files": listed.join(present, "name", "left_semi"),
         "replicas": replica_rse_list(replicas.join(listed, "name", "left_semi")),
-        "datasets": members.join(present, "file", "left_semi").select(F.col("dataset").alias("name")).distinct(),
+        "datasets": members.join(present.withColumnRenamed("name", "file"), "file", "left_semi")
+        .select(F.col("dataset").alias("name"))
+        .distinct(),
         "rules": _rules_on(listed, replicas, locks),
     }
 
@@ -107,7 +115,7 @@ def invalidate_datasets(
     """Lists for datasets; only rules set on datasets or files are to be deleted."""
     listed = _names(_members(names, contents, "dataset"))
     return {
-        "files": listed.join(replicas.select("name"), "name", "left_semi"),
+        "files": listed.join(_present(replicas), "name", "left_semi"),
         "replicas": replica_rse_list(replicas.join(listed, "name", "left_semi")),
         "rules": _rules_on(listed, replicas, locks).join(
             rules_by_did_type(rules, ("D", "F")).select("rule_id"), "rule_id", "left_semi"

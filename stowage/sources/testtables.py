@@ -81,10 +81,10 @@ VIEWS: dict[str, str] = {
     "replicas": f"""
         SELECT 'cms' AS scope, {file_name('l_partkey')} AS name, l_suppkey AS rse_id,
                {file_bytes('l_partkey')} AS bytes, lower(hex({file_bytes('l_partkey')})) AS adler32,
-               CASE flag WHEN 'R' THEN 'A' WHEN 'N' THEN CASE WHEN status = 'F' THEN 'U' ELSE 'C' END ELSE 'B' END AS state,
-               CASE WHEN flag = 'A' THEN epoch_millis(shipped) END AS tombstone
-        FROM (SELECT l_partkey, l_suppkey, max(l_returnflag) AS flag, max(l_linestatus) AS status,
-                     max(l_shipdate) AS shipped
+               CASE flag WHEN 3 THEN 'A' WHEN 2 THEN CASE WHEN status = 0 THEN 'U' ELSE 'C' END ELSE 'B' END AS state,
+               CASE WHEN flag = 1 THEN epoch_millis(shipped) END AS tombstone
+        FROM (SELECT l_partkey, l_suppkey, max(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) AS flag,
+                     max(CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END) AS status, max(l_shipdate) AS shipped
               FROM lineitem GROUP BY l_partkey, l_suppkey) t
     """,
     "locks": f"""
@@ -188,8 +188,9 @@ VIEWS: dict[str, str] = {
     """,
     # runs that saw a path on storage that the catalogue does not hold
     "dark_history": f"""
-        SELECT DISTINCT coalesce(region, 'X') || '_' || rse_type AS rse, {file_name('l_partkey')} AS path, l_shipdate AS run_at
-        FROM lineitem JOIN rses ON rse_id = l_suppkey WHERE l_returnflag = 'N'
+        SELECT rse, {file_name('k')} AS path, run_at
+        FROM (SELECT DISTINCT coalesce(region, 'X') || '_' || rse_type AS rse, l_partkey AS k, l_shipdate AS run_at
+              FROM lineitem JOIN rses ON rse_id = l_suppkey WHERE l_returnflag = 'N') t
     """,
     "scan_totals": f"""
         SELECT rse, count(*) * 40 AS files, max(run_at) AS last_run FROM dark_history GROUP BY rse
@@ -382,7 +383,7 @@ VIEWS: dict[str, str] = {
     """,
     "int_checked": f"""
         SELECT 'i' || CAST(l_linenumber AS STRING) AS request_id,
-               CASE WHEN max(l_linestatus) = 'O' THEN 'cms:' ELSE '' END || {file_name('l_partkey')} AS filename, {file_name('l_partkey')} AS lfn,
+               CASE WHEN max(CASE l_linestatus WHEN 'O' THEN 1 ELSE 0 END) = 1 THEN 'cms:' ELSE '' END || {file_name('l_partkey')} AS filename, {file_name('l_partkey')} AS lfn,
                CASE WHEN max(l_discount) > 0.08 THEN 'no replicas' END AS error,
                'T1_R' || CAST(max(l_suppkey) AS STRING) AS rse1, 'T2_R' || CAST(min(l_suppkey) AS STRING) AS rse2
         FROM lineitem WHERE l_quantity > 20 GROUP BY l_linenumber, l_partkey
@@ -391,11 +392,12 @@ VIEWS: dict[str, str] = {
     "attempts": f"""
         SELECT {file_name('l_partkey')} AS lfn, 'T1_S' || l_linestatus AS rse, l_orderkey * 100000 + l_suppkey AS pos,
                'root://h' || CAST(l_orderkey AS STRING) || l_linestatus || '/' || CAST(l_suppkey AS STRING)
-                   || {file_name('l_partkey')} AS pfn, max(l_tax) > 0.05 AS copied,
-               max(l_returnflag) AS letter,
-               CASE WHEN l_linestatus = 'O' THEN CASE max(l_returnflag) WHEN 'A' THEN '00420042' WHEN 'N' THEN '004f004f' ELSE '00530053' END
+                   || {file_name('l_partkey')} AS pfn, copied, letter,
+               CASE WHEN l_linestatus = 'O' THEN CASE letter WHEN 'A' THEN '00420042' WHEN 'N' THEN '004f004f' ELSE '00530053' END
                     ELSE '004f004f' END AS adler32
-        FROM lineitem GROUP BY l_partkey, l_linestatus, l_orderkey, l_suppkey
+        FROM (SELECT l_partkey, l_linestatus, l_orderkey, l_suppkey, max(l_tax) > 0.05 AS copied,
+                     CASE max(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) WHEN 1 THEN 'A' WHEN 2 THEN 'N' ELSE 'R' END AS letter
+              FROM lineitem GROUP BY l_partkey, l_linestatus, l_orderkey, l_suppkey) t
     """,
     "submissions": f"""
         SELECT 's' || CAST(o_custkey AS STRING) AS request_id,
