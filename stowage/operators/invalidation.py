@@ -50,9 +50,8 @@ def replicas_with_rse(replicas: DataFrame, rses: DataFrame, rse: str | None = No
 
 def container_dataset_file(contents: DataFrame) -> DataFrame:
     """(container, dataset, file); a dataset without files keeps one row with a null file."""
-    level = lambda parent, child: contents.filter((F.col("did_type") == parent) & (F.col("child_type") == child))
-    datasets = level("C", "D").select(F.col("name").alias("container"), F.col("child_name").alias("dataset"))
-    files = level("D", "F").select(F.col("name").alias("dataset"), F.col("child_name").alias("file"))
+    datasets = _edges(contents, "C", "D").select(F.col("name").alias("container"), F.col("child_name").alias("dataset"))
+    files = _edges(contents, "D", "F").select(F.col("name").alias("dataset"), F.col("child_name").alias("file"))
     return datasets.join(files, "dataset", "left").select("container", "dataset", "file")
 
 
@@ -66,10 +65,24 @@ def replica_rse_list(replicas: DataFrame) -> DataFrame:
 
 
 # --- invalidation lists --------------------------------------------------------------
+def _edges(contents: DataFrame, parent: str, child: str) -> DataFrame:
+    return contents.filter((F.col("did_type") == parent) & (F.col("child_type") == child))
+
+
 def _members(names: DataFrame, contents: DataFrame, level: str) -> DataFrame:
-    """Rows of container/dataset/file whose ``level`` column is listed in ``names``."""
+    """(dataset, file) edges below the listed names of one level.
+
+    Only datasets that sit in a container count.  All steps are semi joins: an edge appears
+    once however many containers hold its dataset.
+    """
     wanted = names.select(F.col("name").alias(level))
-    return container_dataset_file(contents).join(wanted, level, "left_semi").filter(F.col("file").isNotNull())
+    sets = _edges(contents, "C", "D").select(F.col("name").alias("container"), F.col("child_name").alias("dataset"))
+    held = _edges(contents, "D", "F").select(F.col("name").alias("dataset"), F.col("child_name").alias("file"))
+    if level == "file":
+        held = held.join(wanted, "file", "left_semi")
+    else:
+        sets = sets.join(wanted, level, "left_semi")
+    return held.join(sets.select("dataset"), "dataset", "left_semi")
 
 
 def _names(members: DataFrame) -> DataFrame:
