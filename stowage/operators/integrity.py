@@ -199,11 +199,16 @@ def first_good_pfn(attempts: DataFrame) -> DataFrame:
     )
 
 
-def _adler(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        content = frame.pop("content")
-        frame["computed"] = [None if c is None else f"{zlib.adler32(c):08x}" for c in content]
-        yield frame
+# The functions sent to Python workers are built inside others, so they travel with the
+# plan and the workers need no copy of this package.
+def _adler():
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            content = frame.pop("content")
+            frame["computed"] = [None if c is None else f"{zlib.adler32(c):08x}" for c in content]
+            yield frame
+
+    return run
 
 
 def payload_checksum(payloads: DataFrame) -> DataFrame:
@@ -213,19 +218,21 @@ def payload_checksum(payloads: DataFrame) -> DataFrame:
     whole files; for large files use ``chunk_checksum``.
     """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in payloads.schema if f.name != "content")
-    return payloads.mapInPandas(_adler, f"{schema}, computed string")
+    return payloads.mapInPandas(_adler(), f"{schema}, computed string")
 
 
-def _adler_sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        value = [zlib.adler32(c) for c in frame["content"]]
-        n = frame["content"].map(len)
-        low = pd.Series([v & 0xFFFF for v in value], index=frame.index, dtype="int64")
-        high = pd.Series([v >> 16 for v in value], index=frame.index, dtype="int64")
-        # plain and weighted byte sums of the chunk on its own
-        yield pd.DataFrame(
-            {"lfn": frame["lfn"], "at": frame["at"], "n": n, "s": (low - 1) % _ADLER, "w": (high - n) % _ADLER}
-        )
+def _adler_sums():
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            value = [zlib.adler32(c) for c in frame["content"]]
+            n = frame["content"].map(len)
+            low = pd.Series([v & 0xFFFF for v in value], index=frame.index, dtype="int64")
+            high = pd.Series([v >> 16 for v in value], index=frame.index, dtype="int64")
+            # plain and weighted byte sums of the chunk on its own
+            sums = {"s": (low - 1) % _ADLER, "w": (high - n) % _ADLER}
+            yield pd.DataFrame({"lfn": frame["lfn"], "at": frame["at"], "n": n, **sums})
+
+    return run
 
 
 def chunk_checksum(chunks: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -235,7 +242,7 @@ def chunk_checksum(chunks: DataFrame, sizes: DataFrame) -> DataFrame:
     scale its byte sum.  No file has to fit in one task, whatever its size.  ``sizes`` is
     (lfn, size).
     """
-    sums = chunks.select("lfn", "at", "content").mapInPandas(_adler_sums, "lfn string, at long, n long, s long, w long")
+    sums = chunks.select("lfn", "at", "content").mapInPandas(_adler_sums(), "lfn string, at long, n long, s long, w long")
     behind = (F.col("size") - F.col("at") - F.col("n")) % _ADLER
     total = (
         sums.join(sizes, "lfn")

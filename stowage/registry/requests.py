@@ -277,17 +277,15 @@ def _content(c):
 _SUM = "CASE letter WHEN 'A' THEN '00420042' WHEN 'N' THEN '004f004f' ELSE '00530053' END"
 
 
-def _reject_r(frames):
+def _reject_r():
     """Content check of the example: files made of the letter R do not decode."""
-    for frame in frames:
-        yield pd.DataFrame(
-            {
-                "lfn": frame["lfn"],
-                "rse": frame["rse"],
-                "pfn": frame["pfn"],
-                "status": frame["content"].map(lambda b: "CORRUPTED" if b == b"R" else "OK"),
-            }
-        )
+
+    def run(frames):
+        for frame in frames:
+            status = frame["content"].map(lambda b: "CORRUPTED" if b == b"R" else "OK")
+            yield pd.DataFrame({"lfn": frame["lfn"], "rse": frame["rse"], "pfn": frame["pfn"], "status": status})
+
+    return run
 
 
 @registered(
@@ -297,7 +295,7 @@ def _reject_r(frames):
     UNION ALL SELECT lfn, rse, arg_max(pfn, pos), 'ERROR' FROM attempts GROUP BY 1, 2 HAVING NOT bool_or(copied)""",
 )
 def _(c):
-    return itg.payload_check_job(c.attempts, _content(c), _reject_r)
+    return itg.payload_check_job(c.attempts, _content(c), _reject_r())
 
 
 @registered(

@@ -440,3 +440,20 @@ def test_checkpoint_folder_comes_from_the_session(spark):
         spark
     ).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
+
+
+def test_worker_functions_need_no_package(tmp_path):
+    """What goes to Python workers loads in a process that cannot import the package."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    code = "import sys; from pyspark import cloudpickle; print(callable(cloudpickle.loads(sys.stdin.buffer.read())))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    for function in (integrity._adler(), integrity._adler_sums(), integrity._check_with(None)):
+        out = subprocess.run(
+            [sys.executable, "-c", code], input=cloudpickle.dumps(function), capture_output=True, cwd=tmp_path, env=env, timeout=120
+        )
+        assert out.stdout.strip() == b"True", out.stderr[-500:]
