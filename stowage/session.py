@@ -1,9 +1,7 @@
-"""Session settings and the two things operators need from a session: a place for
-checkpoints and scratch output that every executor can reach, and nothing else."""
+"""Session settings, and a place for checkpoints and scratch output that every executor can reach."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,33 +21,34 @@ def build_session(app_name: str = "stowage", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    settings = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true", **SETTINGS}
+    for key, value in {**settings, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Put the run-time settings on a session made elsewhere."""
+    """Put those ``SETTINGS`` that nobody has set on a session made elsewhere."""
+    present = spark.conf.getAll
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in present:
+            spark.conf.set(key, value)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """A folder all executors share: the one that ``spark.checkpoint.dir`` names.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
-    executors would not see it, so a missing setting is an error there.
+    Where the setting is missing, a folder in the warehouse is used: the other place that
+    driver and executors share.  The session's part is removed when its JVM ends.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="stowage-")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir() or folder
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch")
+        own = sc._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+        own.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(own)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -57,7 +56,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch path."""
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(own, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives lost executors.  Runs a job."""
+    """Reliable checkpoint in the shared folder; survives lost executors.  Runs a job.
+
+    Spark removes it once nothing refers to it, where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on (``build_session`` sets it).
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def keep_table(df: DataFrame, label: str) -> DataFrame:
+    """Write as Parquet in the shared folder and read again: later plans know its size.  Runs a job."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
