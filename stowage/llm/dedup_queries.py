@@ -1,0 +1,13 @@
+"""Registered: near-duplicates."""
+
+from .common import table
+from .simhash import near_duplicates
+
+
+def op2_simhash(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_simhash": op2_simhash}
+CHECKS: dict[str, str] = {}
