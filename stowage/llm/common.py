@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_path, keep_table, scratch_path
@@ -24,6 +24,12 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*(F.col(f"c{df.columns.index(name)}").alias(new) for new, name in columns.items()))
 
 
+def document_key(doc_id: Column, text: Column) -> Column:
+    """32 bytes that tell a document by id and text; never null."""
+    told = lambda c: F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), c.cast("string")))
+    return F.unhex(F.sha2(F.concat(told(doc_id), F.lit("\n"), told(text)), 256))
+
+
 def tagged(df: DataFrame, **columns: str) -> tuple[DataFrame, list[str]]:
     """The frame under positional names with ``columns`` copied beside them, and the positional names.
 
@@ -96,4 +102,4 @@ def components(links: DataFrame) -> DataFrame:
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-__all__ = ["components", "keep_table", "pick", "rank_within", "table", "tagged", "untagged"]
+__all__ = ["components", "document_key", "keep_table", "pick", "rank_within", "table", "tagged", "untagged"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_settings
 
-FAMILIES = ("dedup_queries",)
+FAMILIES = ("corpus_queries",)
 
 
 def load() -> tuple[dict[str, Callable], dict[str, str]]:

@@ -67,15 +67,15 @@ def fingerprint(text: str | None, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row (doc_id, fingerprint) per document; the fingerprint is a signed long."""
+    """One row (doc_id, text_hash, fingerprint) per document; the fingerprint is a signed long."""
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(t, words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fingerprint"])
+            found = pa.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["doc_id", "text_hash", "fingerprint"])
 
-    rows = pick(docs, doc_id=id_col, text=text_col)
-    return rows.mapInArrow(run, f"doc_id {rows.schema[0].dataType.simpleString()}, fingerprint bigint")
+    rows = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, f"doc_id {rows.schema[0].dataType.simpleString()}, text_hash bigint, fingerprint bigint")
 
 
 def spanning_links(found: np.ndarray, radius: int):
@@ -135,7 +135,8 @@ def fingerprint_links(nodes: DataFrame, radius: int = 2) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = 3, radius: int = 2, text_col: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (least doc_id of its component).
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (least doc_id of its component),
+    root (of the component; also where no document has an id) and text_hash.
 
     Runs jobs while the plan is built: the narrow (doc_id, fingerprint) table is written once, and
     ``components`` writes its rounds.
@@ -147,7 +148,7 @@ def near_duplicates(
         "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    groups = rooted.join(ids, "root").select("fingerprint", "component_id")
+    groups = rooted.join(ids, "root").select("fingerprint", "component_id", "root")
     return prints.join(groups, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "root", "text_hash"
     )

@@ -72,7 +72,7 @@ def test_against_all_pairs(spark, rows):
     given += [(900, None), (901, ""), (902, " \t"), (903, "one"), (904, "ONE"), (905, "one two"), (None, "lone words here now")]
     given += [given[3], given[3], (950, given[3][1]), (951, "é É ß"), (952, "é é ß")]
     df = spark.createDataFrame([(d, t, "x", "y") for d, t in given], "doc_id bigint, text string, fingerprint string, TEXT string")
-    assert rows(simhash.near_duplicates(df)) == slow_components(given)
+    assert rows(simhash.near_duplicates(df), "doc_id", "fingerprint", "component_id") == slow_components(given)
 
 
 def test_crowded_buckets(spark, monkeypatch):
