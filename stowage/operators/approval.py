@@ -66,7 +66,9 @@ def request_rse_facts(request_rses: DataFrame, rses: DataFrame) -> DataFrame:
 
 
 def rule_request_decision(
-    requests: DataFrame, facts: DataFrame, banned: DataFrame, sizes: DataFrame, usage: DataFrame, locked: DataFrame
+    requests: DataFrame, facts: DataFrame, banned: DataFrame, sizes: DataFrame, usage: DataFrame, locked: DataFrame,
+    max_lifetime: float = MAX_LIFETIME, max_single_rse: float = MAX_SINGLE_RSE,
+    max_account: float = MAX_ACCOUNT, max_global: float = MAX_GLOBAL,
 ) -> DataFrame:
     """Approve an auto-approve request, or the first reason against it.
 
@@ -85,10 +87,10 @@ def rule_request_decision(
         .when(F.col("is_banned").isNotNull(), "account banned")
         .when(F.coalesce("locked", F.lit(False)), "locked")
         .when(F.col("lifetime").isNull(), "no lifetime")
-        .when(F.col("lifetime") > MAX_LIFETIME, "lifetime too long")
-        .when((F.col("n_writable") == 1) & (held("rse_bytes") + size > MAX_SINGLE_RSE), "single endpoint usage exceeded")
-        .when(held("account_bytes") + size > MAX_ACCOUNT, "account usage exceeded")
-        .when(whole + size > MAX_GLOBAL, "global usage exceeded")
+        .when(F.col("lifetime") > max_lifetime, "lifetime too long")
+        .when((F.col("n_writable") == 1) & (held("rse_bytes") + size > max_single_rse), "single endpoint usage exceeded")
+        .when(held("account_bytes") + size > max_account, "account usage exceeded")
+        .when(whole + size > max_global, "global usage exceeded")
     )
     checked = (
         requests.join(facts, "request_id", "left")

@@ -13,18 +13,25 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..session import cut_lineage
 
-MAX_LEVELS = 64
 
+def _climb(level: DataFrame, step, parents: DataFrame | None = None) -> DataFrame:
+    """Union of ``level`` and of all levels above it, until ``step`` gives no rows.
 
-def _climb(level: DataFrame, step) -> DataFrame:
-    """Union of ``level`` and of all levels above it, until ``step`` gives no rows."""
+    A step that leaves out what was seen ends by itself.  One that does not passes
+    ``parents``: a way up through more nodes than there are has met one of them twice.
+    """
     out = level = cut_lineage(level)
-    for _ in range(MAX_LEVELS):
+    above, nodes = 0, None
+    while True:
         level = cut_lineage(step(level, out))
         if level.isEmpty():
             return out
+        above += 1
+        if parents is not None:
+            nodes = parents.select("parent").distinct().count() if nodes is None else nodes
+            if above > nodes:
+                raise ValueError("contents contain themselves")
         out = out.unionByName(level)
-    raise ValueError(f"contents are nested deeper than {MAX_LEVELS} levels, or contain themselves")
 
 
 def container_stats(contents: DataFrame, files: DataFrame, distinct: bool = False) -> DataFrame:
@@ -48,7 +55,7 @@ def container_stats(contents: DataFrame, files: DataFrame, distinct: bool = Fals
             .groupBy(F.col("parent").alias("node"))
             .agg(F.sum("length").alias("length"), F.sum("size").alias("size"))
         )
-        sums = _climb(first, up)
+        sums = _climb(first, up, parents)
         return sums.groupBy(F.col("node").alias("name")).agg(F.sum("length").alias("length"), F.sum("size").alias("size"))
     first = held.select(F.col("name").alias("node"), "child_name").distinct()
     up = lambda level, seen: (

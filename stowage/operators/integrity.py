@@ -240,17 +240,26 @@ def chunk_checksum(chunks: DataFrame, sizes: DataFrame) -> DataFrame:
 
     Chunks are summed apart and combined by plain sums, since the bytes behind a chunk only
     scale its byte sum.  No file has to fit in one task, whatever its size.  ``sizes`` is
-    (lfn, size).
+    (lfn, size); every row of it comes out, with ``reason`` where chunks are missing or
+    overlap and there is no checksum.  An empty file has the checksum of no bytes.
     """
     sums = chunks.select("lfn", "at", "content").mapInPandas(_adler_sums(), "lfn string, at long, n long, s long, w long")
     behind = (F.col("size") - F.col("at") - F.col("n")) % _ADLER
     total = (
-        sums.join(sizes, "lfn")
+        sizes.select("lfn", "size")
+        .join(sums, "lfn", "left")
         .groupBy("lfn", "size")
-        .agg(F.sum("s").alias("s"), F.sum((F.col("w") + F.col("s") * behind) % _ADLER).alias("w"))
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+            F.coalesce(F.sum("s"), F.lit(0)).alias("s"),
+            F.coalesce(F.sum((F.col("w") + F.col("s") * behind) % _ADLER), F.lit(0)).alias("w"),
+        )
     )
+    whole = F.col("n") == F.col("size")
     low, high = (F.col("s") + 1) % _ADLER, (F.col("w") + F.col("size")) % _ADLER
-    return total.select("lfn", F.lpad(F.lower(F.hex(high * 65536 + low)), 8, "0").alias("computed"))
+    computed = F.lpad(F.lower(F.hex(high * 65536 + low)), 8, "0")
+    reason = F.concat(F.lit("chunks hold "), F.col("n"), F.lit(" of "), F.coalesce(F.col("size").cast("string"), F.lit("unknown")), F.lit(" bytes"))
+    return total.select("lfn", F.when(whole, computed).alias("computed"), F.when(~F.coalesce(whole, F.lit(False)), reason).alias("reason"))
 
 
 ContentCheck = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -264,8 +273,10 @@ def _check_with(content_check: ContentCheck | None):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             computed = [None if c is None else f"{zlib.adler32(c):08x}" for c in frame["content"]]
+            unread = frame["content"].isna()
             fine = pd.Series(computed, index=frame.index, dtype="object") == frame["adler32"]
-            yield frame[~fine].assign(status=CORRUPTED)[columns]
+            yield frame[unread].assign(status=ERROR)[columns]
+            yield frame[~fine & ~unread].assign(status=CORRUPTED)[columns]
             good = frame[fine]
             if content_check is None:
                 yield good.assign(status=OK)[columns]
@@ -281,11 +292,12 @@ def payload_check_job(attempts: DataFrame, contents: DataFrame, content_check: C
 
     ``attempts`` is (lfn, rse, pos, pfn, copied, adler32); ``contents`` (pfn, content).  The
     path is chosen on the small table, and only chosen content is read.  ``content_check``
-    maps frames of lfn, rse, pfn, content to lfn, rse, pfn, status.
+    maps frames of lfn, rse, pfn, content to lfn, rse, pfn, status.  A chosen path whose
+    content is missing or null has status ERROR: it was not read, so it is not corrupted.
     """
     decided = first_good_pfn(attempts.select("lfn", "rse", "pos", "pfn", "copied", "adler32"))
     failed = decided.filter("status IS NOT NULL").select("lfn", "rse", "pfn", "status")
-    chosen = decided.filter("status IS NULL").drop("status").join(contents.select("pfn", "content"), "pfn")
+    chosen = decided.filter("status IS NULL").drop("status").join(contents.select("pfn", "content"), "pfn", "left")
     schema = "lfn string, rse string, pfn string, status string"
     return failed.unionByName(chosen.mapInPandas(_check_with(content_check), schema))
 
@@ -298,15 +310,15 @@ def non_root_results(lfns: DataFrame) -> DataFrame:
 
 def checksum_invalidations(attempts: DataFrame, contents: DataFrame) -> DataFrame:
     """Replicas to declare bad after a checksum pass: the first access path decides, and a
-    path that could not be copied counts as not intact."""
+    path that could not be copied, or has no content, counts as not intact."""
     first = attempts.groupBy("lfn", "rse").agg(F.min_by(F.struct("pfn", "copied", "adler32"), "pos").alias("f"))
     first = first.select("lfn", "rse", "f.*")
-    copied = first.filter("copied").join(contents.select("pfn", "content"), "pfn")
+    copied = first.filter("copied").join(contents.select("pfn", "content"), "pfn", "left")
     bad = copied.mapInPandas(_check_with(None), "lfn string, rse string, pfn string, status string").filter(
-        F.col("status") == CORRUPTED
+        F.col("status").isin(CORRUPTED, ERROR)
     )
     return (
         bad.select("lfn", "rse")
-        .unionByName(first.filter("NOT copied").select("lfn", "rse"))
+        .unionByName(first.filter("NOT coalesce(copied, false)").select("lfn", "rse"))
         .withColumn("reason", F.lit("Checksum mismatch"))
     )

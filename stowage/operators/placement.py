@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from .ranking import number_rows, top_n_per_key
 
-# Distance per relation of two endpoints, nearest first.
+# Distance per relation of two endpoints.
 DISTANCE = {
     "site": 1,
-    "region and country": 4,
-    "region": 10,
+    "region&country": 4,
     "country": 7,
-    "regions A and C": 11,
-    "regions C and D": 12,
+    "region": 10,
+    "AC": 11,
+    "CD": 12,
     "other": 13,
 }
 # Suffixes taken off an endpoint name, in this order, to find its site.
@@ -51,11 +51,11 @@ def rse_distance_matrix(links: DataFrame, rses: DataFrame) -> DataFrame:
     region = F.coalesce((s("region") == d("region")) & (s("region") != ""), F.lit(False))
     distance = (
         F.when(s("site") == d("site"), DISTANCE["site"])
-        .when(region & country, DISTANCE["region and country"])
+        .when(region & country, DISTANCE["region&country"])
         .when(region, DISTANCE["region"])
         .when(country, DISTANCE["country"])
-        .when(regions("A", "C"), DISTANCE["regions A and C"])
-        .when(regions("C", "D"), DISTANCE["regions C and D"])
+        .when(regions("A", "C"), DISTANCE["AC"])
+        .when(regions("C", "D"), DISTANCE["CD"])
         .otherwise(DISTANCE["other"])
     )
     return _ends(links, rses).select("src", "dest", distance.alias("distance"))

@@ -9,6 +9,8 @@ range partitions plus counts).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,7 +59,8 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: str
 
     Rows are range partitioned by (key, order), so a hot key spreads over many tasks.  The
     placement is written once to the checkpoint folder (this runs a job), because the
-    counts and the rows must see the same placement even after an executor is lost.  A
+    counts and the rows must see the same placement even after an executor is lost.  Rows
+    with a null key are numbered as one key.  A
     number is then the place in the task plus the rows of the key in earlier tasks.
     """
     placed = cut_lineage(
@@ -75,15 +78,14 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: str
         (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         F.sum("_size").over(Window.partitionBy(*keys)).alias(total),
     )
-    return (
-        placed.join(runs, [*keys, "_part"])
-        .withColumn(n, F.col("_pos") + F.col("_shift"))
-        .drop("_part", "_pos", "_shift")
-    )
+    runs = runs.select(*[F.col(k).alias(f"_run_{k}") for k in [*keys, "_part"]], "_shift", total)
+    # a null key is a key like any other
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_run_{k}")) for k in keys], F.col("_part") == F.col("_run__part"))
+    return placed.join(runs, same).select(*df.columns, (F.col("_pos") + F.col("_shift")).alias(n), total)
 
 
 def block_chunks(files: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = 100) -> DataFrame:
-    """Pack the ordered rows of each key into blocks of ``size``: ``chunk`` from 0."""
+    """Pack the ordered rows of each key into blocks of ``size``: ``chunk`` from 0.  Runs a job (``number_rows``)."""
     numbered = number_rows(files, keys, order, n="_n", total="_total")
     return numbered.withColumn("chunk", F.floor((F.col("_n") - 1) / size).cast("bigint")).drop("_n", "_total")
 

@@ -97,11 +97,11 @@ def event_failures(
     end: Column,
     src: str | None = None,
     dst: str | None = None,
-    limit: int | None = 500,
+    limit: int | None = None,
 ) -> DataFrame:
     """Failed transfers in the window, newest first, as printed lines.
 
-    The cap (the feature: a screenful) applies after all filters, so it never hides a
+    ``limit`` (a screenful) applies after all filters, so it never hides a
     failure in favour of a success.
     """
     keep = (F.col("event_type") == "transfer-failed") & (F.col("ts") >= start) & (F.col("ts") <= end)
@@ -141,12 +141,17 @@ def open_blocks_excluded(datasets: DataFrame) -> DataFrame:
 
 def archive_host_groups(urls: DataFrame, chunk: int = 500) -> DataFrame:
     """URLs by host: (host, chunk, paths), at most ``chunk`` paths a row, so that one busy
-    host is many rows."""
+    host is many rows.
+
+    Every URL comes out: one without scheme and host, or a null one, under the host ``https://``.
+    Runs a job (``number_rows``).
+    """
     from .ranking import block_chunks
 
+    url = F.coalesce("url", F.lit(""))
     parts = urls.select(
-        F.concat(F.lit("https://"), F.try_parse_url("url", F.lit("AUTHORITY"))).alias("host"),
-        F.coalesce(F.try_parse_url("url", F.lit("PATH")), F.lit("")).alias("path"),
+        F.concat(F.lit("https://"), F.regexp_extract(url, r"^\w+://([^/?#]*)", 1)).alias("host"),
+        F.regexp_extract(url, r"^(?:\w+://[^/?#]*)?([^?#]*)", 1).alias("path"),
         "url",
     )
     packed = block_chunks(parts, ["host"], ["path", "url"], chunk)

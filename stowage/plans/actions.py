@@ -129,12 +129,14 @@ def registration_plan(files: DataFrame, folder: str, scope: str, block_size: int
     """Containers, blocks, files and attachments for a list of paths.
 
     Paths are packed in order into blocks of ``block_size`` per container; a block is named
-    by a hash of container and number, so a second run plans the same names.
+    by a hash of container and number, so a second run plans the same names.  A path that does
+    not fit the folder becomes a ``reject`` row.  Runs a job (``block_chunks``).
     """
-    named = files.select(F.col("path").alias("file"), dataset_from_path("path", folder).alias("container")).filter(
-        "container IS NOT NULL"
+    every = files.select(F.col("path").alias("file"), dataset_from_path("path", folder).alias("container"))
+    unfit = action_table(
+        every.filter("container IS NULL"), "reject", "file", scope=F.lit(scope), reason="path does not fit the folder pattern"
     )
-    packed = block_chunks(named, ["container"], ["file"], block_size)
+    packed = block_chunks(every.filter("container IS NOT NULL"), ["container"], ["file"], block_size)
     block = F.concat("container", F.lit("#"), F.md5(F.concat_ws("|", "container", F.col("chunk").cast("string"))))
     rows = packed.withColumn("block", block)
     add = lambda df, col, kind, pos: action_table(
@@ -149,4 +151,5 @@ def registration_plan(files: DataFrame, folder: str, scope: str, block_size: int
         .unionByName(attach(rows, "container", "block", 2))
         .unionByName(add(rows, "file", "FILE", 3))
         .unionByName(attach(rows, "block", "file", 4))
+        .unionByName(unfit)
     )

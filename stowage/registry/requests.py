@@ -330,7 +330,7 @@ def _(c):
     starts = F.explode(F.sequence(F.lit(0), F.octet_length("data") - 1, F.lit(1000)))
     pieces = docs.filter(F.octet_length("data") > 0).select("lfn", "data", starts.alias("at"))
     pieces = pieces.select("lfn", F.col("at").cast("bigint").alias("at"), F.substring("data", F.col("at") + 1, F.lit(1000)).alias("content"))
-    return itg.chunk_checksum(pieces, sizes)
+    return itg.chunk_checksum(pieces, sizes).select("lfn", "computed")
 
 
 @registered(

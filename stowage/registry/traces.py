@@ -78,6 +78,16 @@ def _(c):
        FROM transfer_events WHERE event_type = 'transfer-failed' AND ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-25'
        ORDER BY ts DESC, request_id LIMIT 500""",
 )
+def _(c):
+    at = lambda text: F.lit(text).cast("timestamp_ntz")
+    return tr.event_failures(c.transfer_events, at("2024-01-05"), at("2024-01-25"), limit=500).drop("ts")
+
+
+@registered(
+    "event_failures_all",
+    """SELECT request_id, src_rse || ' ' || dst_rse || ' ' || name || ' ' || replace(purged_reason, '"', '') || ' ' || request_id AS line
+       FROM transfer_events WHERE event_type = 'transfer-failed' AND ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-25'""",
+)
 def _(c):
     at = lambda text: F.lit(text).cast("timestamp_ntz")
     return tr.event_failures(c.transfer_events, at("2024-01-05"), at("2024-01-25")).drop("ts")

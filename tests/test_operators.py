@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stowage import session
-from stowage.operators import capacity, containers, integrity, invalidation, placement, quality, ranking, reconcile, requests, traces
+from stowage.operators import approval, capacity, containers, integrity, invalidation, placement, quality, ranking, reconcile, requests, traces
 from stowage.plans import actions
 from stowage.sources import lists
 from stowage.streaming import streams
@@ -202,12 +202,8 @@ def test_container_stats_levels_and_cycle(spark, rows):
     assert rows(containers.container_stats(contents, files)) == [("d1", 2, 15), ("mid", 2, 15), ("top", 4, 30)]
     assert rows(containers.container_stats(contents, files, distinct=True)) == [("d1", 2, 15), ("mid", 2, 15), ("top", 2, 15)]
     loop = spark.createDataFrame([("a", "b", "C", "C"), ("b", "a", "C", "C"), ("a", "f1", "D", "F")], schema)
-    old, containers.MAX_LEVELS = containers.MAX_LEVELS, 4
-    try:
-        with pytest.raises(ValueError, match="contain themselves"):
-            containers.container_stats(loop, files)
-    finally:
-        containers.MAX_LEVELS = old
+    with pytest.raises(ValueError, match="contain themselves"):
+        containers.container_stats(loop, files)
 
 
 def test_tape_hints_without_type(spark):
@@ -301,6 +297,66 @@ def test_chunk_checksum_of_one_large_payload(spark):
     assert got == {k: f"{zlib.adler32(v):08x}" for k, v in payloads.items()}
 
 
+def test_chunk_checksum_accounts_for_every_file(spark):
+    chunks = spark.createDataFrame([("half", 0, b"abc"), ("whole", 0, b"abc")], "lfn string, at long, content binary")
+    sizes = spark.createDataFrame([("half", 6), ("whole", 3), ("empty", 0), ("absent", 4), ("unsized", None)], "lfn string, size long")
+    got = {r["lfn"]: (r["computed"], r["reason"] is None) for r in integrity.chunk_checksum(chunks, sizes).collect()}
+    assert got == {"half": (None, False), "whole": (f"{zlib.adler32(b'abc'):08x}", True), "empty": ("00000001", True),
+                   "absent": (None, False), "unsized": (None, False)}
+
+
+def test_missing_content_is_an_error_and_not_intact(spark, rows):
+    attempts = spark.createDataFrame(
+        [("f", "X", 0, "gone", True, "1"), ("f", "Y", 0, "null", True, "1"), ("f", "Z", 0, "none", None, "1")],
+        "lfn string, rse string, pos int, pfn string, copied boolean, adler32 string",
+    )
+    contents = spark.createDataFrame([("null", None)], "pfn string, content binary")
+    got = rows(integrity.payload_check_job(attempts, contents), "rse", "status")
+    assert got == [("X", "ERROR"), ("Y", "ERROR"), ("Z", "ERROR")]
+    assert rows(integrity.checksum_invalidations(attempts, contents), "rse") == [("X",), ("Y",), ("Z",)]
+
+
+def test_null_keys_are_numbered(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", None)], "key string, v int")
+    got = sorted(((r["key"], r["v"], r["n"], r["total"]) for r in ranking.number_rows(df, ["key"], ["v"]).collect()), key=str)
+    assert got == sorted([(None, 1, 1, 2), (None, 2, 2, 2), ("a", 3, 1, 1), ("b", None, 1, 1)], key=str)
+
+
+def test_every_url_has_a_group(spark):
+    urls = ["https://h.org/a/b?q#f", "https://h.org", "not a url", "/bare/path", "http://h.org/with blank", "root://e//store/x", None]
+    got = traces.archive_host_groups(spark.createDataFrame([(u,) for u in urls], "url string")).collect()
+    assert sum(len(r["paths"]) for r in got) == len(urls)
+    assert {r["host"]: r["paths"] for r in got} == {
+        "https://h.org": ["", "/a/b", "/with blank"], "https://": ["", "/bare/path", "not a url"], "https://e": ["//store/x"],
+    }
+
+
+def test_paths_that_do_not_fit_are_rejected(spark):
+    files = spark.createDataFrame([("/store/group/x/A/B/C/v1/f.root",), ("/elsewhere/f.root",), (None,)], "path string")
+    plan = actions.registration_plan(files, "/store/group/x", "user.x").collect()
+    assert sorted(str(r["name"]) for r in plan if r["kind"] == "reject") == ["/elsewhere/f.root", "None"]
+    assert all(r["reason"] for r in plan if r["kind"] == "reject")
+    assert any(r["kind"] == "add_did" and r["name"].endswith("f.root") for r in plan)
+
+
+def test_approval_limits(spark):
+    request = [(1, 0, "n", "u", "X", True, False, 10)]
+    requests_ = spark.createDataFrame(
+        request, "request_id int, position int, name string, account string, rse_expression string, ask_approval boolean, locked boolean, lifetime int"
+    )
+    facts = spark.createDataFrame([(1, 1, 1, False)], "request_id int, n_rses long, n_writable long, barred boolean")
+    banned = spark.createDataFrame([], "account string")
+    sizes = spark.createDataFrame([("n", 100)], "name string, size long")
+    usage = spark.createDataFrame([("u", None, 50, 1), ("u", "X", 20, 0)], "account string, rse_expression string, bytes long, whole_account int")
+    locked = spark.createDataFrame([(1000,)], "bytes long")
+    decide = lambda **limits: approval.rule_request_decision(requests_, facts, banned, sizes, usage, locked, **limits).first()["decision"]
+    assert decide() == "approved"
+    assert decide(max_single_rse=119) == "single endpoint usage exceeded" and decide(max_single_rse=120) == "approved"
+    assert decide(max_account=149) == "account usage exceeded" and decide(max_account=150) == "approved"
+    assert decide(max_global=1099) == "global usage exceeded" and decide(max_global=1100) == "approved"
+    assert decide(max_lifetime=9) == "lifetime too long"
+
+
 def test_binary_files_end_to_end(spark, tmp_path):
     (tmp_path / "a.root").write_bytes(b"hello")
     files = spark.read.format("binaryFile").load(str(tmp_path)).select(F.col("path").alias("lfn"), "content")
