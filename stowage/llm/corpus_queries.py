@@ -88,7 +88,8 @@ def op10_url_lists(spark, sf_dir):
             "domain", F.lit(action).alias("action"), F.expr(day.format(place)).alias("listed_on")
         )
         changes = own if changes is None else changes.union(own)
-    return url_lists.judge_captures(pages, changes)
+    found = url_lists.judge_captures(pages, changes)
+    return found.withColumns({c: found[c].cast("string") for c in ("fetched_on", "valid_from")})
 
 
 QUERIES = {
@@ -180,7 +181,7 @@ CHECKS = {
         m AS (SELECT page_id, max({'n': length(domain), 'domain': domain, 'action': CASE s WHEN 3 THEN 'block' ELSE 'allow' END, 'f': listed}) AS e
               FROM pg JOIN iv ON (host = domain OR ends_with(host, '.' || domain)) AND s > 1 AND fetched_on >= listed
                    AND (valid_to IS NULL OR fetched_on < valid_to) GROUP BY page_id)
-        SELECT pg.page_id, host, fetched_on, e.action AS action, e.domain AS domain, e.f AS valid_from,
+        SELECT pg.page_id, host, CAST(fetched_on AS VARCHAR) AS fetched_on, e.action AS action, e.domain AS domain, CAST(e.f AS VARCHAR) AS valid_from,
                coalesce(e.action = 'block', false) AS blocked FROM pg LEFT JOIN m USING (page_id)
     """,
 }
