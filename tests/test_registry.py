@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from stowage import registry
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = registry.queries(), registry.checks()
 # Views with conditions on amounts leave these without rows at the smallest scale.
 MAY_BE_EMPTY = {"EMPTY on both sides"}
 
@@ -22,6 +23,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_a_check():
     assert sorted(QUERIES) == sorted(CHECKS)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
 
 
 def no_nested_loops(df):
