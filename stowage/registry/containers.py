@@ -42,10 +42,10 @@ def _(c):
 @registered(
     "children_by_parent",
     """SELECT name, n // 5 AS chunk, string_agg(child_name, ',' ORDER BY child_name) AS children
-       FROM (SELECT name, child_name, row_number() OVER (PARTITION BY name ORDER BY child_name) - 1 AS n FROM contents WHERE did_type = 'C') GROUP BY 1, 2""",
+       FROM (SELECT name, child_name, row_number() OVER (PARTITION BY name ORDER BY child_name) - 1 AS n FROM contents) GROUP BY 1, 2""",
 )
 def _(c):
-    out = cont.children_by_parent(c.contents.filter("did_type = 'C'"), chunk=5)
+    out = cont.children_by_parent(c.contents, chunk=5)
     return out.withColumn("children", F.array_join("children", ","))
 
 
@@ -111,15 +111,18 @@ def _(c):
     return ap.autoapprove_locked(c.rules, c.locks)
 
 
-_REQUESTS = """
+# three in four orders ask for plain disk of one tier only, so that checks beyond the kind of endpoint are reached
+_ASKED = "CASE WHEN l_orderkey % 4 = 0 THEN l_suppkey ELSE l_suppkey - l_suppkey % 12 + 1 END"
+
+_REQUESTS = f"""
     rq AS (SELECT o_orderkey AS request_id, CASE WHEN o_totalprice > 250000 THEN 1 ELSE 0 END AS position, 'u' || CAST(o_custkey AS VARCHAR) AS account,
-                  CASE WHEN o_totalprice > 400000 THEN 'u' || CAST(o_custkey AS VARCHAR) ELSE 'u1' END AS issuer,
+                  CASE WHEN o_totalprice > 400000 THEN 'u' || CAST(o_custkey AS VARCHAR) WHEN o_totalprice > 300000 THEN 'crab_tape_recall' ELSE 'u1' END AS issuer,
                   o_orderpriority AS priority, o_orderpriority <> '5-LOW' AS ask_approval, o_orderpriority = '4-NOT SPECIFIED' AS locked,
                   CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(round(o_totalprice * 10) AS BIGINT) END AS lifetime, o_custkey FROM orders),
     fc AS (SELECT l_orderkey AS request_id, count(*) AS n_rses, count(*) FILTER (availability_write) AS n_writable,
                   bool_or(rse_type = 'TAPE' OR tier IN (0, 3)) AS barred, bool_or(tier = 1 AND rse_type = 'TAPE') AS needs_approval,
                   false AS all_temp, bool_or(rse LIKE '%\\_Tape' ESCAPE '\\') AS any_tape
-           FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_linenumber = 1) JOIN rses ON rse_id = l_suppkey GROUP BY 1)
+           FROM (SELECT DISTINCT l_orderkey, {_ASKED} AS asked FROM lineitem) JOIN rses ON rse_id = asked GROUP BY 1)
 """
 
 
@@ -127,7 +130,7 @@ def _requests(c):
     return c.sql(
         """SELECT o_orderkey AS request_id, CASE WHEN o_totalprice > 250000 THEN 1 ELSE 0 END AS position,
                   'u' || CAST(o_custkey AS STRING) AS account,
-                  CASE WHEN o_totalprice > 400000 THEN 'u' || CAST(o_custkey AS STRING) ELSE 'u1' END AS issuer,
+                  CASE WHEN o_totalprice > 400000 THEN 'u' || CAST(o_custkey AS STRING) WHEN o_totalprice > 300000 THEN 'crab_tape_recall' ELSE 'u1' END AS issuer,
                   o_orderpriority AS priority, o_orderpriority <> '5-LOW' AS ask_approval, o_orderpriority = '4-NOT SPECIFIED' AS locked,
                   CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(round(o_totalprice * 10) AS BIGINT) END AS lifetime FROM orders"""
     )
@@ -135,7 +138,7 @@ def _requests(c):
 
 def _facts(c):
     rses = c.rses.withColumn("requires_approval", F.expr("tier = 1 AND rse_type = 'TAPE'"))
-    request_rses = c.sql("SELECT l_orderkey AS request_id, rse FROM lineitem JOIN rses ON rse_id = l_suppkey WHERE l_linenumber = 1")
+    request_rses = c.sql(f"SELECT l_orderkey AS request_id, rse FROM lineitem JOIN rses ON rse_id = {_ASKED}")
     return ap.request_rse_facts(request_rses, rses)
 
 
@@ -144,30 +147,51 @@ def _(c):
     return _facts(c)
 
 
-@registered(
-    "rule_request_decision",
-    f"""WITH {_SIZES}, {_REQUESTS}, rr AS (SELECT rq.*, r.name, r.rse_expression FROM rq JOIN rules r ON r.rule_id = rq.request_id),
-    d AS (SELECT rr.request_id,
+def _decision_sql(single, account, whole):
+    return f"""SELECT rr.request_id,
         CASE WHEN NOT ask_approval THEN 'ask_approval missing' WHEN coalesce(fc.barred, false) THEN 'tape, tier 3 or tier 0 endpoint'
              WHEN rr.account IN (SELECT account FROM accounts WHERE email IS NULL) THEN 'account banned' WHEN locked THEN 'locked'
              WHEN lifetime IS NULL THEN 'no lifetime' WHEN lifetime > 30 * 24 * 3600 THEN 'lifetime too long'
-             WHEN fc.n_writable = 1 AND coalesce(b.bytes, 0) + coalesce(sz.size, 0) > 50e12 THEN 'single endpoint usage exceeded'
-             WHEN coalesce(a.bytes, 0) + coalesce(sz.size, 0) > 1e15 THEN 'account usage exceeded'
+             WHEN fc.n_writable = 1 AND coalesce(b.bytes, 0) + coalesce(sz.size, 0) > {single} THEN 'single endpoint usage exceeded'
+             WHEN coalesce(a.bytes, 0) + coalesce(sz.size, 0) > {account} THEN 'account usage exceeded'
+             WHEN lk.bytes + coalesce(sz.size, 0) > {whole} THEN 'global usage exceeded'
              ELSE 'approved' END AS decision
       FROM rr LEFT JOIN fc ON fc.request_id = rr.request_id LEFT JOIN sz ON sz.name = rr.name
       LEFT JOIN us a ON a.account = rr.account AND a.whole_account = 1
-      LEFT JOIN us b ON b.account = rr.account AND b.rse_expression = rr.rse_expression AND b.whole_account = 0)
-    SELECT request_id, decision FROM d""",
-)
-def _(c):
+      LEFT JOIN us b ON b.account = rr.account AND b.rse_expression = rr.rse_expression AND b.whole_account = 0
+      CROSS JOIN (SELECT coalesce(sum(bytes), 0) AS bytes FROM locks
+                  WHERE rule_id IN (SELECT rule_id FROM rules WHERE activity = 'User AutoApprove')) lk"""
+
+
+_ASKING = f"{_SIZES}, {_REQUESTS}, rr AS (SELECT rq.*, r.name, r.rse_expression FROM rq JOIN rules r ON r.rule_id = rq.request_id)"
+# limits that are reached on small tables, without and with the global one
+_SMALL = {"open": (9e6, 2e7, 1e16), "full": (9e6, 2e7, 1e3)}
+
+
+def _decisions(c, *limits):
     sizes = _sizes(c)
     requests = _requests(c).join(c.rules.select(F.col("rule_id").alias("request_id"), "name", "rse_expression"), "request_id")
+    named = dict(zip(("max_single_rse", "max_account", "max_global"), limits))
     return ap.rule_request_decision(
         requests, _facts(c), c.accounts.filter("email IS NULL").select("account").distinct(), sizes,
-        ap.autoapprove_usage(c.rules, sizes), ap.autoapprove_locked(c.rules, c.locks),
+        ap.autoapprove_usage(c.rules, sizes), ap.autoapprove_locked(c.rules, c.locks), **named,
     )
 
 
+@registered("rule_request_decision", f"WITH {_ASKING} {_decision_sql(50e12, 1e15, 1e16)}")
+def _(c):
+    return _decisions(c)
+
+
+@registered(
+    "rule_request_decision_limits",
+    f"WITH {_ASKING} " + " UNION ALL ".join(f"SELECT '{k}' AS limits, * FROM ({_decision_sql(*v)})" for k, v in _SMALL.items()),
+)
+def _(c):
+    open_, full = (_decisions(c, *v).withColumn("limits", F.lit(k)) for k, v in _SMALL.items())
+    return open_.unionByName(full)
+
+
 @registered(
     "rule_add_check",
     f"""WITH {_REQUESTS}, q AS (SELECT rq.*, CASE priority WHEN '1-URGENT' THEN 'User AutoApprove' WHEN '2-HIGH' THEN 'Analysis TapeRecall' ELSE 'Staging' END AS activity FROM rq)
@@ -176,6 +200,7 @@ def _(c):
         WHEN activity = 'Staging' AND ask_approval AND coalesce(fc.n_rses, 0) <> 1 THEN 'refused: approval for one endpoint only'
         WHEN activity = 'User AutoApprove' THEN 'auto'
         WHEN a.account_type IS NOT NULL AND (a.account_type = 'USER' OR contains(q.account, '_local')) AND lifetime IS NULL THEN 'refused: no lifetime'
+        WHEN activity = 'Analysis TapeRecall' AND q.issuer = 'crab_tape_recall' THEN 'allowed'
         WHEN coalesce(fc.all_temp, true) AND lifetime IS NOT NULL AND lifetime < 31 * 86400 THEN 'allowed'
         WHEN coalesce(fc.any_tape, false) AND lifetime IS NOT NULL THEN 'refused: lifetime on tape'
         WHEN q.account = q.issuer AND NOT locked THEN 'allowed'

@@ -495,10 +495,10 @@ def _(c):
     "probe_consistency",
     """SELECT rse, count(*) AS probes, count(DISTINCT definition) = 1 AS ok FROM
        (SELECT rse, scheme || definition AS definition FROM protocols_wanted UNION ALL
-        SELECT rse, scheme || definition FROM protocols_now WHERE scheme = 'root') GROUP BY 1""",
+        SELECT rse, scheme || definition FROM protocols_now) GROUP BY 1""",
 )
 def _(c):
     rows = c.protocols_wanted.select("rse", "scheme", "definition").unionByName(
-        c.protocols_now.filter("scheme = 'root'").select("rse", "scheme", "definition")
+        c.protocols_now.select("rse", "scheme", "definition")
     )
     return q.probe_consistency(rows, ["scheme", "definition"])

@@ -73,10 +73,10 @@ def _(c):
     return ls.json_list_scan(c.spark, path, schema).select("rse", "site", F.inline("protocols"))
 
 
-@registered("list_sink_text", "SELECT DISTINCT child_name AS name FROM contents WHERE did_type = 'D'")
+@registered("list_sink_text", "SELECT DISTINCT child_name AS name FROM contents")
 def _(c):
     path = scratch_path(c.spark, "list")
-    ls.list_sink_text(c.contents.filter("did_type = 'D'"), path, "child_name")
+    ls.list_sink_text(c.contents, path, "child_name")
     return ls.did_list_scan(c.spark, path)
 
 
@@ -121,8 +121,8 @@ def _(c):
     return ls.did_glob(c.contents.select("name", "did_type").distinct(), "/C1*/Era?-v1/*", "container")
 
 
-@registered("list_sink_csv", "SELECT DISTINCT name, did_type FROM contents WHERE did_type = 'C'")
+@registered("list_sink_csv", "SELECT DISTINCT name, did_type FROM contents")
 def _(c):
     path = scratch_path(c.spark, "sink")
-    ls.list_sink_csv(c.contents.filter("did_type = 'C'").select("name", "did_type"), path)
+    ls.list_sink_csv(c.contents.select("name", "did_type"), path)
     return ls.csv_list_scan(c.spark, path, ["name", "did_type"])

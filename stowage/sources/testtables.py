@@ -190,7 +190,7 @@ VIEWS: dict[str, str] = {
     "dark_history": f"""
         SELECT rse, {file_name('k')} AS path, run_at
         FROM (SELECT DISTINCT coalesce(region, 'X') || '_' || rse_type AS rse, l_partkey AS k, l_shipdate AS run_at
-              FROM lineitem JOIN rses ON rse_id = l_suppkey WHERE l_returnflag = 'N') t
+              FROM lineitem JOIN rses ON rse_id = l_suppkey) t
     """,
     "scan_totals": f"""
         SELECT rse, count(*) * 40 AS files, max(run_at) AS last_run FROM dark_history GROUP BY rse
@@ -382,11 +382,11 @@ VIEWS: dict[str, str] = {
         FROM lineitem
     """,
     "int_checked": f"""
-        SELECT 'i' || CAST(l_linenumber AS STRING) AS request_id,
+        SELECT CASE WHEN l_quantity > 20 THEN 'i' ELSE 'j' END || CAST(l_linenumber AS STRING) AS request_id,
                CASE WHEN max(CASE l_linestatus WHEN 'O' THEN 1 ELSE 0 END) = 1 THEN 'cms:' ELSE '' END || {file_name('l_partkey')} AS filename, {file_name('l_partkey')} AS lfn,
                CASE WHEN max(l_discount) > 0.08 THEN 'no replicas' END AS error,
                'T1_R' || CAST(max(l_suppkey) AS STRING) AS rse1, 'T2_R' || CAST(min(l_suppkey) AS STRING) AS rse2
-        FROM lineitem WHERE l_quantity > 20 GROUP BY l_linenumber, l_partkey
+        FROM lineitem GROUP BY l_quantity > 20, l_linenumber, l_partkey
     """,
     # access paths tried in order; content is one byte so that its checksum has a closed form
     "attempts": f"""
