@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import dataset_from_path, purge_flag
+from ..operators.invalidation import last_replica_files
 from ..operators.ranking import block_chunks
 
 # Seconds until an erased name expires; order in which lists are worked.
@@ -72,6 +73,56 @@ def invalidation_actions(lists: Mapping[str, DataFrame], reason: str, erase: Dat
     return out
 
 
+def invalidation_plan_by_mode(
+    mode: str,
+    level: str,
+    names: DataFrame,
+    lists: Mapping[str, DataFrame],
+    reason: str,
+    site: str | None = None,
+    erase: bool = False,
+    last_replicas: DataFrame | None = None,
+) -> DataFrame:
+    """What one run of an invalidation does, by mode.
+
+    ``global`` acts on the catalogue and on the bookkeeping, ``catalogue-only`` and
+    ``bookkeeping-only`` on one of them, ``site-invalidation`` on the replicas at ``site``.
+    ``lists`` comes from the ``invalidate_*`` operator of ``level`` (file, dataset, container).
+    Rules are deleted, and collections expire, only with ``erase``; suspended rules are
+    tried again at file level.  At file level the bookkeeping takes the names as given.
+    ``last_replicas`` (all replicas: name, rse, state) makes a site invalidation that takes a
+    file's last valid replica invalidate it in the bookkeeping too.
+    """
+    if mode not in ("global", "catalogue-only", "bookkeeping-only", "site-invalidation"):
+        raise ValueError(f"mode {mode!r}")
+    if (mode == "site-invalidation") != (site is not None):
+        raise ValueError("a site belongs to site-invalidation, and only to it")
+    if mode == "site-invalidation" and erase or mode != "site-invalidation" and last_replicas is not None:
+        raise ValueError(f"option does not fit mode {mode!r}")
+    chosen: dict[str, DataFrame] = {}
+    erased = None
+    if mode != "bookkeeping-only":
+        chosen["replicas"] = lists["replicas"]
+        if site is not None:
+            here = lists["replicas"].filter(F.array_contains(F.split("rses", ";"), site))
+            chosen["replicas"] = here.select("name", F.lit(site).alias("rses"))
+        if level == "file":
+            chosen["rules_stuck"] = lists["rules_stuck"]
+        if erase:
+            chosen["rules"] = lists["rules"]
+            if level != "file":
+                erased = names.select("name").distinct()
+            if level == "container":
+                erased = erased.unionByName(lists["datasets"].select("name"))
+    if mode in ("global", "bookkeeping-only"):
+        chosen["files"] = names.select("name").distinct() if level == "file" else lists["files"]
+        if level == "container":
+            chosen["files"] = chosen["files"].unionByName(names.select("name").distinct())
+    if last_replicas is not None:
+        chosen["files"] = last_replica_files(chosen["replicas"], last_replicas).filter("last_replica").select("name")
+    return invalidation_actions(chosen, reason, erased)
+
+
 def capacity_actions(plan: DataFrame) -> DataFrame:
     """``site_capacity_plan`` rows as usage and limit settings."""
     usage = action_table(plan, "set_usage", F.lit("static"), "rse", args={"used": F.col("new_static").cast("bigint")})

@@ -271,6 +271,49 @@ def _(c):
     return _args(act.invalidation_actions(lists, "lost", erase))
 
 
+@registered(
+    "invalidation_plan_by_mode",
+    f"""WITH {_CDF},
+    de AS (SELECT cdf.container, cdf.dataset, cdf.file, rr.rse, ll.rule_id
+           FROM cdf JOIN rr ON rr.name = cdf.file LEFT JOIN ll ON ll.name = cdf.file AND ll.rse = rr.rse),
+    site AS (SELECT DISTINCT file FROM de WHERE rse = 'T0_AA_S0'),
+    stuck AS (SELECT DISTINCT CAST(de.rule_id AS VARCHAR) AS name FROM de JOIN rules ru ON ru.rule_id = de.rule_id
+              WHERE ru.state = 'U' AND de.file IN (SELECT name FROM files)),
+    a AS (SELECT DISTINCT 'global' AS mode, 0 AS position, 'delete_rule' AS kind, CAST(rule_id AS VARCHAR) AS name, rse,
+                 'purge=' || CAST(contains(rse, 'Tape') AS VARCHAR) AS args FROM de WHERE rule_id IS NOT NULL
+          UNION ALL SELECT DISTINCT m.mode, 1, 'declare_bad', file, rse, 'force=true' FROM de, (VALUES ('global'), ('catalogue-only')) m(mode)
+          UNION ALL SELECT DISTINCT m.mode, 1, 'invalidate', x.name, NULL, 'valid=0'
+                    FROM (SELECT file AS name FROM de UNION SELECT name FROM contents WHERE did_type = 'C') x, (VALUES ('global'), ('bookkeeping-only')) m(mode)
+          UNION ALL SELECT 'global', 2, 'expire_did', name, NULL, 'lifetime=86400'
+                    FROM (SELECT name FROM contents WHERE did_type = 'C' UNION SELECT dataset FROM de)
+          UNION ALL SELECT 'site-invalidation', 1, 'declare_bad', file, 'T0_AA_S0', 'force=true' FROM site WHERE file IN (SELECT name FROM files)
+          UNION ALL SELECT 'site-invalidation', 1, 'invalidate', file, NULL, 'valid=0' FROM site
+                    WHERE file IN (SELECT name FROM files) AND NOT EXISTS
+                          (SELECT 1 FROM rr WHERE rr.name = site.file AND rr.state IN ('A', 'T') AND rr.rse <> 'T0_AA_S0')
+          UNION ALL SELECT 'site-invalidation', 3, 'stuck_rule', name, NULL, 'state=STUCK' FROM stuck)
+    SELECT mode, CAST(position AS INTEGER) AS position, kind, 'cms' AS scope, name, rse, args, 'File Invalidation Tool - lost' AS reason FROM a""",
+)
+def _(c):
+    names = c.contents.filter("did_type = 'C'").select("name").distinct()
+    replicas, locks = replicas_named(c), locks_named(c)
+    whole = inv.invalidate_containers(names, c.contents, replicas, locks)
+    files = c.files.select("name")
+    single = inv.invalidate_files(files, c.contents, replicas, locks, c.rules)
+    plans = {
+        "global": act.invalidation_plan_by_mode("global", "container", names, whole, "lost", erase=True),
+        "catalogue-only": act.invalidation_plan_by_mode("catalogue-only", "container", names, whole, "lost"),
+        "bookkeeping-only": act.invalidation_plan_by_mode("bookkeeping-only", "container", names, whole, "lost"),
+        "site-invalidation": act.invalidation_plan_by_mode(
+            "site-invalidation", "file", files, single, "lost", site="T0_AA_S0", last_replicas=replicas
+        ),
+    }
+    out = None
+    for mode, plan in plans.items():
+        part = plan.withColumn("mode", F.lit(mode))
+        out = part if out is None else out.unionByName(part)
+    return _args(out)
+
+
 @registered(
     "capacity_actions",
     f"""WITH {reg_capacity._PLAN}

@@ -127,6 +127,33 @@ def test_invalidate_datasets_and_files(spark, rows, catalogue):
     assert plan.filter("kind = 'expire_did'").first()["args"] == {"lifetime": "86400"}
 
 
+def test_invalidation_plan_by_mode(spark, rows, catalogue):
+    c = catalogue
+    lists = invalidation.invalidate_containers(names(spark, "/C"), c["contents"], c["replicas"], c["locks"])
+    made = lambda *a, **k: rows(actions.invalidation_plan_by_mode(*a, reason="lost", **k), "kind", "name", "rse")
+    bad = [("declare_bad", "f1", "A_Disk"), ("declare_bad", "f1", "B_Tape"), ("declare_bad", "f2", "A_Disk")]
+    off = [("invalidate", n, None) for n in ("/C", "f1", "f2")]
+    one = names(spark, "/C")
+    assert made("catalogue-only", "container", one, lists) == bad
+    assert made("bookkeeping-only", "container", one, lists) == off
+    erased = [("expire_did", "/C", None), ("expire_did", "/C#1", None)]
+    gone = [("delete_rule", "1", "A_Disk"), ("delete_rule", "2", "A_Disk"), ("delete_rule", "3", "B_Tape")]
+    assert made("global", "container", one, lists, erase=True) == sorted(bad + off + erased + gone, key=str)
+    wanted = names(spark, "f1", "f2")
+    files = invalidation.invalidate_files(wanted, c["contents"], c["replicas"], c["locks"], c["rules"])
+    valid = c["replicas"].withColumn("state", F.lit("A"))
+    site = made("site-invalidation", "file", wanted, files, site="A_Disk", last_replicas=valid)
+    # f1 has another valid replica, f2 has none
+    assert [r for r in site if r[0] != "stuck_rule"] == [
+        ("declare_bad", "f1", "A_Disk"), ("declare_bad", "f2", "A_Disk"), ("invalidate", "f2", None)
+    ]
+    for wrong in ({"site": "A_Disk"}, {"last_replicas": valid}):
+        with pytest.raises(ValueError):
+            made("global", "container", one, lists, **wrong)
+    with pytest.raises(ValueError):
+        made("site-invalidation", "file", wanted, files)
+
+
 def test_hot_file_costs_its_locks_once(spark, rows, catalogue):
     c = catalogue
     many = spark.range(5000).select(F.lit("f1").alias("name"), F.lit("A_Disk").alias("rse"), F.col("id").alias("rule_id"))
