@@ -123,7 +123,7 @@ def metric_window_scan(metrics: DataFrame, start: Column, end: Column, fields: S
     return metrics.filter((F.col("ts") >= start) & (F.col("ts") < end)).select("ts", *fields).orderBy(F.desc("ts"))
 
 
-def latest_metric_per_site(metrics: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
+def latest_metric_per_site(metrics: DataFrame, tie: Sequence[str]) -> DataFrame:
     return latest_per_key(metrics, ["name"], ["ts"], tie)
 
 

@@ -1,7 +1,7 @@
 """Ranking that holds when one key owns a large share of the rows.
 
 A plain ``row_number`` over a key puts all rows of that key into one task.  Three ways
-round it, by need: the best row of a key (``latest_per_key``, an aggregate), the first n
+round it, by need: the best row of a key (``latest_per_key``), the first n
 rows (``top_n_per_key``, cut before the shuffle) and a full numbering (``number_rows``,
 range partitions plus counts).
 """
@@ -20,18 +20,12 @@ from ..session import cut_lineage
 SALTS = 64
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
-    """The newest row per key; among equal times the one with the smallest ``tie``.
-
-    Without ties an aggregate keeps one row per key and map task; with them the group limit
-    of ``top_n_per_key`` does.
-    """
-    if tie:
-        order = [F.col(c).desc() for c in newest] + [F.col(c).asc() for c in tie]
-        return top_n_per_key(df, keys, order, 1)
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*newest)).alias("_row"))
-    return picked.select(*keys, "_row.*")
+def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str], tie: Sequence[str]) -> DataFrame:
+    """The newest row per key; among equal times the one with the smallest ``tie``, which so must be named."""
+    if not tie:
+        raise ValueError("name what decides between equal times")
+    order = [F.col(c).desc() for c in newest] + [F.col(c).asc() for c in tie]
+    return top_n_per_key(df, keys, order, 1)
 
 
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

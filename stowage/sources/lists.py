@@ -84,10 +84,11 @@ def line_counts(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"), F.sum("filled").alias("filled"))
         .select("file", (F.col("rows") + F.when(F.col("bytes") == F.col("size"), 1).otherwise(0)).alias("total"), "filled")
     )
-    # scans skip empty files, so the names come from the file index that Spark has listed
-    listing = spark.createDataFrame([(f,) for f in lines.inputFiles()], "file string").withColumn(
-        "file", F.regexp_replace("file", r"^file:/+", "/")
-    )
+    # text scans skip empty files, so the names come from a scan of whole files that leaves their content unread
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        .select(F.regexp_replace("path", r"^file:/+", "/").alias("file"))
+    )
     per_file = per_file.withColumn("file", F.regexp_replace("file", r"^file:/+", "/"))
     return (
         listing.join(per_file, "file", "left")
