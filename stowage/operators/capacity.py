@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import human_size_si, min_free_bytes
-from .ranking import latest_per_key, top_n_per_key
+from .ranking import latest_per_key
 
 # Usage sources that must be known, free-space thresholds, weight total.
 REQUIRED_SOURCES = ("static", "used", "expired")
@@ -127,14 +127,16 @@ def latest_metric_per_site(metrics: DataFrame, tie: Sequence[str]) -> DataFrame:
     return latest_per_key(metrics, ["name"], ["ts"], tie)
 
 
-def first_candidate(df: DataFrame, candidates: Sequence[Column], targets: DataFrame, key: str, out: str) -> DataFrame:
-    """Join each row to the first of its candidate names that exists in ``targets``.
+def first_candidate(df: DataFrame, candidates: Sequence[Column], targets: DataFrame, out: str) -> DataFrame:
+    """Each row with the first of its candidate names that exists in ``targets``, as ``out``.
 
-    ``key`` identifies the row; the chosen name becomes ``out``; rows without any hit drop.
+    Rows without any hit drop; equal rows stay apart.
     """
-    tries = df.select("*", F.posexplode(F.array(*candidates)).alias("_pos", out))
-    found = tries.join(targets.select(F.col("rse").alias(out)).distinct(), out, "left_semi")
-    return top_n_per_key(found, [key], [F.col("_pos")], 1).drop("_pos")
+    known = targets.select("rse").distinct()
+    hits = [f"_hit{i}" for i in range(len(candidates))]
+    for hit, candidate in zip(hits, candidates):
+        df = df.join(known.withColumnRenamed("rse", hit), candidate == F.col(hit), "left")
+    return df.withColumn(out, F.coalesce(*hits)).drop(*hits).filter(F.col(out).isNotNull())
 
 
 def site_metric_to_rse(sites: DataFrame, disk_rses: DataFrame, tape_rses: DataFrame) -> DataFrame:
@@ -142,7 +144,7 @@ def site_metric_to_rse(sites: DataFrame, disk_rses: DataFrame, tape_rses: DataFr
     of ``<site>``, ``<site>_Disk``, ``<site>_User``."""
     name = F.col("name")
     disk = first_candidate(
-        sites, [name, F.concat(name, F.lit("_Disk")), F.concat(name, F.lit("_User"))], disk_rses, "name", "rse"
+        sites, [name, F.concat(name, F.lit("_Disk")), F.concat(name, F.lit("_User"))], disk_rses, "rse"
     )
     tape = sites.withColumn("rse", F.concat(name, F.lit("_Tape"))).join(tape_rses.select("rse"), "rse", "left_semi")
     return disk.withColumn("kind", F.lit("disk")).unionByName(tape.withColumn("kind", F.lit("tape")))
@@ -184,7 +186,6 @@ def local_quota_plan(wanted: DataFrame, group_accounts: DataFrame, current: Data
         wanted,
         [F.concat(base, F.lit("_local_users")), F.concat(base, F.lit("_local"))],
         group_accounts.select(F.col("account").alias("rse")),
-        "rse",
         "account",
     )
     return (
@@ -240,7 +241,7 @@ def availability_plan(statuses: DataFrame, rses: DataFrame, skip: DataFrame, occ
     """
     name = F.col("name")
     latest = latest_metric_per_site(statuses, ["status"])
-    disk = first_candidate(latest, [name, F.concat(name, F.lit("_Disk"))], rses, "name", "rse")
+    disk = first_candidate(latest, [name, F.concat(name, F.lit("_Disk"))], rses, "rse")
     tape = latest.withColumn("rse", F.concat(name, F.lit("_Tape"))).join(rses.select("rse"), "rse", "left_semi")
     on = F.coalesce(F.col("status").isin(*ENABLED_STATUS), F.lit(False))
     room = F.col("rse").contains("_Tape") | F.coalesce("occupancy_ok", F.lit(True))

@@ -67,6 +67,13 @@ def test_latest_per_key(spark, rows):
         ranking.latest_per_key(df, ["k"], ["ts"], [])
 
 
+def test_first_candidate_keeps_every_row(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5)], "name string, quota int")
+    known = spark.createDataFrame([("a_x",), ("a",), ("b_x",), ("b_x",)], "rse string")
+    out = capacity.first_candidate(df, [F.col("name"), F.concat("name", F.lit("_x"))], known, "rse")
+    assert rows(out, "quota", "rse") == [(1, "a"), (2, "a"), (3, "b_x")]
+
+
 def test_systematic_sample(spark):
     df = spark.createDataFrame([("f", i) for i in range(101)] + [("g", 0), ("h", 0), ("h", 1)], "file string, entry int")
     got = defaultdict(set)
