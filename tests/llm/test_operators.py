@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from stowage.llm import chat, decontaminate, hilbert, packing, quality, secret_scan, token_counts, url_lists, warc
 from stowage.session import scratch_path
-from tests.llm.test_simhash import slow_components
+from tests.llm.test_similar import slow_groups
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, TEXT string, key string"
 
@@ -331,7 +331,7 @@ def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(12)
     item = " ".join(f"q{i}" for i in range(14))
     good = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(60))) for i in range(40)]
-    docs = good + [(100, "too short"), (101, good[4][1]), (102, good[5][1] + " " + item), (103, good[6][1] + ' k1 password = "hunter2hunter2"'), (None, good[7][1] + " own tail of a null id and more words " * 2), (4, good[4][1])]
+    docs = good + [(100, "too short"), (101, good[4][1]), (102, " ".join(f"v{i}" for i in range(50)) + " " + item), (103, good[6][1] + ' k1 password = "hunter2hunter2"'), (None, good[7][1] + " own tail of a null id and more words " * 2), (4, good[4][1])]
     frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     frame.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
@@ -343,10 +343,8 @@ def test_pipeline_stages(spark, tmp_path):
         if name == "quality_rules":
             kept = [d for d in kept if not (lambda q: q[0] < 20 or 100 * q[4] > 30 * q[0])(slow_quality(d[1]))]
         elif name == "simhash_dedup":
-            groups = {}
-            for (i, _, c), d in zip(slow_components([(k, t) for k, (_, t) in enumerate(kept)]), range(len(kept))):
-                groups.setdefault(c, []).append(kept[i])
-            kept = [min(g, key=lambda d: (d[0] is None, d[0] or 0)) for g in groups.values()]
+            groups = [[kept[i] for i in sorted(g)] for g in slow_groups([t for _, t in kept])]
+            kept = [min(g, key=lambda d: (d[0] is None, d[0] or 0)) for g in groups]
         elif name == "benchmark_decontamination":
             kept = [d for d in kept if not slow_contamination([d], [(1, item)])[0][4]]
         else:

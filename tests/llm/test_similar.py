@@ -1,0 +1,126 @@
+"""Groups of similar texts against comparing all pairs, and against exact similarity."""
+
+import random
+from itertools import combinations
+from math import acos, pi, sqrt
+
+import pytest
+import xxhash
+
+from stowage.llm import similar, simhash
+
+
+def slow_hash(x, k):
+    z = (xxhash.xxh64_intdigest(x, 42) + (k + 1) * 0x9E3779B97F4A7C15) % 2**64
+    z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    z = (z ^ z >> 27) * 0x94D049BB133111EB % 2**64
+    return z ^ z >> 31
+
+
+def slow_simhash(features, k):
+    hashes = [slow_hash(x, k) for x in features]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def slow_groups(texts):
+    """Number of the group of each text: linked if equal under a mask of any seed and the long fingerprints are near."""
+    masks = simhash.covering_masks(list(range(64)), 4)
+    short = [[slow_simhash(set((t or "").encode().lower().split()), k) for k in range(4)] for t in texts]
+    long = [[slow_simhash(shingles(t), k) for k in range(8)] for t in texts]
+    share = acos(2 * 0.8 / 1.8) / pi
+    limit = int(512 * share + sqrt(512 * share * (1 - share)))
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        if sum((a ^ b).bit_count() for a, b in zip(long[i], long[j])) <= limit:
+            if any((a ^ b) & m == 0 for a, b in zip(short[i], short[j]) for m in masks):
+                root[find(i)] = find(j)
+    return partition([find(i) for i in range(len(texts))])
+
+
+def partition(labels):
+    groups = {}
+    for i, label in enumerate(labels):
+        groups.setdefault(label, set()).add(i)
+    return {frozenset(g) for g in groups.values()}
+
+
+def found_groups(spark, texts):
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in enumerate(texts)], "doc_id bigint, text string, node int, TEXT int")
+    got = similar.similar_documents(df.repartition(3)).collect()
+    assert len(got) == len(texts)
+    return partition([r.root for r in sorted(got, key=lambda r: r.doc_id)])
+
+
+def texts_around(rng, centers, copies, words, edits):
+    out = []
+    for _ in range(centers):
+        base = [f"v{rng.randrange(3000)}" for _ in range(words)]
+        for _ in range(copies):
+            own = list(base)
+            for _ in range(rng.randrange(edits + 1)):
+                own[rng.randrange(words)] = f"x{rng.randrange(10**6)}"
+            out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("bucket", [256, 6])
+def test_against_all_pairs(spark, monkeypatch, bucket):
+    """With a small ``BUCKET`` most buckets are crowded."""
+    monkeypatch.setattr(similar, "BUCKET", bucket)
+    rng = random.Random(bucket)
+    texts = texts_around(rng, 4, 25, 120, 6) + texts_around(rng, 3, 1, 60, 0)
+    texts += [None, "", " \t", "one", "ONE", "one two", "é É ß", texts[0], texts[0].upper(), texts[30]]
+    assert found_groups(spark, texts) == slow_groups(texts)
+
+
+def test_crowded_bucket_with_strangers(spark, monkeypatch):
+    """Texts of one word set in other orders share every bucket but no group."""
+    monkeypatch.setattr(similar, "BUCKET", 6)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(80)]
+    texts = []
+    for _ in range(12):
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+    for _ in range(30):
+        own = list(words)
+        at = rng.randrange(79)
+        own[at], own[at + 1] = own[at + 1], own[at]
+        texts.append(" ".join(own))
+    want = slow_groups(texts)
+    assert len(want) == 12
+    assert found_groups(spark, texts) == want
+
+
+def test_similarity(spark):
+    """Copies at a five-word similarity of 0.85 and more are found, and texts at 0.5 stay apart."""
+    rng = random.Random(9)
+    texts, copy_of = [], {}
+    for n in range(60):
+        base = [f"v{rng.randrange(3000)}" for _ in range(300)]
+        own = list(base)
+        for at in range(10, 300, 300 // (4 if n % 2 else 25)):
+            own[at] = f"x{rng.randrange(10**6)}"
+        copy_of[len(texts) + 1] = len(texts)
+        texts += [" ".join(base), " ".join(own)]
+    groups = found_groups(spark, texts)
+    for b, a in copy_of.items():
+        x, y = shingles(texts[a]), shingles(texts[b])
+        likeness = len(x & y) / len(x | y)
+        assert likeness >= 0.85 or likeness < 0.5
+        assert (frozenset((a, b)) in groups) == (likeness >= 0.85)
+
+
+def test_empty_table(spark):
+    assert similar.similar_documents(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
