@@ -3,8 +3,9 @@
 Fixed patterns (``base_spans``) find what looks like a secret.  The lexer finds what is *named* like one:
 
 1. ``pairs`` reads source and configuration syntax: a name (``db.password``, ``"api-key"``,
-   ``cfg["token"]``, ``--secret``), an assignment (``=``, ``:``, ``:=``, ``=>``, ``<-``) and a value, which is a quoted
-   literal, several joined by ``+``, a reference to a name, or bare text up to a blank or delimiter.
+   ``cfg["token"]``, ``--secret``, ``-Dsecret``), a type where a literal follows (``key: str = "..."``), an assignment
+   (``=``, ``:``, ``:=``, ``=>``, ``<-``) and a value, which is a quoted literal (with a prefix as ``b"..."``, in triple
+   quotes or in parentheses), several joined by ``+``, a reference to a name, or bare text up to a blank or delimiter.
 2. Constants are propagated in text order: a name given a literal stands for that literal until it is
    assigned again, so ``K = "..."; password = K`` reports the literal of ``K``.
 3. A literal is scored by the words of its target name (``NAME_SCORES``), lowered for names that talk
@@ -52,15 +53,26 @@ PLACEHOLDER = re.compile(r"(?i:changeme|change[_-]?me|example|placeholder|your[_
 THRESHOLD = 3.0
 MIN_LITERAL = 6
 
+# what may stand before a quote: letters of Python, Scala, C++ and Rust (r#"..."#), @ and $ of C#
+PREFIX = r"""(?:(?:[bB][rR]?|[rR][bBfF]?|[fF][rR]?|[uULs]|u8|raw|b?r\#{1,4}|[@$]{1,2})(?=["']))?"""
+TRIPLE = r"""\"{3}(?:[^"\\]|\\[\s\S]|"(?!""))*+"{3}|'{3}(?:[^'\\]|\\[\s\S]|'(?!''))*+'{3}"""
 PAIR = re.compile(
-    r"""(?<![\w.\-])                                    # a name begins here
+    rf"""(?<![\w.\-])(?:--|-D?(?=[A-Za-z_]))?             # a name begins here, or a flag
         (?P<quote>["']?)(?P<name>[A-Za-z_][\w.\-]*+)(?P=quote)
-        (?:\[\s{0,4}["'](?P<item>[\w.\-]++)["']\s{0,4}\])?   # cfg["token"]
-        [ \t]{0,16}(?::=|=>|<-|[:=](?![:=]))[ \t]{0,16}
-        (?P<value>"(?:[^"\\\n]|\\.)*+["\n]?|'(?:[^'\\\n]|\\.)*+['\n]?|`[^`\n]*+`?|[^\s"'`,;#()\[\]{}<>=:]++={0,2}+)""",
+        (?:\[\s{{0,4}}["'](?P<item>[\w.\-]++)["']\s{{0,4}}\])?   # cfg["token"]
+        (?:[ \t]{{0,16}}[?!]?:[ \t]{{0,16}}                    # a type, if a literal is assigned
+           (?P<type>(?:&(?:'\w{{1,32}}[ ])?)?[A-Za-z_][\w.]*+(?:\[[^="\n]{{0,64}}\]|<[^="\n]{{0,64}}>)?(?:[ ]?\|[ ]?[A-Za-z_][\w.]{{0,64}}){{0,4}}\??)
+           (?=[ \t]{{0,16}}=[ \t]{{0,16}}(?:\(\s{{0,16}}){{0,3}}{PREFIX}["'`]))?
+        [ \t]{{0,16}}(?::=|=>|<-|[:=](?![:=]))[ \t]{{0,16}}
+        (?P<open>(?:\(\s{{0,16}}){{1,3}}(?={PREFIX}["']))?{PREFIX}
+        (?P<value>{TRIPLE}|(?:(?<=@)|(?<=@\$))"(?:[^"\n]|"")*+["\n]?
+            |"(?:[^"\\\n]|\\.)*+["\n]?|'(?:[^'\\\n]|\\.)*+['\n]?|`[^`\n]*+`?|[^\s"'`,;#()\[\]{{}}<>=:]++={{0,2}}+)""",
     re.VERBOSE | re.ASCII,
 )
-JOINED = re.compile(r"""[ \t]{0,16}\+[ \t]{0,16}("(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|[A-Za-z_][\w.\-]*+)""", re.ASCII)
+QUOTED = rf"""{TRIPLE}|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'"""
+JOINED = re.compile(rf"""[ \t]{{0,16}}\+[ \t]{{0,16}}{PREFIX}({QUOTED}|[A-Za-z_][\w.\-]*+)""", re.ASCII)
+# in parentheses also over lines, and without a plus
+JOINED_OPEN = re.compile(rf"""\s{{0,64}}(?:\+\s{{0,64}})?{PREFIX}({QUOTED}|(?<=\+)[A-Za-z_][\w.\-]*+|(?<=\+[ ])[A-Za-z_][\w.\-]*+)""", re.ASCII)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 Span = tuple[int, int]
 
@@ -107,19 +119,21 @@ def pairs(text: str) -> Iterator[tuple[str, list[Span], list[str]]]:
         literals, refers = [], []
         value, (start, end) = m["value"], m.span("value")
         while True:
-            if value[0] in "\"'`":
+            if value[:3] in ('"""', "'''") and len(value) > 5:
+                literals.append((start + 3, end - 3))
+            elif value[0] in "\"'`":
                 literals.append((start + 1, end - (len(value) > 1 and value[-1] in f"{value[0]}\n")))
             else:
                 if re.fullmatch(r"[A-Za-z_][\w.\-]*", value, re.ASCII):
                     refers.append(value)
                 literals.append((start, end))
-            more = JOINED.match(text, end)
+            more = (JOINED_OPEN if m["open"] else JOINED).match(text, end)
             if not more:
                 break
             value, (start, end) = more[1], more.span(1)
         yield name, literals, refers
-        # the next pair may begin inside a bare value (a=b=c), but not inside a quoted one
-        at = end if m["value"][0] in "\"'`" else m.start("value")
+        # the next pair may begin inside a bare value (a=b=c) or at a type (a: b = "c"), but not inside a quoted value
+        at = m.start("type") if m["type"] else end if m["value"][0] in "\"'`" else m.start("value")
 
 
 def named_spans(text: str) -> Iterator[tuple[str, int, int]]:
