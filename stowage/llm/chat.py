@@ -5,9 +5,9 @@ conversations the one with the least conv_id stays.  What stays is rendered as o
 
 Every turn has a hash of its place, role and text, and the rolling hash of a conversation up to a turn is
 the exclusive or of its turns' hashes, 128 bits in two halves.  Because it can be put together from
-parts, a conversation is worked on in blocks of ``BLOCK`` turn numbers: places and rolling hashes within
-a block, then the blocks' counts and hashes summed up.  A conversation with a third of all turns
-spreads over its blocks.  Anti-joins on hashes of distinct prefixes keep the maximal conversations.
+parts, a conversation is worked on in blocks of ``BLOCK`` places: turns are numbered in range partitions
+(``number_rows``), rolling hashes are made within a block, and the blocks' hashes summed up.  A conversation
+with a third of all turns spreads over its blocks, also where turn numbers repeat or are null.  Anti-joins on hashes of distinct prefixes keep the maximal conversations.
 
 Rendered text comes in parts of one block each, so no cell grows with a conversation; most have one part.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import number_rows
 from .common import keep_table, pick
 
 BLOCK = 1024
@@ -30,9 +31,24 @@ START, END = "<|im_start|>", "<|im_end|>"
 
 def turns_of(conversations: DataFrame) -> DataFrame:
     rows = pick(conversations, conv_id="conv_id", turn="turn", role="role", text="text")
-    # a null number has the block before all others
-    block = F.coalesce(F.floor(F.col("turn") / BLOCK).cast("bigint"), F.lit(-(1 << 62)))
-    return rows.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit(""))).withColumn("block", block)
+    a, b = halves(F.col("role"), F.col("text"))
+    return rows.withColumns({"conv": F.coalesce(F.col("conv_id").cast("string"), F.lit("")), "ta": a, "tb": b})
+
+
+def placed_turns(turns: DataFrame) -> DataFrame:
+    """Turns with their place (from 1), n_turns and block of at most ``BLOCK`` places.  Runs a job.
+
+    Turns that are equal in all of the order have one role and one text, so any order of them will do; the
+    row's own number only lets them go to several partitions.
+    """
+    own = turns.withColumns({
+        "has_turn": F.col("turn").isNotNull(), "turn": F.coalesce("turn", F.lit(0)),
+        "has_role": F.col("role").isNotNull(), "role_": F.coalesce("role", F.lit("")), "row": F.monotonically_increasing_id(),
+    })
+    order = ["has_turn", "turn", "has_role", "role_", "ta", "tb", "row"]
+    placed = number_rows(own, ["conv"], order, "place", "n_turns")
+    place, n_turns = F.col("place").cast("bigint"), F.col("n_turns").cast("bigint")
+    return placed.withColumns({"place": place, "n_turns": n_turns, "block": F.floor((place - 1) / BLOCK).cast("bigint")})
 
 
 def halves(*what) -> list:
@@ -42,20 +58,11 @@ def halves(*what) -> list:
 
 
 def rolling_hashes(turns: DataFrame) -> DataFrame:
-    """conv_id, conv, block, place, n_turns and the two halves of the rolling hash at each turn."""
-    a, b = halves(F.col("role"), F.col("text"))
-    slim = keep_table(turns.select("conv_id", "conv", "block", "turn", "role", a.alias("ta"), b.alias("tb")), "turns")
-    inside = Window.partitionBy("conv", "block").orderBy("turn", "role", "ta", "tb")
-    blocks_before = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = slim.groupBy("conv", "block").agg(F.count(F.lit(1)).alias("n"))
-    starts = sizes.select(
-        "conv", "block", F.coalesce(F.sum("n").over(blocks_before), F.lit(0)).alias("start"),
-        F.sum("n").over(Window.partitionBy("conv")).alias("n_turns"),
-    )
-    place = F.col("start") + F.row_number().over(inside)
-    placed = slim.join(starts, ["conv", "block"]).withColumn("place", place.cast("bigint"))
+    """conv_id, conv, place, n_turns and the two halves of the rolling hash at each turn."""
+    slim = placed_turns(turns.select("conv_id", "conv", "turn", "role", "ta", "tb"))
     pa, pb = F.xxhash64(F.lit(3), "place", "ta", "tb"), F.xxhash64(F.lit(4), "place", "tb", "ta")
-    placed = keep_table(placed.select("conv_id", "conv", "block", "place", "n_turns", pa.alias("a"), pb.alias("b")), "placed")
+    placed = keep_table(slim.select("conv_id", "conv", "block", "place", "n_turns", pa.alias("a"), pb.alias("b")), "placed")
+    blocks_before = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     xor = lambda c, w: F.bit_xor(c).over(w)
     within = Window.partitionBy("conv", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     totals = placed.groupBy("conv", "block").agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
@@ -81,23 +88,14 @@ def maximal_conversations(conversations: DataFrame) -> DataFrame:
 
 def chat_texts(conversations: DataFrame) -> DataFrame:
     """conv_id, part, n_turns (of the conversation), copies, text.  Runs jobs: hashes are stored once."""
-    turns = turns_of(conversations)
-    chosen = maximal_conversations(conversations)
-    blocks = turns.select("conv", "block").distinct().join(chosen, "conv")
-    part = F.row_number().over(Window.partitionBy("conv").orderBy("block")) - 1
-    blocks = blocks.select("conv", "block", "n_turns", "copies", part.alias("part"))
+    chosen = keep_table(maximal_conversations(conversations), "chosen").select("conv", "copies")
     clean = F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |"))
     line = F.concat(F.lit(START), F.coalesce("role", F.lit("unknown")), F.lit("\n"), clean, F.lit(END + "\n"))
-    a, b = halves(F.col("role"), F.col("text"))
-    ordered = F.array_sort(F.collect_list(F.struct("has_turn", "turn", "has_role", "role_", "a", "b", "line")))
-    rendered = turns.select(
-        "conv_id", "conv", "block", F.col("turn").isNotNull().alias("has_turn"), F.coalesce("turn", F.lit(0)).alias("turn"),
-        F.col("role").isNotNull().alias("has_role"), F.coalesce("role", F.lit("")).alias("role_"), a.alias("a"), b.alias("b"),
-        line.alias("line"),
-    )
-    joined = rendered.join(blocks, ["conv", "block"])
-    texts = joined.groupBy("conv", "block").agg(
-        F.min("conv_id").alias("conv_id"), F.min("part").alias("part"), F.min("n_turns").alias("n_turns"),
-        F.min("copies").alias("copies"), F.array_join(F.transform(ordered, lambda x: x["line"]), "").alias("text"),
+    turns = turns_of(conversations).select("conv_id", "conv", "turn", "role", "ta", "tb", line.alias("line"))
+    rendered = placed_turns(turns.join(chosen, "conv"))
+    ordered = F.array_sort(F.collect_list(F.struct("place", "line")))
+    texts = rendered.groupBy("conv", "block").agg(
+        F.min("conv_id").alias("conv_id"), F.min("n_turns").alias("n_turns"), F.min("copies").alias("copies"),
+        F.array_join(F.transform(ordered, lambda x: x["line"]), "").alias("text"),
     )
-    return texts.select("conv_id", "part", "n_turns", "copies", "text")
+    return texts.select("conv_id", F.col("block").cast("int").alias("part"), "n_turns", "copies", "text")
