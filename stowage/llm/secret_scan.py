@@ -6,14 +6,17 @@ Fixed patterns (``base_spans``) find what looks like a secret.  The lexer finds
    ``cfg["token"]``, ``--secret``, ``-Dsecret``), a type where a literal follows (``key: str = "..."``), an assignment
    (``=``, ``:``, ``:=``, ``=>``, ``<-``) and a value, which is a quoted literal (with a prefix as ``b"..."``, in triple
    quotes or in parentheses), several joined by ``+``, a reference to a name, or bare text up to a blank or delimiter.
-2. Constants are propagated in text order: a name given a literal stands for that literal until it is
-   assigned again, so ``K = "..."; password = K`` reports the literal of ``K``.
-3. A literal is scored by the words of its target name (``NAME_SCORES``), lowered for names that talk
-   about a secret rather than hold it and for values that are plainly no secret; from ``THRESHOLD`` up
-   it is reported with kind ``named``.
+   ``calls`` reads names and literals that belong together without an assignment: ``setPassword("...")``,
+   ``put("password", "...")`` and ``<password>...</password>``.
+2. Constants are propagated in text order: a name given a value stands for that value until it is
+   assigned again, so ``K = "..."; password = K`` reports the literal of ``K``.  A value keeps references to the
+   values it is made of, not copies, so chained constants take space in proportion to the text.
+3. A value is scored as a whole, over all its pieces, by the words of its target name (``NAME_SCORES``; compounds as
+   ``dbpassword`` are cut at scored words), lowered for names that talk about a secret rather than hold it and for
+   values that are plainly no secret; from ``THRESHOLD`` up every piece is reported with kind ``named``.
 
 Spans are in code points, end exclusive.  Work is local to a row: nothing is shuffled, and a text takes
-memory in proportion to its own length.
+time and memory in proportion to its own length.
 
 Defined cases: null texts are empty; unclosed quotes end a value at the line's end; overlapping spans of
 different kinds are all reported; equal spans of one kind once; repeated rows give repeated results.
@@ -49,9 +52,16 @@ NAME_SCORES = {
 }
 ABOUT = {"name", "file", "path", "url", "uri", "id", "field", "label", "type", "length", "len", "count", "policy", "hint",
          "regex", "pattern", "header", "param", "env", "prompt", "reset", "max", "min", "expiry", "ttl", "public"}
-PLACEHOLDER = re.compile(r"(?i:changeme|change[_-]?me|example|placeholder|your[_-]|dummy|sample|redacted|none|null|true|false|todo|x{4,}|\*{3,}|\.{3,})|^[<\[{$%]")
+# a whole value that stands for another one, or a word that says so between borders
+PLACEHOLDER = re.compile(
+    r"(?i:change[_-]?me|none|null|nil|true|false|todo|x{4,}|\*{3,}|\.{3,}|your[_-]\S*)"
+    r"|<[^<>]*>|\$\{[^{}]*\}|\$\([^()]*\)|\{\{.*\}\}|%\w+%|%\(\w+\)s|\$[A-Za-z_]\w*",
+    re.DOTALL,
+)
+SAYS_SO = re.compile(r"(?i:(?<![^\W_])(?:change[_-]?me|example|placeholder|dummy|sample|redacted|todo|your)(?![^\W_]))")
 THRESHOLD = 3.0
 MIN_LITERAL = 6
+LARGE = 1e15
 
 # what may stand before a quote: letters of Python, Scala, C++ and Rust (r#"..."#), @ and $ of C#
 PREFIX = r"""(?:(?:[bB][rR]?|[rR][bBfF]?|[fF][rR]?|[uULs]|u8|raw|b?r\#{1,4}|[@$]{1,2})(?=["']))?"""
@@ -71,9 +81,22 @@ PAIR = re.compile(
 )
 QUOTED = rf"""{TRIPLE}|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'"""
 JOINED = re.compile(rf"""[ \t]{{0,16}}\+[ \t]{{0,16}}{PREFIX}({QUOTED}|[A-Za-z_][\w.\-]*+)""", re.ASCII)
+TIGHT = re.compile(rf"{PREFIX}({QUOTED})")
 # in parentheses also over lines, and without a plus
 JOINED_OPEN = re.compile(rf"""\s{{0,64}}(?:\+\s{{0,64}})?{PREFIX}({QUOTED}|(?<=\+)[A-Za-z_][\w.\-]*+|(?<=\+[ ])[A-Za-z_][\w.\-]*+)""", re.ASCII)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+# words that end or begin a compound whatever the rest of it is; the others need a rest of known words
+ALWAYS = ("password", "passwd", "passphrase", "credential", "credentials")
+QUALIFIERS = ("db", "user", "my", "app", "admin", "root", "sql", "aws", "git", "smtp", "ftp", "ssh", "mail", "http", "web", "id")
+COMPOUND = re.compile("|".join(sorted({*NAME_SCORES, *ABOUT, *QUALIFIERS}, key=lambda w: (-len(w), w))))
+# a setter with one literal, a quoted name followed by a literal, an element
+CALL = re.compile(
+    rf"""(?<![\w.\-])(?P<call>[A-Za-z_][\w.]*+)\(\s{{0,16}}{PREFIX}(?P<argument>{QUOTED})\s{{0,16}}\)
+        |(?P<q>["'])(?P<key>[A-Za-z_][\w.\-]*+)(?P=q)\s{{0,16}},\s{{0,16}}{PREFIX}(?P<item>{QUOTED})
+        |<(?P<tag>[A-Za-z_][\w.\-]*+)(?:\s[^<>]*+)?>(?P<body>[^<>]++)</(?P=tag)\s{{0,16}}>""",
+    re.VERBOSE | re.ASCII,
+)
+SETTER = re.compile(r"(?:.*\.)?(?:set|with|add|put|use)(?=[A-Z_])", re.ASCII)
 Span = tuple[int, int]
 
 
@@ -90,67 +113,144 @@ def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
         yield "hex", *m.span()
 
 
+def name_words(name: str) -> Iterator[str]:
+    """Lower-cased words of a name, cut at case and punctuation, and compounds at the words that are scored."""
+    for word in (w.lower() for w in NAME_WORD.findall(name)):
+        if word in NAME_SCORES or word in ABOUT:
+            yield word
+            continue
+        parts = COMPOUND.findall(word)
+        if sum(map(len, parts)) == len(word):
+            yield from parts
+        else:
+            yield from [w for w in ALWAYS if word.startswith(w) or word.endswith(w)][:1]
+
+
 def name_score(name: str) -> float:
     """How far a name promises a secret: the sum over its words, halved once per word that only talks about one."""
-    words = [w.lower() for w in NAME_WORD.findall(name)]
+    words = list(name_words(name))
     score = sum(NAME_SCORES.get(w, 0) for w in words)
     if any(w in ("api", "access", "private", "signing", "encryption") for w in words) and "key" in words:
         score += 1
     return score / 2 ** sum(w in ABOUT for w in words)
 
 
-def value_score(value: str) -> float:
-    """What the value itself adds: variety adds, plain words and placeholders take away."""
-    if PLACEHOLDER.search(value):
-        return -10
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if kinds == 1 and not value.isdigit():
-        return -1 if entropy < 3 else 0
-    return min(1.0, entropy / 4) + 0.25 * (kinds - 1)
-
-
-def pairs(text: str) -> Iterator[tuple[str, list[Span], list[str]]]:
-    """Name, spans of its literals without quotes, and names it refers to, in text order."""
+class Value:
+    """What a name stands for: own pieces, values referred to, and what scoring needs of the whole.
+
+    ``counts`` holds characters by code point modulo 256, so that it is bounded; it is the sum over all pieces, as
+    often as they occur in the whole.
+    """
+
+    __slots__ = ("pieces", "parts", "counts", "kinds", "placeholder", "reported")
+
+    def __init__(self, text: str, pieces: list[Span], parts: list[Value]):
+        own = [text[a:b] for a, b in pieces]
+        self.pieces, self.parts, self.reported = pieces, parts, False
+        self.counts = Counter()
+        for piece in own:
+            self.counts.update(ord(c) & 255 for c in piece)
+        for part in parts:
+            self.counts.update(part.counts)
+        if (size := self.counts.total()) > LARGE:  # constants that double each other: only the shares matter
+            self.counts = Counter({c: n / size * LARGE / 2 for c, n in self.counts.items()})
+        self.kinds = {k for piece in own for k, p in KIND_OF if p.search(piece)}.union(*(part.kinds for part in parts))
+        stand_ins = [bool(PLACEHOLDER.fullmatch(p) or SAYS_SO.search(p)) for p in own if p] + [part.placeholder for part in parts]
+        self.placeholder = bool(stand_ins) and all(stand_ins)
+
+    def score(self) -> float:
+        """What the value itself adds: variety adds, plain words and placeholders take away."""
+        size = self.counts.total()
+        if size < MIN_LITERAL or self.placeholder:
+            return -10
+        entropy = -sum(n / size * math.log2(n / size) for n in self.counts.values() if n / size > 0)
+        if len(self.kinds) == 1 and self.kinds != {"digit"}:
+            return -1 if entropy < 3 else 0
+        return min(1.0, entropy / 4) + 0.25 * (len(self.kinds) - 1)
+
+    def report(self) -> Iterator[Span]:
+        """Pieces of this value and of all it refers to that no value has reported yet."""
+        left = [self]
+        while left:
+            value = left.pop()
+            if not value.reported:
+                value.reported = True
+                yield from value.pieces
+                left.extend(value.parts)
+
+
+KIND_OF = [("lower", re.compile("[a-z]")), ("upper", re.compile("[A-Z]")), ("digit", re.compile("[0-9]")), ("other", re.compile("[^A-Za-z0-9]"))]
+
+
+def inner(text: str, start: int, end: int) -> Span:
+    """A quoted literal's span without its quotes; an unclosed one ends before the line's end."""
+    if text[start : start + 3] in ('"""', "\'\'\'") and end - start > 5:
+        return start + 3, end - 3
+    return start + 1, end - (end - start > 1 and text[end - 1] in f"{text[start]}\n")
+
+
+def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]]]]:
+    """Name, and the pieces of its value: spans without quotes, and whether a piece stands without quotes."""
     at = 0
     while m := PAIR.search(text, at):
         name = f"{m['name']}.{m['item']}" if m["item"] else m["name"]
-        literals, refers = [], []
-        value, (start, end) = m["value"], m.span("value")
+        pieces = []
+        start, end = m.span("value")
+        bare = text[start] not in "\"'`"
+        # a="..." after a plus without blanks: the bare text ends at the plus
+        if bare and end - start > 1 and text[end - 1] == "+" and (more := TIGHT.match(text, end)):
+            pieces.append((start, end - 1, True))
+            start, end = more.span(1)
         while True:
-            if value[:3] in ('"""', "'''") and len(value) > 5:
-                literals.append((start + 3, end - 3))
-            elif value[0] in "\"'`":
-                literals.append((start + 1, end - (len(value) > 1 and value[-1] in f"{value[0]}\n")))
-            else:
-                if re.fullmatch(r"[A-Za-z_][\w.\-]*", value, re.ASCII):
-                    refers.append(value)
-                literals.append((start, end))
+            bare = text[start] not in "\"'`"
+            pieces.append((start, end, True) if bare else (*inner(text, start, end), False))
             more = (JOINED_OPEN if m["open"] else JOINED).match(text, end)
             if not more:
                 break
-            value, (start, end) = more[1], more.span(1)
-        yield name, literals, refers
+            start, end = more.span(1)
+        yield name, pieces
         # the next pair may begin inside a bare value (a=b=c) or at a type (a: b = "c"), but not inside a quoted value
         at = m.start("type") if m["type"] else end if m["value"][0] in "\"'`" else m.start("value")
 
 
+def calls(text: str) -> Iterator[tuple[str, Span]]:
+    """Name and literal of a setter, of a quoted name that a literal follows, and of an element."""
+    at = 0
+    while m := CALL.search(text, at):
+        if m["call"]:
+            if SETTER.match(m["call"]):
+                yield m["call"], inner(text, *m.span("argument"))
+            at = m.end("call")
+        elif m["key"]:
+            yield m["key"], inner(text, *m.span("item"))
+            at = m.start("item")
+        else:
+            yield m["tag"], m.span("body")
+            at = m.end("body")
+
+
 def named_spans(text: str) -> Iterator[tuple[str, int, int]]:
-    constants: dict[str, list[Span]] = {}
-    found = set()
-    for name, literals, refers in pairs(text):
-        spans = []
-        for start, end in literals:
-            referred = constants.get(text[start:end]) if refers else None
-            spans.extend(referred if referred else [(start, end)])
-        constants[name] = spans
+    constants: dict[str, Value] = {}
+    found: set[Span] = set()
+    for name, pieces in pairs(text):
+        own, parts = [], []
+        for start, end, bare in pieces:
+            names = text[start:end].split("+") if bare else []
+            if names and all(n in constants for n in names):
+                parts.extend(constants[n] for n in names)
+            else:
+                own.append((start, end))
+        value = Value(text, own, parts)
+        constants[name] = value
         promise = name_score(name)
-        if promise <= 0:
-            continue
-        for start, end in spans:
-            if end - start >= MIN_LITERAL and promise + value_score(text[start:end]) >= THRESHOLD:
-                found.add((start, end))
+        if promise > 0 and promise + value.score() >= THRESHOLD:
+            found.update(s for s in value.report() if s[0] < s[1])
+    for name, span in calls(text):
+        promise = name_score(name)
+        if promise > 0:
+            worth = Value(text, [span], []).score()
+            if worth > 0 and promise + worth >= THRESHOLD:
+                found.add(span)
     for start, end in sorted(found):
         yield "named", start, end
 
@@ -159,7 +259,7 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
     """All spans of a text, by start, then by kind as listed."""
     if not text:
         return []
-    found = [*base_spans(text), *(named_spans(text) if re.search("[=:]|<-", text) else ())]
+    found = [*base_spans(text), *(named_spans(text) if re.search("[=:(,<]", text) else ())]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -7,12 +7,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from stowage.llm import chat, decontaminate, hilbert, packing, quality, secret_scan, token_counts, url_lists, warc
 from stowage.session import scratch_path
-from tests.llm.test_similar import slow_groups
+from tests.llm.test_simhash import slow_components
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, TEXT string, key string"
 
@@ -328,29 +329,89 @@ def test_url_lists(spark):
 
 
 def test_pipeline_stages(spark, tmp_path):
+    """Stage by stage against a plain version; with tied rows, null ids and texts, and a clashing column."""
     rng = random.Random(12)
     item = " ".join(f"q{i}" for i in range(14))
     good = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(60))) for i in range(40)]
     docs = good + [(100, "too short"), (101, good[4][1]), (102, " ".join(f"v{i}" for i in range(50)) + " " + item), (103, good[6][1] + ' k1 password = "hunter2hunter2"'), (None, good[7][1] + " own tail of a null id and more words " * 2), (4, good[4][1])]
-    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    frame.write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    kept = docs
-    at = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        at = stage(spark, at, str(tmp_path))
-        assert at.columns == frame.columns
-        if name == "quality_rules":
-            kept = [d for d in kept if not (lambda q: q[0] < 20 or 100 * q[4] > 30 * q[0])(slow_quality(d[1]))]
-        elif name == "simhash_dedup":
-            groups = [[kept[i] for i in sorted(g)] for g in slow_groups([t for _, t in kept])]
-            kept = [min(g, key=lambda d: (d[0] is None, d[0] or 0)) for g in groups]
-        elif name == "benchmark_decontamination":
-            kept = [d for d in kept if not slow_contamination([d], [(1, item)])[0][4]]
-        else:
-            kept = [(i, secret_scan.redact(t)) for i, t in kept]
-        got = [(r.doc_id, r.text) for r in at.collect()]
-        assert sorted(got, key=str) == sorted(kept, key=str), name
-        assert all(r.n_chars == len(r.text) for r in at.collect())
-    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(i for i, _ in kept)
+    docs += [(104, None), (105, ""), (None, good[9][1]), (None, " ".join(f"u{i}" for i in range(40)))]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, TEXT string, _hash int"
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", 1) for i, t in docs], schema)
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        frame.write.parquet(str(tmp_path / "documents.parquet"))
+        spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+        kept = docs
+        at = spark.read.parquet(str(tmp_path / "documents.parquet"))
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            at = stage(spark, at, str(tmp_path))
+            assert at.columns == frame.columns
+            if name == "quality_rules":
+                kept = [d for d in kept if not (lambda q: q[0] < 20 or 100 * q[4] > 30 * q[0])(slow_quality(d[1]))]
+            elif name == "simhash_dedup":
+                group_of = {}
+                number = {k: least for k, _, least in slow_components([(k, t) for k, (_, t) in enumerate(kept)])}
+                for k, d in enumerate(kept):
+                    group_of.setdefault(number[k], []).append(d)
+                kept = [min(g, key=lambda d: (d[0] is None, d[0] or 0)) for g in group_of.values()]
+            elif name == "benchmark_decontamination":
+                kept = [d for d in kept if not slow_contamination([d], [(1, item)])[0][4]]
+            else:
+                kept = [(i, secret_scan.redact(t)) for i, t in kept]
+            got = [(r[0], r[1]) for r in at.collect()]
+            assert sorted(got, key=str) == sorted(kept, key=str), name
+            assert all(r[4] == len(r[1]) for r in at.collect())
+        packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+        assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(i for i, _ in kept)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_pipeline_ties_and_empty_table(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(7, text, "en", "b", 1), (7, text, "de", "a", 1), (7, text, "de", "a", 1), (9, text, "aa", "a", 1)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    once = [tuple(r) for r in corpus_pipeline.simhash_dedup(spark, frame, "").collect()]
+    again = [tuple(r) for r in corpus_pipeline.simhash_dedup(spark, frame.orderBy(F.desc("lang")).repartition(3), "").collect()]
+    assert len(once) == 1 and once == again and once[0][0] == 7
+    frame.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "a b")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+CHAINED = {
+    "bcrypt": ('password = "$2b$12$abcdXYZ09"', ["$2b$12$abcdXYZ09"]),
+    "word inside a value": ('password = "NoneShallPass99!"', ["NoneShallPass99!"]),
+    "example inside a value": ('db_password = "ExampleCorp#2024x"', ["ExampleCorp#2024x"]),
+    "short constant": ('A = "Zx9$"\npassword = A + "kkQ2mmn1"', ["Zx9$", "kkQ2mmn1"]),
+    "two short pieces": ('password = "Zx9$" + "kkQ2mm"', ["Zx9$", "kkQ2mm"]),
+    "no blanks": ('A="abcD1"\npassword=A+"kkQ2mmn1zz"', ["abcD1", "kkQ2mmn1zz"]),
+    "bare names joined": ('A="abcD1xyZ"\nB="77uiOP"\npassword=A+B', ["abcD1xyZ", "77uiOP"]),
+    "compound": ('dbpassword = "k9$Lq2!zPw7"', ["k9$Lq2!zPw7"]),
+    "short compound": ('userpwd: "k9$Lq2!zPw7"', ["k9$Lq2!zPw7"]),
+    "setter": ('x.setPassword("k9$Lq2!zPw7")', ["k9$Lq2!zPw7"]),
+    "quoted pair": ('m.put("password", "k9$Lq2!zPw7")', ["k9$Lq2!zPw7"]),
+    "element": ("<password>k9$Lq2!zPw7</password>", ["k9$Lq2!zPw7"]),
+    "variable": ('password = "${VAULT}"', []),
+    "brackets": ('password = "<your password>"', []),
+    "list of names": ('["password", "username"]', []),
+    "other word": ('secretary = "k9$Lq2!zPw7"', []),
+    "stand-in": ('password = "changeme"', []),
+}
+
+
+@pytest.mark.parametrize("form", CHAINED)
+def test_whole_values(form):
+    text, want = CHAINED[form]
+    assert [text[a:b] for kind, a, b in secret_scan.spans_of(text) if kind == "named"] == want
+
+
+def test_chained_constants_are_linear():
+    import time
+
+    doubled = 'k0 = "aB3$xY"\n' + "".join(f"k{i} = k{i - 1} + k{i - 1}\n" for i in range(1, 10000)) + "password = k9999"
+    scored = 'k0 = "aB3$xY"\n' + "".join(f'password{i} = k{i - 1} + "aZ9{i}"\nk{i} = password{i}\n' for i in range(1, 10000))
+    start = time.process_time()
+    assert [doubled[a:b] for kind, a, b in secret_scan.spans_of(doubled) if kind == "named"] == ["aB3$xY"]
+    assert sum(kind == "named" for kind, _, _ in secret_scan.spans_of(scored)) == 10000
+    assert time.process_time() - start < 10
