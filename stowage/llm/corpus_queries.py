@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, hilbert, packing, quality, secret_scan, simhash, token_counts, url_lists, warc
+from . import chat, decontaminate, hilbert, packing, periodic, quality, secret_scan, simhash, token_counts, url_lists, warc
 from .common import table
 
 SHARDS = 40
@@ -92,11 +92,23 @@ def op10_url_lists(spark, sf_dir):
     return found.withColumns({c: found[c].cast("string") for c in ("fetched_on", "valid_from")})
 
 
+def op11_periodic_runs(spark, sf_dir):
+    """Periodic runs of every document, after one in ten has got a periodic tail."""
+    found = periodic.periodic_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", periodic.longest_run(F.col("runs")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_hilbert_shards, op2_simhash, op3_chat_format, op4_warc, op5_best_fit_packing, op6_secret_scan,
-        op7_decontaminate, op8_token_counts, op9_quality_rules, op10_url_lists,
+        op7_decontaminate, op8_token_counts, op9_quality_rules, op10_url_lists, op11_periodic_runs,
     )
 }
 
