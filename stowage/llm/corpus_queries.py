@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, hilbert, packing, periodic, quality, secret_scan, simhash, token_counts, url_lists, warc
+from . import chat, decontaminate, hilbert, packing, periodic, prefix_trie, quality, secret_scan, simhash, token_counts, url_lists, warc
 from .common import table
 
 SHARDS = 40
@@ -104,11 +104,17 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all conversations, which begin alike by a rule on their ids."""
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_beginnings(turns))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_hilbert_shards, op2_simhash, op3_chat_format, op4_warc, op5_best_fit_packing, op6_secret_scan,
-        op7_decontaminate, op8_token_counts, op9_quality_rules, op10_url_lists, op11_periodic_runs,
+        op7_decontaminate, op8_token_counts, op9_quality_rules, op10_url_lists, op11_periodic_runs, op13_prefix_trie,
     )
 }
 
