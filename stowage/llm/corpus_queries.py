@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, hilbert, packing, periodic, prefix_trie, quality, secret_scan, simhash, token_counts, url_lists, warc
+from . import chat, decontaminate, hilbert, packing, periodic, prefix_trie, quality, secret_scan, simhash, token_counts, url_lists, warc, wrapper
 from .common import table
 
 SHARDS = 40
@@ -104,6 +104,12 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+def op12_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    found = wrapper.extracted(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op13_prefix_trie(spark, sf_dir):
     """Nodes of the prefix trie of all conversations, which begin alike by a rule on their ids."""
     turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
@@ -114,7 +120,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_hilbert_shards, op2_simhash, op3_chat_format, op4_warc, op5_best_fit_packing, op6_secret_scan,
-        op7_decontaminate, op8_token_counts, op9_quality_rules, op10_url_lists, op11_periodic_runs, op13_prefix_trie,
+        op7_decontaminate, op8_token_counts, op9_quality_rules, op10_url_lists, op11_periodic_runs, op12_html_extraction,
+        op13_prefix_trie,
     )
 }
 
