@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 from ..operators import ranking
 from ..operators import reconcile as rec
+from ..session import scratch_path
+from ..streaming import state as stt
+from ..streaming import streams as st
 from . import registered
 
 _DIFF = """
@@ -371,6 +374,44 @@ def _(c):
     return rec.immutable_key_change(c.accounts, new, "account", "account_key")
 
 
+def _delivered(c, seeds, changes, label):
+    """Seeds, then the day's changes twice, as files that arrive one after the other."""
+    path = scratch_path(c.spark, label)
+    for part in (seeds, changes, changes):
+        part.write.mode("append").parquet(path)
+    return st.read_stream(c.spark, path, "*.parquet", changes.schema, files_a_batch=4)
+
+
+@registered(
+    "did_changes_stream",
+    """SELECT scope, name, 'archived' AS outcome, did_type, bytes FROM dids_old o
+       WHERE name NOT IN (SELECT name FROM dids_new) AND name NOT IN (SELECT name FROM dids_archive)
+       UNION ALL SELECT scope, name, 'deleted', did_type, bytes FROM dids_old
+       WHERE name NOT IN (SELECT name FROM dids_new) AND name IN (SELECT name FROM dids_archive)
+       UNION ALL SELECT scope, name, CASE WHEN name IN (SELECT name FROM dids_archive) THEN 'refused' ELSE 'added' END, did_type, bytes
+       FROM dids_new WHERE name NOT IN (SELECT name FROM dids_old)""",
+)
+def _(c):
+    changes = stt.snapshot_changes(c.dids_old, c.dids_new, ["scope", "name"])
+    seeds = stt.seed_changes(c.dids_archive, "archived").unionByName(stt.seed_changes(c.dids_old, "present")).select(*changes.columns)
+    out = st.run_once(stt.name_changes(_delivered(c, seeds, changes, "did-changes")))
+    return out.select("scope", "name", "outcome", "did_type", "bytes")
+
+
+@registered(
+    "account_changes_stream",
+    """SELECT account_key, 'refused' AS outcome, account AS old_key, 'u' || CAST(account_key AS VARCHAR) AS new_key FROM accounts
+       WHERE account <> 'u' || CAST(account_key AS VARCHAR)""",
+)
+def _(c):
+    old = c.accounts.select("account_key", "account")
+    new = old.select("account_key", F.concat(F.lit("u"), F.col("account_key").cast("string")).alias("account"))
+    changes = stt.snapshot_changes(old, new, ["account_key"])
+    seeds = stt.seed_changes(old, "present").select(*changes.columns)
+    out = st.run_once(stt.key_changes(_delivered(c, seeds, changes, "account-changes"), "account_key", "account"))
+    return out.select("account_key", "outcome", "old_key", "new_key")
+
+
 @registered(
     "did_restore_plan",
     """SELECT scope, name, did_type, CAST(floor((row_number() OVER (PARTITION BY did_type ORDER BY scope, name) - 1) / 100) AS BIGINT) AS batch

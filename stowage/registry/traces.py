@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import traces as tr
 from ..sources.testtables import file_name
+from ..streaming import state as stt
 from ..streaming import streams as st
 from . import registered
 from .invalidation import replicas_named
@@ -112,7 +113,7 @@ def _(c):
 
 def _transfer_stream(c):
     """The transfer events as a stream, with endpoint names from the static table."""
-    n = c.supplier.count()
+    n = c.supplier.agg(F.count(F.lit(1)).alias("n")).scalar()
     name = c.rses.select("rse_id", "rse")
     ends = _event_stream(c).select(
         F.col("ts").cast("timestamp").alias("ts"),
@@ -134,25 +135,52 @@ def _(c):
     return _shown(st.run_once(st.failure_stream(_transfer_stream(c))))
 
 
-@registered(
-    "metric_latest_stream",
-    "SELECT event_type AS name, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS ts, arg_max(value, ts) AS value FROM events GROUP BY 1",
-)
+@registered("failure_stream_complete", f"WITH {_WINDOWS} SELECT {_SHOW}, src_rse, dst_rse, failures FROM w")
+def _(c):
+    return _shown(st.complete_windows(st.failure_stream(_transfer_stream(c)), ["src_rse", "dst_rse"]))
+
+
+def _latest_sql(name: str) -> str:
+    return f"""SELECT name, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, tie, value FROM (
+        SELECT {name} AS name, ts, event_id AS tie, value, row_number() OVER (PARTITION BY {name} ORDER BY ts DESC, event_id) AS n FROM events)
+        WHERE n = 1 AND ts + INTERVAL 24 HOUR >= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+
+
+def _metrics(events, name):
+    return events.select(name.alias("name"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("tie"), "value")
+
+
+_SECONDS = F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts")
+_USER = F.concat(F.lit("T2_"), F.col("user_id").cast("string"))
+
+
+@registered("metric_latest_stream", _latest_sql("event_type"))
+def _(c):
+    changes = stt.metric_latest_stream(_metrics(_event_stream(c), F.col("event_type")), "value", "tie")
+    return stt.current(st.run_once(changes, "update", ["name"])).select("name", _SECONDS, "tie", "value")
+
+
+@registered("metric_expiry_stream", _latest_sql("'T2_' || user_id"))
+def _(c):
+    """Sites that fell silent a day before the newest report leave."""
+    changes = stt.metric_latest_stream(_metrics(_event_stream(c), _USER), "value", "tie")
+    return stt.current(st.run_once(changes, "update", ["name"])).select("name", _SECONDS, "tie", "value")
+
+
+@registered("metric_latest", _latest_sql("'T2_' || user_id"))
 def _(c):
-    metrics = _event_stream(c).select(F.col("event_type").alias("name"), F.col("ts").cast("timestamp").alias("ts"), "value")
-    out = st.run_once(st.metric_latest_stream(metrics, "value"), "update", ["name"])
-    return out.select("name", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "value")
+    return stt.metric_latest(_metrics(c.events, _USER), "value", "tie").select("name", _SECONDS, "tie", "value")
 
 
 def _samples(events):
     kind = F.when(F.col("event_type") == "view", "counter").when(F.col("event_type") == "click", "gauge").otherwise("timer")
-    return events.select(F.col("ts").cast("timestamp").alias("ts"), kind.alias("kind"), F.col("event_type").alias("stat"), "value")
+    return events.select(F.col("ts").cast("timestamp").alias("ts"), kind.alias("kind"), F.col("event_type").alias("stat"), "value", "event_id")
 
 
 _SAMPLES = """
     s AS (SELECT date_trunc('hour', ts) AS window_start, CASE event_type WHEN 'view' THEN 'counter' WHEN 'click' THEN 'gauge' ELSE 'timer' END AS kind,
-                 event_type AS stat, ts, value FROM events),
-    g AS (SELECT window_start, kind, stat, round(sum(value) FILTER (kind = 'counter'), 6) AS total, arg_max(value, ts) FILTER (kind = 'gauge') AS last,
+                 event_type AS stat, ts, value, event_id FROM events),
+    g AS (SELECT window_start, kind, stat, round(sum(value) FILTER (kind = 'counter'), 6) AS total, arg_max(value, struct_pack(a := ts, b := event_id)) FILTER (kind = 'gauge') AS last,
                  count(*) FILTER (kind = 'timer') AS timings, round(avg(value) FILTER (kind = 'timer'), 6) AS mean FROM s GROUP BY 1, 2, 3)
 """
 
@@ -163,7 +191,7 @@ def _rounded(df):
 
 @registered("counter_gauge_timer", f"WITH {_SAMPLES} SELECT {_SHOW}, kind, stat, total, last, timings, mean FROM g")
 def _(c):
-    return _rounded(st.counter_gauge_timer(_samples(c.events)))
+    return _rounded(st.counter_gauge_timer(_samples(c.events), "event_id"))
 
 
 @registered(
@@ -172,7 +200,7 @@ def _(c):
         WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
 )
 def _(c):
-    return _rounded(st.run_once(st.counter_gauge_timer(_samples(_event_stream(c)))))
+    return _rounded(st.run_once(st.counter_gauge_timer(_samples(_event_stream(c)), "event_id")))
 
 
 # --- nested records ------------------------------------------------------------------

@@ -14,14 +14,16 @@ from pyspark.sql import types as T
 from ..operators.traces import access_traces
 from ..session import scratch_path
 
-# Look-back of the trace poll, horizon of the site metrics.
+# Fixed value: look-back of the trace poll.
 TRACE_LOOKBACK = "12 minutes"
-METRIC_HORIZON = "24 hours"
 
 
-def read_stream(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
-    """Parquet files of ``folder`` that match ``name`` as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+def read_stream(spark: SparkSession, folder: str, name: str, schema, files_a_batch: int | None = None) -> DataFrame:
+    """Parquet files of ``folder`` that match ``name`` as a stream, oldest first."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    if files_a_batch:
+        reader = reader.option("maxFilesPerTrigger", files_a_batch)
+    return reader.parquet(folder)
 
 
 def access_traces_stream(reports: DataFrame, **options) -> DataFrame:
@@ -39,7 +41,12 @@ def access_traces_stream(reports: DataFrame, **options) -> DataFrame:
 
 
 def failure_stream(events: DataFrame, window: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Failed transfers per link and tumbling window."""
+    """Failed transfers per link and tumbling window.
+
+    On a stream, in append mode: a window is given out once, when the watermark (newest failure less ``late``) has passed its
+    end; windows the stream ends in are not given out, and rows older than the watermark are left out.  ``complete_windows``
+    gives them all.
+    """
     failed = events.filter("event_type = 'transfer-failed'")
     if events.isStreaming:
         failed = failed.withWatermark("ts", late)
@@ -50,27 +57,33 @@ def failure_stream(events: DataFrame, window: str = "1 hour", late: str = "1 hou
     )
 
 
-def metric_latest_stream(metrics: DataFrame, value: str) -> DataFrame:
-    """Newest value per site (update mode: state is one row per site, which does not grow
-    with the stream)."""
-    return metrics.groupBy("name").agg(F.max("ts").alias("ts"), F.max_by(value, "ts").alias(value))
+def counter_gauge_timer(samples: DataFrame, tie: str, window: str = "1 hour", late: str = "1 hour") -> DataFrame:
+    """Samples (ts, kind, stat, value, ``tie``) per window: counters summed, gauges last (of equal times the one with the
+    greatest ``tie``), timers counted and averaged.
 
-
-def counter_gauge_timer(samples: DataFrame, window: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Samples (ts, kind, stat, value) per window: counters summed, gauges last, timers
-    counted and averaged."""
+    On a stream windows are given out as by ``failure_stream``.
+    """
     if samples.isStreaming:
         samples = samples.withWatermark("ts", late)
     of = lambda kind: F.col("kind") == kind
     grouped = samples.groupBy(F.window("ts", window).alias("w"), "kind", "stat").agg(
         F.sum(F.when(of("counter"), F.col("value"))).alias("total"),
-        F.max_by(F.when(of("gauge"), F.col("value")), F.when(of("gauge"), F.col("ts"))).alias("last"),
+        F.max_by("value", F.when(of("gauge"), F.struct("ts", tie))).alias("last"),
         F.count_if(of("timer")).alias("timings"),
         F.avg(F.when(of("timer"), F.col("value"))).alias("mean"),
     )
     return grouped.select(F.col("w.start").alias("window_start"), "kind", "stat", "total", "last", "timings", "mean")
 
 
+def complete_windows(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """All windows of a finished stream: run in update mode, the newest form of each window.  Runs the stream.
+
+    ``windows`` comes from ``failure_stream`` or ``counter_gauge_timer``.  Nothing is held back for a watermark that will
+    not come; only rows that were older than the watermark when they arrived are missing.
+    """
+    return run_once(windows, "update", ["window_start", *keys])
+
+
 def run_once(stream: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
     """Run a stream over everything available and return what it wrote.
 
