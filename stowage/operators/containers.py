@@ -1,7 +1,7 @@
 """Nested contents: sizes of containers, parents, tape hints.
 
-Nesting has no fixed depth.  A loop goes up one level per pass, stops when a level is
-empty, and keeps only aggregates between passes, each in the checkpoint folder.  (The
+Nesting has no fixed depth.  A loop goes up one level per pass and keeps only aggregates
+between passes, each in the checkpoint folder; collections that contain themselves are named.  (The
 recursive SQL of Spark is limited in rows, so it does not fit tables of this size.)
 """
 
@@ -14,26 +14,52 @@ from ..functions import names as N
 from ..session import cut_lineage
 
 
-def _climb(level: DataFrame, step, parents: DataFrame | None = None) -> DataFrame:
-    """Union of ``level`` and of all levels above it, until ``step`` gives no rows.
-
-    A step that leaves out what was seen ends by itself.  One that does not passes
-    ``parents``: a way up through more nodes than there are has met one of them twice.
-    """
+def _climb(level: DataFrame, step) -> DataFrame:
+    """Union of ``level`` and of all levels above it, until ``step``, which leaves out what was seen, gives no rows."""
     out = level = cut_lineage(level)
-    above, nodes = 0, None
     while True:
         level = cut_lineage(step(level, out))
         if level.isEmpty():
             return out
-        above += 1
-        if parents is not None:
-            nodes = parents.select("parent").distinct().count() if nodes is None else nodes
-            if above > nodes:
-                raise ValueError("contents contain themselves")
         out = out.unionByName(level)
 
 
+def _cycle(edges: DataFrame) -> ValueError:
+    """The error that names collections that contain themselves.  ``edges`` (node, parent) is what no round could settle.
+
+    Collections that nothing holds are taken away until none is left: what stays lies on cycles, or between two of them.
+    """
+    while True:
+        held = cut_lineage(edges.join(edges.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi").select("node", "parent"))
+        if held.count() == edges.count():
+            break
+        edges = held
+    members = edges.select("node").distinct()
+    named = [r[0] for r in members.orderBy("node").limit(20).collect()]
+    return ValueError(f"contents contain themselves: {members.count()} collections, {', '.join(named)}")
+
+
+def _peel(first: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, length, size) summed upward through ``edges`` (node, parent).
+
+    Each round settles the collections whose children are all settled, hands their totals to their parents once, and
+    forgets them and their edges.  There are as many rounds as levels.  A round that settles nothing while edges are left
+    has met a cycle, whatever the number of collections.
+    """
+    totals = lambda df: df.groupBy("node").agg(F.sum("length").alias("length"), F.sum("size").alias("size"))
+    pending, edges, out = cut_lineage(first), cut_lineage(edges), None
+    while not edges.isEmpty():
+        ready = cut_lineage(edges.select("node").distinct().join(edges.select(F.col("parent").alias("node")).distinct(), "node", "left_anti"))
+        if ready.isEmpty():
+            raise _cycle(edges)
+        settled = cut_lineage(totals(pending.join(ready, "node", "left_semi")))
+        given = settled.join(edges, "node").select(F.col("parent").alias("node"), "length", "size")
+        pending = cut_lineage(totals(pending.join(ready, "node", "left_anti").unionByName(given)))
+        edges = cut_lineage(edges.join(ready, "node", "left_anti"))
+        out = settled if out is None else out.unionByName(settled)
+    return totals(pending) if out is None else out.unionByName(totals(pending))
+
+
 def container_stats(contents: DataFrame, files: DataFrame, distinct: bool = False) -> DataFrame:
     """Number and bytes of the files below every collection, through all levels.  Runs one
     job per level.
@@ -50,13 +76,7 @@ def container_stats(contents: DataFrame, files: DataFrame, distinct: bool = Fals
             .groupBy(F.col("name").alias("node"))
             .agg(F.count(F.lit(1)).alias("length"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("size"))
         )
-        up = lambda level, _: (
-            level.join(parents, "node")
-            .groupBy(F.col("parent").alias("node"))
-            .agg(F.sum("length").alias("length"), F.sum("size").alias("size"))
-        )
-        sums = _climb(first, up, parents)
-        return sums.groupBy(F.col("node").alias("name")).agg(F.sum("length").alias("length"), F.sum("size").alias("size"))
+        return _peel(first, parents).withColumnRenamed("node", "name")
     first = held.select(F.col("name").alias("node"), "child_name").distinct()
     up = lambda level, seen: (
         level.join(parents, "node")

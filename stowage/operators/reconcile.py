@@ -62,12 +62,17 @@ def site_block_diff(source: DataFrame, catalogue: DataFrame, patterns: Sequence[
 
 def site_block_diff_summary(diff: DataFrame) -> DataFrame:
     """Counts per site and two percentages: of everything seen, and of what should be there."""
-    is_ = lambda label: F.count_if(F.col("label") == label)
+    return summary_of_counts(diff.groupBy("site", "label").agg(F.count(F.lit(1)).alias("n")))
+
+
+def summary_of_counts(counts: DataFrame) -> DataFrame:
+    """``site_block_diff_summary`` of (site, label, n), where a label may have several rows."""
+    of = lambda label: F.coalesce(F.sum(F.when(F.col("label") == label, F.col("n"))), F.lit(0)).alias(label)
     complete, missing, extra = F.col("complete"), F.col("not_in_catalogue"), F.col("not_in_source")
     percent = lambda whole: F.round(F.try_divide(complete * 100.0, whole), 6)
     return (
-        diff.groupBy("site")
-        .agg(*[is_(x).alias(x) for x in ("complete", "incomplete", "not_in_catalogue", "not_in_source")])
+        counts.groupBy("site")
+        .agg(*[of(x) for x in ("complete", "incomplete", "not_in_catalogue", "not_in_source")])
         .withColumn("pct_complete", percent(complete + missing + extra))
         .withColumn("pct_added", percent(complete + missing))
     )
@@ -102,13 +107,15 @@ def dataset_list_summary(diff: DataFrame) -> DataFrame:
     return diff.groupBy("site").agg(F.count(F.lit(1)).alias("tot"), *counts, F.count_if("selected").alias("selected"))
 
 
-def empty_source_guard(diff: DataFrame, remove_label: str = "not_in_source", allow_clean: bool = False) -> DataFrame:
-    """Drop the rows of sites where every row is a removal, which is what an empty source
-    list looks like.  One aggregate of site size decides; nothing is collected."""
+def empty_source_guard(diff: DataFrame, source: DataFrame, allow_clean: bool = False) -> DataFrame:
+    """Drop the rows of sites of which the raw ``source`` list, before any name pattern, has no row at all.
+
+    An empty list is what a failed fetch looks like, and all removals for such a site are mistrusted; a pattern that matches
+    nothing at a site with a list is not.  Rows of the list without a site say nothing of any site.
+    """
     if allow_clean:
         return diff
-    suspect = diff.groupBy("site").agg(F.bool_and(F.col("label") == remove_label).alias("all_gone")).filter("all_gone")
-    return diff.join(suspect.select("site"), "site", "left_anti")
+    return diff.join(source.select("site").distinct(), "site", "left_semi")
 
 
 def capped_actions(plan: DataFrame, n: int, keys: Sequence[str] = ("site", "label"), order: str = "block") -> DataFrame:
@@ -200,11 +207,11 @@ def dark_missing_files(
 ) -> DataFrame:
     """(rse, path) twice -> dark (only on storage) and missing (only in the catalogue)."""
     scope = lambda df: df.select("rse", "path").filter(under_any("path", roots) & ~under_any("path", ignore)).distinct()
-    both = (
-        scope(listing)
-        .withColumn("s", F.lit(True))
-        .join(scope(dump).withColumn("c", F.lit(True)), ["rse", "path"], "full_outer")
-    )
+    return dark_or_missing(scope(listing), scope(dump))
+
+
+def dark_or_missing(listing: DataFrame, dump: DataFrame) -> DataFrame:
+    both = listing.withColumn("s", F.lit(True)).join(dump.withColumn("c", F.lit(True)), ["rse", "path"], "full_outer")
     return both.filter(F.col("s").isNull() | F.col("c").isNull()).select(
         "rse", "path", F.when(F.col("c").isNull(), "dark").otherwise("missing").alias("label")
     )

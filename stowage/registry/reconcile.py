@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import digests as dig
 from ..operators import ranking
 from ..operators import reconcile as rec
 from ..session import scratch_path
@@ -40,6 +41,31 @@ def _(c):
     return rec.site_block_diff_summary(_diff(c))
 
 
+def _block_inventories(c):
+    return [
+        dig.write_inventory(df, scratch_path(c.spark, "blocks"), "site", "block", ["n_files"], buckets=64)
+        for df in (c.source_blocks, c.catalogue_blocks)
+    ]
+
+
+@registered("site_block_diff_digest", f"WITH {_DIFF} SELECT * FROM d WHERE label <> 'complete'")
+def _(c):
+    return dig.incomplete_blocks(c.spark, *_block_inventories(c))
+
+
+@registered(
+    "site_block_diff_summary_digest",
+    f"""WITH {_DIFF},
+    n AS (SELECT site, count(*) FILTER (label = 'complete') AS complete, count(*) FILTER (label = 'incomplete') AS incomplete,
+                 count(*) FILTER (label = 'not_in_catalogue') AS not_in_catalogue,
+                 count(*) FILTER (label = 'not_in_source') AS not_in_source FROM d GROUP BY site)
+    SELECT *, round(complete * 100.0::DOUBLE / nullif(complete + not_in_catalogue + not_in_source, 0), 6) AS pct_complete,
+           round(complete * 100.0::DOUBLE / nullif(complete + not_in_catalogue, 0), 6) AS pct_added FROM n""",
+)
+def _(c):
+    return dig.block_summary(c.spark, *_block_inventories(c))
+
+
 @registered(
     "pattern_any_filter",
     "SELECT * FROM source_blocks WHERE contains(block, 'NANOAODSIM') OR contains(block, '/Era3')",
@@ -108,7 +134,7 @@ def _(c):
 def _(c):
     # one site's source list is lost
     source = c.source_blocks.filter("site NOT LIKE 'X%'")
-    return rec.empty_source_guard(rec.site_block_diff(source, c.catalogue_blocks))
+    return rec.empty_source_guard(rec.site_block_diff(source, c.catalogue_blocks), source)
 
 
 @registered(
@@ -217,6 +243,22 @@ def _(c):
     return _dark(c)
 
 
+@registered(
+    "dark_missing_files_digest",
+    f"""SELECT *, 'dark' AS label FROM (SELECT rse, path FROM storage_paths WHERE {_IN_ROOTS}
+              EXCEPT SELECT rse, path FROM catalogue_paths WHERE {_IN_ROOTS})
+        UNION ALL SELECT *, 'missing' FROM (SELECT rse, path FROM catalogue_paths WHERE {_IN_ROOTS}
+              EXCEPT SELECT rse, path FROM storage_paths WHERE {_IN_ROOTS})""",
+)
+def _(c):
+    scope = rec.under_any("path", _ROOTS) & ~rec.under_any("path", _IGNORE)
+    listing, dump = (
+        dig.write_inventory(dig.in_scope(df, scope), scratch_path(c.spark, "paths"), "rse", "path", buckets=64)
+        for df in (c.storage_paths, c.catalogue_paths)
+    )
+    return dig.dark_missing_by_digest(c.spark, listing, dump)
+
+
 def _now():
     return F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")
 

@@ -207,8 +207,11 @@ def test_empty_source_guard(spark, rows):
     catalogue = spark.createDataFrame([("x", "b1", 1), ("y", "b1", 1)], "site string, block string, n_files int")
     source = spark.createDataFrame([("y", "b2", 1)], "site string, block string, n_files int")
     diff = reconcile.site_block_diff(source, catalogue)
-    assert rows(reconcile.empty_source_guard(diff), "site", "block") == [("y", "b1"), ("y", "b2")]
-    assert reconcile.empty_source_guard(diff, allow_clean=True).count() == 3
+    assert rows(reconcile.empty_source_guard(diff, source), "site", "block") == [("y", "b1"), ("y", "b2")]
+    assert reconcile.empty_source_guard(diff, source, allow_clean=True).count() == 3
+    # a pattern that matches nothing at a site that has a list is no empty list
+    filtered = reconcile.site_block_diff(source, catalogue, ["b1"])
+    assert rows(reconcile.empty_source_guard(filtered, source), "site", "block", "label") == [("y", "b1", "not_in_source")]
 
 
 def test_identity_kinds_do_not_delete_each_other(spark, rows):
@@ -237,8 +240,47 @@ def test_container_stats_levels_and_cycle(spark, rows):
     assert rows(containers.container_stats(contents, files)) == [("d1", 2, 15), ("mid", 2, 15), ("top", 4, 30)]
     assert rows(containers.container_stats(contents, files, distinct=True)) == [("d1", 2, 15), ("mid", 2, 15), ("top", 2, 15)]
     loop = spark.createDataFrame([("a", "b", "C", "C"), ("b", "a", "C", "C"), ("a", "f1", "D", "F")], schema)
-    with pytest.raises(ValueError, match="contain themselves"):
+    with pytest.raises(ValueError, match="contain themselves: 2 collections, a, b"):
         containers.container_stats(loop, files)
+    assert containers.container_stats(contents.limit(0), files).collect() == []
+
+
+def test_cycle_among_many_collections_is_named_in_few_rounds(spark, monkeypatch):
+    """10^4 collections in chains of five, and a cycle of three with something above and below it."""
+    schema = "name string, child_name string, did_type string, child_type string"
+    edges = [(f"c{i}", f"c{i + 1}", "C", "C") for i in range(10000) if i % 5 < 4] + [(f"c{i}", f"f{i}", "D", "F") for i in range(10000)]
+    cycle = [("x", "y", "C", "C"), ("y", "z", "C", "C"), ("z", "x", "C", "C"), ("top", "x", "C", "C"), ("z", "c4", "C", "C"), ("over", "top", "C", "C")]
+    files = spark.range(10000).selectExpr("concat('f', id) as name", "id as bytes")
+    rounds, cut = [], containers.cut_lineage
+    monkeypatch.setattr(containers, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    got = {r["name"]: (r["length"], r["size"]) for r in containers.container_stats(spark.createDataFrame(edges, schema), files).collect()}
+    assert len(got) == 10000 and all(got[f"c{i}"] == (5 - i % 5, sum(range(i, i + 5 - i % 5))) for i in range(10000))
+    assert len(rounds) <= 2 + 4 * 5
+    rounds.clear()
+    with pytest.raises(ValueError, match="3 collections, x, y, z"):
+        containers.container_stats(spark.createDataFrame(edges + cycle, schema), files)
+    assert len(rounds) <= 2 + 4 * 6 + 4
+
+
+def test_paths_that_meet_count_each(spark):
+    """Against a plain recursion over random nestings, with repeated rows and empty collections."""
+    import random
+
+    rng = random.Random(3)
+    schema = "name string, child_name string, did_type string, child_type string"
+    for _ in range(2):
+        edges = [(f"c{i}", f"c{rng.randrange(i + 1, 31)}", "C", "C") for i in range(30) for _ in range(rng.randrange(4))]
+        held = [(f"c{rng.randrange(10, 34)}", f"f{rng.randrange(40)}", "D", "F") for _ in range(25)]
+        sizes = {f"f{i}": i for i in range(30)}
+
+        def below(name):
+            found = [(1, sizes.get(f, 0)) for c, f, *_ in held if c == name]
+            found += [below(child) for c, child, *_ in edges if c == name]
+            return tuple(map(sum, zip(*found))) if found else (0, 0)
+
+        files = spark.createDataFrame(list(sizes.items()), "name string, bytes long")
+        got = {r["name"]: (r["length"], r["size"]) for r in containers.container_stats(spark.createDataFrame(edges + held, schema), files).collect()}
+        assert got == {f"c{i}": below(f"c{i}") for i in range(34) if below(f"c{i}")[0]}
 
 
 def test_tape_hints_without_type(spark):
