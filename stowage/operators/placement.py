@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import number_rows, top_n_per_key
+from .ranking import rank_rows, top_n_per_key
 
 # Distance per relation of two endpoints.
 DISTANCE = {
@@ -303,5 +303,5 @@ def first_n_blocks(blocks: DataFrame, n: int = 3) -> DataFrame:
 
 def first_blocks_wanted(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
     """The same with a number per container (container, nblocks); null keeps all blocks."""
-    numbered = number_rows(blocks.join(wanted, "container"), ["container"], ["block"])
+    numbered = rank_rows(blocks.join(wanted, "container"), ["container"], ["block"])
     return numbered.filter(F.col("nblocks").isNull() | (F.col("n") <= F.col("nblocks"))).select("container", "block")

@@ -144,7 +144,6 @@ def archive_host_groups(urls: DataFrame, chunk: int = 500) -> DataFrame:
     host is many rows.
 
     Every URL comes out: one without scheme and host, or a null one, under the host ``https://``.
-    Runs a job (``number_rows``).
     """
     from .ranking import block_chunks
 

@@ -181,7 +181,7 @@ def registration_plan(files: DataFrame, folder: str, scope: str, block_size: int
 
     Paths are packed in order into blocks of ``block_size`` per container; a block is named
     by a hash of container and number, so a second run plans the same names.  A path that does
-    not fit the folder becomes a ``reject`` row.  Runs a job (``block_chunks``).
+    not fit the folder becomes a ``reject`` row.
     """
     every = files.select(F.col("path").alias("file"), dataset_from_path("path", folder).alias("container"))
     unfit = action_table(

@@ -590,3 +590,47 @@ def test_worker_functions_need_no_package(tmp_path):
             [sys.executable, "-c", code], input=cloudpickle.dumps(function), capture_output=True, cwd=tmp_path, env=env, timeout=120
         )
         assert out.stdout.strip() == b"True", out.stderr[-500:]
+
+
+# --- numbering between the bounds of a sketch --------------------------------------------
+@pytest.mark.parametrize("buckets", [1, 2, 7, 64])
+def test_rank_rows_matches_brute_force(spark, buckets):
+    """Nulls in key and order, ties, a key with most rows, a clashing column; nothing is stored."""
+    import random
+
+    rng = random.Random(buckets)
+    given = [(rng.choice(["hot"] * 6 + ["a", "b", "", None]), rng.choice([None, 1.5, rng.random()]), f"/x/{rng.randrange(400)}", i, "c") for i in range(1500)]
+    df = spark.createDataFrame(given, "key string, v double, path string, id long, total_ string").repartition(5)
+    ranked = ranking.rank_rows(df, ["key"], ["v", "path", "id"], buckets=buckets)
+    got = {r["id"]: (r["n"], r["total"]) for r in ranked.collect()}
+    want, by_key = {}, {}
+    for r in given:
+        by_key.setdefault(r[0], []).append(r)
+    for rows_ in by_key.values():
+        rows_.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        want |= {r[3]: (i + 1, len(rows_)) for i, r in enumerate(rows_)}
+    assert got == want
+
+
+def test_rank_rows_spreads_a_hot_key_and_stores_nothing(spark):
+    df = spark.range(20000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 500)) as key", "concat('/store/data/file', id) as path")
+    ranked = ranking.rank_rows(df, ["key"], ["path"], buckets=32)
+    text = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in text and "Checkpoint" not in text
+    bounds = ranking.sketch_bounds(df, ["key", "path"], 32)
+    dealt = ranking.with_bucket(df, bounds, ["key", "path"], 32).filter("key = 'hot'").groupBy("_bucket").count().collect()
+    # the bounds are one literal, no expression that each row would work out
+    assert "from_json" not in text and "[hot," in text
+    assert len(dealt) >= 8 and max(r["count"] for r in dealt) < 20000 / 32 * 2.5
+
+
+def test_rank_rows_of_an_empty_frame(spark):
+    assert ranking.rank_rows(spark.range(0), ["id"], ["id"]).collect() == []
+
+
+def test_top_n_has_one_plan(spark):
+    df = spark.range(3000).selectExpr("id % 2 as key", "id % 100 as v", "id", "map('a', id) as m")
+    for n in (1, 5, 1200):
+        got = sorted(r["id"] for r in ranking.top_n_per_key(df, ["key"], [F.col("v"), F.col("id")], n).collect())
+        want = sorted(i for k in (0, 1) for _, i in sorted((j % 100, j) for j in range(3000) if j % 2 == k)[:n])
+        assert got == want
