@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import expressions as ex
+from ..operators import patterns as pt
 from ..operators import placement as pl
 from . import registered
 from .invalidation import replicas_named
@@ -207,6 +209,98 @@ def _(c):
     return pl.subscription_match(dids, _SUBSCRIPTIONS)
 
 
+def _subscription_table(c):
+    """The two subscriptions as rows, and one more for each nation, which wants containers by their number."""
+    rule = "struct<copies: bigint, rse_expression: string, activity: string, grouping: string, weight: string, lifetime: bigint>"
+    schema = f"subscription string, pattern string, want_type string, want_scope array<string>, want_account array<string>, want_project array<string>, rules array<{rule}>"
+    rows = [
+        (s["name"], s["filter"].get("pattern"), s["filter"].get("did_type"), s["filter"].get("scope"), s["filter"].get("account"), None,
+         [(r["copies"], r["rse_expression"], r["activity"], r.get("grouping"), r.get("weight"), r.get("lifetime")) for r in s["rules"] or []])
+        for s in _SUBSCRIPTIONS
+    ]
+    own = c.nation.select(
+        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("subscription"),
+        F.concat(F.lit("/C"), F.col("n_nationkey").cast("string"), F.lit("/.*-v1/")).alias("pattern"),
+        F.lit(None).cast("string").alias("want_type"), *(F.lit(None).cast("array<string>").alias(f"want_{k}") for k in ("scope", "account", "project")),
+        F.expr("array(named_struct('copies', n_regionkey, 'rse_expression', 'tier=1', 'activity', 'Test', 'grouping', cast(null as string), "
+               "'weight', cast(null as string), 'lifetime', cast(null as bigint)))").alias("rules"),
+    )
+    return c.spark.createDataFrame(rows, schema).unionByName(own)
+
+
+@registered(
+    "subscription_match_table",
+    """WITH d AS (SELECT DISTINCT name FROM contents WHERE did_type = 'C')
+    SELECT name, 'nano' AS subscription, 0 AS position, CAST(2 AS BIGINT) AS copies, 'region=A' AS rse_expression,
+           'Production Output' AS activity, 'ALL' AS "grouping", NULL::VARCHAR AS weight, NULL::BIGINT AS lifetime
+    FROM d WHERE regexp_matches(name, '^/.*/NANOAOD(|SIM)$')
+    UNION ALL SELECT name, 'nano', 1, 1, 'region=B', 'Production Output', NULL, 'ddm_quota', NULL FROM d WHERE regexp_matches(name, '^/.*/NANOAOD(|SIM)$')
+    UNION ALL SELECT name, 'early', 0, 1, 'region=C', 'Functional Test', NULL, NULL, 3600 FROM d WHERE regexp_matches(name, '^/C1.*/Era[0-3]-v1/')
+    UNION ALL SELECT name, 'n' || n_nationkey, 0, n_regionkey, 'tier=1', 'Test', NULL, NULL, NULL FROM d, nation
+              WHERE regexp_matches(name, '^/C' || n_nationkey || '/.*-v1/')""",
+)
+def _(c):
+    dids = c.contents.filter("did_type = 'C'").select("name").distinct().select(
+        "name", F.lit("CONTAINER").alias("did_type"), F.lit("cms").alias("scope"), F.lit("prod").alias("account"), F.lit("P").alias("project")
+    )
+    return pt.subscription_rules(dids, _subscription_table(c))
+
+
+@registered(
+    "excluded_links_table",
+    f"""WITH {_MATRIX}
+    SELECT src, dest, CASE WHEN src <> dest AND ((src LIKE '%\\_Tape' ESCAPE '\\' AND d_type = 'test')
+           OR (coalesce(s_region LIKE 'A%', false) AND d_country LIKE 'B_%')
+           OR EXISTS (SELECT 1 FROM nation WHERE s_site LIKE '%S' || n_nationkey || '%' AND d_country = substr(n_name, 1, 2))) THEN -1 ELSE distance END AS distance FROM m""",
+)
+def _(c):
+    """Rules as a table: the fixed ones, and one for each nation."""
+    fixed = [(f"r{i}", side, f, p) for i, r in enumerate(_RULES) for side in r for f, p in r[side].items()]
+    name = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))
+    own = c.nation.select(name.alias("rule_id"), F.lit("src").alias("side"), F.lit("site").alias("field"), F.concat(F.lit(".*S"), F.col("n_nationkey").cast("string")).alias("pattern")).unionByName(
+        c.nation.select(name.alias("rule_id"), F.lit("dest").alias("side"), F.lit("country").alias("field"), F.concat(F.substring("n_name", 1, 2), F.lit("$")).alias("pattern"))
+    )
+    rules = c.spark.createDataFrame(fixed, "rule_id string, side string, field string, pattern string").unionByName(own)
+    return pt.excluded_links(_matrix(c), c.rses.select("rse", "site", "cms_type", "country", "region"), rules)
+
+
+# --- endpoint expressions --------------------------------------------------------------
+_EXPRESSION = """CASE CAST(rule_id % 6 AS INT) WHEN 0 THEN rse_expression WHEN 1 THEN 'tier=' || CAST(rule_id % 4 AS {0}) || '&rse_type=DISK'
+    WHEN 2 THEN '(tier<2|country=AA)&rse_type=TAPE' WHEN 3 THEN 'tier>1&cms_type=real|region=A' WHEN 4 THEN '*\\rse_type=TAPE' ELSE 'tier=' END"""
+_MEANT = """CASE CAST(rule_id % 6 AS INT) WHEN 0 THEN rse = rse_expression WHEN 1 THEN tier = rule_id % 4 AND rse_type = 'DISK'
+    WHEN 2 THEN (tier < 2 OR coalesce(country = 'AA', false)) AND rse_type = 'TAPE'
+    WHEN 3 THEN (tier > 1 AND cms_type = 'real') OR coalesce(region = 'A', false) WHEN 4 THEN rse_type <> 'TAPE' ELSE false END"""
+
+
+def _expression_rules(c):
+    return c.rules.withColumn("rse_expression", F.expr(_EXPRESSION.format("STRING").replace("\\", "\\\\")))
+
+
+def _facts(c):
+    keys = ("tier", "country", "rse_type", "region", "cms_type")
+    pairs = F.array(*(F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys))
+    return c.rses.select("rse", F.explode(pairs).alias("a")).select("rse", "a.*").filter("value IS NOT NULL")
+
+
+@registered("rule_rses", f"SELECT rule_id, rse FROM rules JOIN rses ON {_MEANT}")
+def _(c):
+    return ex.rule_rses(_expression_rules(c), _facts(c))
+
+
+@registered(
+    "rules_reaching",
+    f"SELECT rule_id, account, name FROM rules JOIN rses ON {_MEANT} WHERE state = 'W' AND rse = (SELECT min(rse) FROM rses)",
+)
+def _(c):
+    first = c.rses.agg(F.min("rse")).scalar()
+    return ex.rules_reaching(_expression_rules(c), _facts(c), first).select("rule_id", "account", "name")
+
+
+@registered("malformed_expressions", "SELECT DISTINCT 'tier=' AS rse_expression FROM rules WHERE rule_id % 6 = 5")
+def _(c):
+    return ex.malformed_expressions(_expression_rules(c))
+
+
 @registered(
     "site_config_select",
     """SELECT rse || '_Test' AS rse, site, true AS deterministic FROM rses
