@@ -20,6 +20,8 @@ PATTERNS = {
     "lfn": r"^/store/[A-Za-z0-9][A-Za-z0-9\.\-\_/]{1,493}$",
     "rse": r"^T[0-3]_[A-Z]{2}((_[A-Za-z0-9]+)+)$",
     "rse_attribute": r"([A-Za-z0-9\._-]+[=<>][A-Za-z0-9_-]+)",
+    "default_rse_attribute": r"([A-Z0-9]+([_-][A-Za-z0-9]+)*)",
+    "date": r"((Mon)|(Tue)|(Wed)|(Thu)|(Fri)|(Sat)|(Sun))[,]\s\d{2}\s(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\s\d{4}\s(0\d|1\d|2[0-3])(\:)(0\d|1\d|2\d|3\d|4\d|5\d)(\:)(0\d|1\d|2\d|3\d|4\d|5\d)\s(UTC)",
     "adler32": r"^[a-fA-F\d]{8}$",
     "md5": r"^[a-fA-F\d]{32}$",
     "uuid": r"^(\{){0,1}[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}(\}){0,1}$",

@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..operators import integrity as itg
 from ..operators import quality as q
+from ..operators import records as recs
 from ..operators import requests as rq
+from ..session import scratch_path
+from ..streaming import streams as st
+from ..streaming import upserts as up
 from . import registered
 from .invalidation import stamp
 
@@ -246,21 +250,40 @@ def _(c):
     return out.select("request_id", "log_error", "filename", "error", F.col("replicas")[0]["status"].alias("first_status"))
 
 
-@registered(
-    "integrity_upsert",
-    """WITH kept AS (SELECT o.* FROM int_replicas o WHERE NOT (o.status = 'pending' AND EXISTS
+_UPSERT = """WITH kept AS (SELECT o.* FROM int_replicas o WHERE NOT (o.status = 'pending' AND EXISTS
              (SELECT 1 FROM int_checked r WHERE r.request_id = o.request_id AND r.lfn = o.lfn))),
     n AS (SELECT request_id, 'cms' AS scope, lfn, NULL AS rse, NULL AS pfn, 'ERROR' AS status FROM int_checked WHERE error IS NOT NULL
           UNION ALL SELECT request_id, 'cms', lfn, rse1, 'root://' || rse1, 'OK' FROM int_checked WHERE error IS NULL
           UNION ALL SELECT request_id, 'cms', lfn, rse2, 'root://' || rse2, 'ERROR' FROM int_checked WHERE error IS NULL)
     SELECT request_id, scope, lfn, rse, pfn, status FROM kept
     UNION ALL SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.request_id = n.request_id AND k.lfn = n.lfn
-                                                AND k.rse IS NOT DISTINCT FROM n.rse)""",
+                                                AND k.rse IS NOT DISTINCT FROM n.rse)"""
+
+
+@registered(
+    "integrity_upsert",
+    _UPSERT,
 )
 def _(c):
     return itg.integrity_upsert(c.int_replicas, _results(c))
 
 
+@registered("integrity_upsert_stream", _UPSERT)
+def _(c):
+    """Results that arrive in batches, each delivered twice, go into a stored table."""
+    path = scratch_path(c.spark, "integrity")
+    old = c.int_replicas.select("request_id", "scope", "lfn", "rse", "pfn", "status")
+    replicas = up.UpsertTable(f"{path}/table", "lfn", ", ".join(f"{n} {t}" for n, t in old.dtypes), buckets=32)
+    replicas.create(old)
+    results = _results(c)
+    for _ in range(2):
+        results.write.mode("append").parquet(f"{path}/results")
+    stream = st.read_stream(c.spark, f"{path}/results", "*.parquet", results.schema, files_a_batch=6)
+    sink = up.upsert_sink(stream, replicas, itg.split_scope("filename")["name"], itg.integrity_upsert)
+    sink.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    return replicas.stored(c.spark)
+
+
 @registered(
     "first_good_pfn",
     """SELECT lfn, rse, coalesce(arg_min(pfn, pos) FILTER (copied), arg_max(pfn, pos)) AS pfn,
@@ -415,6 +438,39 @@ def _(c):
     return out.select("rule_id", F.array_join("missing", ",").alias("missing"))
 
 
+_RSE = r"^T[0-3]_[A-Z]{2}((_[A-Za-z0-9]+)+)$"
+_RECORD_NAME = r"""(regexp_matches(name, '^/[a-zA-Z0-9\-_]{1,99}/[a-zA-Z0-9.\-_]{1,199}/[A-Z0-9\-]{1,99}$')
+    OR regexp_matches(name, '^/[a-zA-Z0-9\-_]{1,99}/[a-zA-Z0-9.\-_]{1,199}/[A-Z0-9\-]{1,99}#[a-zA-Z0-9.\-_]{1,100}$')
+    OR regexp_matches(name, '^/store/[A-Za-z0-9][A-Za-z0-9.\-_/]{1,493}$'))"""
+
+
+@registered(
+    "record_violations",
+    f"""WITH r AS (SELECT rule_id, name, CAST(rule_id % 7 AS INT) AS k, CASE WHEN rule_id % 5 = 0 THEN lower(rse_expression) ELSE rse_expression END AS rse FROM rules)
+    SELECT rule_id, '$.rse' AS path, 'does not match' AS violation FROM r WHERE NOT regexp_matches(rse, '{_RSE}')
+    UNION ALL SELECT rule_id, '$.dids[' || i || '].name', 'does not match' FROM r, (VALUES (0), (1)) v(i) WHERE NOT {_RECORD_NAME} AND NOT (i = 1 AND k = 1)
+    UNION ALL SELECT rule_id, '$.dids[1].name', 'is missing' FROM r WHERE k = 1
+    UNION ALL SELECT rule_id, '$.dids[0].bytes', 'type is not integer' FROM r WHERE k = 2
+    UNION ALL SELECT rule_id, '$.dids[1].extra', 'is unknown' FROM r WHERE k = 3
+    UNION ALL SELECT rule_id, '$.dids[1].rules', 'fewer than 1 items' FROM r WHERE k = 4
+    UNION ALL SELECT rule_id, '$.dids[0].rules[0].dids', 'is missing' FROM r WHERE k = 5
+    UNION ALL SELECT rule_id, '$.dids[0].rules[0].grouping', 'is none of the values' FROM r WHERE k = 5
+    UNION ALL SELECT rule_id, '$', 'is no JSON' FROM r WHERE k = 6 AND rse IS NULL""",
+)
+def _(c):
+    """Attachments made from rules, each seventh kind with another fault deep inside."""
+    k = F.col("rule_id") % 7
+    when = lambda n, value: F.when(k == n, value)
+    rule = F.struct(F.lit(1).alias("copies"), F.lit("tier=1").alias("rse_expression"), F.lit("SOME").alias("grouping"))
+    empty = F.array().cast("array<struct<copies:int,rse_expression:string,grouping:string>>")
+    did = lambda **more: F.struct(F.lit("cms").alias("scope"), *(v.alias(n) for n, v in more.items()))
+    first = did(name=F.col("name"), bytes=when(2, F.lit("1")), size=F.lit(None).cast("int"), extra=F.lit(None).cast("int"), rules=when(5, F.array(rule)))
+    second = did(name=F.when(k != 1, F.col("name")), bytes=F.lit(None).cast("string"), size=F.lit(None).cast("int"), extra=when(3, F.lit(1)), rules=when(4, empty))
+    rse = F.when(F.col("rule_id") % 5 == 0, F.lower("rse_expression")).otherwise(F.col("rse_expression"))
+    record = F.to_json(F.struct(F.lit("cms").alias("scope"), "name", rse.alias("rse"), F.array(first, second).alias("dids")))
+    return recs.record_violations(c.rules.select("rule_id", record.alias("record")).select("rule_id", "record"), recs.ATTACHMENT).select("rule_id", "path", "violation")
+
+
 @registered(
     "request_validation",
     """SELECT id, array_to_string(list_filter([
