@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ PROTOCOL_WEIGHT = {"WebDAV": 1, "XRootD": 3, "SRMv2": 2}
 WAN_OPERATIONS = ("read", "write", "third_party_copy_write", "third_party_copy_read", "delete")
 READ_ONLY_OPERATIONS = ("read", "third_party_copy_read")
 MAX_CHAIN_DEPTH = 5
+# Rules that are settings are unrolled up to so many steps, chained ones counted wherever they are followed.
+MAX_STEPS = 60
+PathRule = tuple[str, str, str, "str | None"]
 
 _HEAD = r"^(\w+)://([a-zA-Z0-9\-\.]+)"
 # The URL shapes, most specific first: port with service path, port with
@@ -117,13 +122,75 @@ def _resolve(name: Column, rules: Column, proto: Column, depth: int) -> Column:
     return F.aggregate(rules, state(name, F.lit(False), none), step)
 
 
-def lfn_to_pfn_chain(name: Column | str, rules: Column, proto: Column | str, depth: int = MAX_CHAIN_DEPTH) -> Column:
+def rule_array(rules: Sequence[PathRule]) -> Column:
+    """Settings as the array of structs that a table of rules would hold."""
+    row = lambda proto, path, out, chain: F.struct(
+        F.lit(proto).alias("proto"), F.lit(path).alias("path"), F.lit(out).alias("out"), F.lit(chain).cast("string").alias("chain")
+    )
+    return F.array(*[row(*r) for r in rules])
+
+
+class _TooManySteps(Exception):
+    pass
+
+
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _state(name: Column, hit: Column | None = None, error: Column | None = None) -> Column:
+    hit, error = F.lit(False) if hit is None else hit, F.lit(None).cast("string") if error is None else error
+    return F.struct(name.alias("name"), hit.alias("hit"), error.alias("error"))
+
+
+def _one_step(rules: Sequence[PathRule], pattern: str, replacement: str, chain: str | None, depth: int, steps: list[int]):
+    """What one rule does to the state before it."""
+
+    def apply(seen: Column) -> Column:
+        done = _state(F.regexp_replace(seen["name"], pattern, replacement), F.lit(True))
+        failed = _state(seen["name"], error=seen["error"])
+        return F.when(seen["error"].isNotNull(), failed).when(seen["name"].rlike(pattern), done).otherwise(_state(seen["name"]))
+
+    def step(acc: Column) -> Column:
+        before = _state(acc["name"]) if chain is None else _unrolled(acc["name"], rules, chain, depth + 1, steps)
+        return F.when(acc["hit"] | acc["error"].isNotNull(), acc).otherwise(_bind(before, apply))
+
+    return step
+
+
+def _unrolled(name: Column, rules: Sequence[PathRule], proto: str, depth: int, steps: list[int]) -> Column:
+    """``_resolve`` for rules that are settings: each pattern is a literal, compiled once, and only rules of ``proto`` are there."""
+    if depth > MAX_CHAIN_DEPTH:
+        return _state(name, F.lit(False), F.lit("chain too deep"))
+    out = _state(name)
+    for own, path, replacement, chain in rules:
+        if own != proto:
+            continue
+        steps[0] += 1
+        if steps[0] > MAX_STEPS:
+            raise _TooManySteps
+        out = _bind(out, _one_step(rules, f"^(?:{path})", replacement, chain, depth, steps))
+    return out
+
+
+def lfn_to_pfn_chain(
+    name: Column | str, rules: Column | Sequence[PathRule], proto: Column | str, depth: int = MAX_CHAIN_DEPTH
+) -> Column:
     """struct(pfn, error): ordered path rules with chained protocols.
 
-    ``rules`` is an array of struct(proto, path, out, chain).  No match at the outermost
-    level is an error; an unmatched chain hands its name on.
+    ``rules`` is an array of struct(proto, path, out, chain), or, where they are settings and ``proto`` is a text, a list of
+    such tuples; those become literal expressions (unless chains make them more than ``MAX_STEPS``, when the array form is
+    used).  No match at the outermost level is an error; an unmatched chain hands its name on.
     """
-    out = _resolve(_c(name), rules, _c(proto), MAX_CHAIN_DEPTH - depth)
+    if isinstance(rules, Column):
+        out = _resolve(_c(name), rules, _c(proto), MAX_CHAIN_DEPTH - depth)
+    else:
+        rules = list(rules)
+        try:
+            out = _unrolled(_c(name), rules, proto, MAX_CHAIN_DEPTH - depth, [0])
+        except _TooManySteps:
+            out = _resolve(_c(name), rule_array(rules), F.lit(proto), MAX_CHAIN_DEPTH - depth)
     error = F.coalesce(out["error"], F.when(~out["hit"], "no rule matches"))
     return F.struct(F.when(error.isNull(), out["name"]).alias("pfn"), error.alias("error"))
 

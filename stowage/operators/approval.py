@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .containers import container_stats
+from ..session import keep_table
+from .containers import stats_of
 
 # Activities and limits of automatic approval.
 AUTO_ACTIVITY = "User AutoApprove"
@@ -21,11 +22,14 @@ ANY_RULE_PREFIXES = ("sync_", "wma_")
 MANAGED_TIERS = ("/USER", "/NANOAOD", "/NANOAODSIM")
 
 
-def did_sizes(contents: DataFrame, files: DataFrame) -> DataFrame:
-    """(name, size) of every file and collection."""
-    return (
-        container_stats(contents, files).select("name", "size").unionByName(files.select("name", F.col("bytes").alias("size")))
-    )
+def did_sizes(contents: DataFrame, files: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, size) of those ``names`` (name) that are files or hold some.  Runs jobs (``stats_of``).
+
+    One row per name; a name of nothing known has no row.
+    """
+    asked = keep_table(names.select("name").distinct(), "asked")
+    known = files.select("name", F.col("bytes").alias("size"))
+    return stats_of(asked, contents, files).select("name", "size").unionByName(known.join(asked, "name", "left_semi"))
 
 
 def autoapprove_usage(rules: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -65,6 +69,25 @@ def request_rse_facts(request_rses: DataFrame, rses: DataFrame) -> DataFrame:
     )
 
 
+def _with_early_reason(requests: DataFrame, facts: DataFrame, banned: DataFrame, max_lifetime: float) -> DataFrame:
+    """Requests with their facts, and ``early``: the first reason against one that needs no sizes."""
+    early = (
+        F.when(~F.coalesce("ask_approval", F.lit(False)), "ask_approval missing")
+        .when(F.coalesce("barred", F.lit(False)), "tape, tier 3 or tier 0 endpoint")
+        .when(F.col("is_banned").isNotNull(), "account banned")
+        .when(F.coalesce("locked", F.lit(False)), "locked")
+        .when(F.col("lifetime").isNull(), "no lifetime")
+        .when(F.col("lifetime") > max_lifetime, "lifetime too long")
+    )
+    known = requests.join(facts, "request_id", "left").join(banned.select("account", F.lit(True).alias("is_banned")), "account", "left")
+    return known.withColumn("early", early)
+
+
+def names_to_size(requests: DataFrame, facts: DataFrame, banned: DataFrame, max_lifetime: float = MAX_LIFETIME) -> DataFrame:
+    """Names of the requests that come as far as the limits: only theirs need a size (``did_sizes``)."""
+    return _with_early_reason(requests, facts, banned, max_lifetime).filter("early IS NULL").select("name").distinct()
+
+
 def rule_request_decision(
     requests: DataFrame, facts: DataFrame, banned: DataFrame, sizes: DataFrame, usage: DataFrame, locked: DataFrame,
     max_lifetime: float = MAX_LIFETIME, max_single_rse: float = MAX_SINGLE_RSE,
@@ -82,19 +105,13 @@ def rule_request_decision(
     size, held = F.coalesce("size", F.lit(0)), lambda c: F.coalesce(c, F.lit(0))
     whole = locked.select("bytes").scalar()
     reason = (
-        F.when(~F.coalesce("ask_approval", F.lit(False)), "ask_approval missing")
-        .when(F.coalesce("barred", F.lit(False)), "tape, tier 3 or tier 0 endpoint")
-        .when(F.col("is_banned").isNotNull(), "account banned")
-        .when(F.coalesce("locked", F.lit(False)), "locked")
-        .when(F.col("lifetime").isNull(), "no lifetime")
-        .when(F.col("lifetime") > max_lifetime, "lifetime too long")
+        F.when(F.col("early").isNotNull(), F.col("early"))
         .when((F.col("n_writable") == 1) & (held("rse_bytes") + size > max_single_rse), "single endpoint usage exceeded")
         .when(held("account_bytes") + size > max_account, "account usage exceeded")
         .when(whole + size > max_global, "global usage exceeded")
     )
     checked = (
-        requests.join(facts, "request_id", "left")
-        .join(banned.select("account", F.lit(True).alias("is_banned")), "account", "left")
+        _with_early_reason(requests, facts, banned, max_lifetime)
         .join(sizes, "name", "left")
         .join(per_account, "account", "left")
         .join(per_rse, ["account", "rse_expression"], "left")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import human_size_si, min_free_bytes
+from ..session import keep_table
 from .ranking import latest_per_key
 
 # Usage sources that must be known, free-space thresholds, weight total.
@@ -73,9 +74,11 @@ def dm_weight(
     ``rses`` is (rse, availability_write, coefficient); ``limits`` (rse, min_free).  A
     weight is zero when writing is off or unknown, or the endpoint is over its quota.
     Endpoints without static space are left out; with no positive weight at all the
-    weights are null.
+    weights are null.  Runs a job: the wide table, a row per endpoint, is stored once, as its totals and its rows are
+    asked for one after the other.
     """
-    known = usage_complete(rse_usage_pivot(usage)).join(rses, "rse").filter("static <> 0")
+    wide = usage_complete(rse_usage_pivot(usage)).join(rses, "rse").filter("static <> 0").join(limits, "rse", "left")
+    known = keep_table(wide, "weights")
     total = known.agg(F.sum("static")).scalar().cast("double")
     free = F.col("static") - F.col("used") - F.coalesce("min_free", F.lit(0))
     off = ~F.coalesce(F.col("availability_write"), F.lit(False)) | (F.col("free") < 0)
@@ -86,8 +89,7 @@ def dm_weight(
         + F.lit(expired_weight) * (F.col("expired") / static)
     )
     weighted = (
-        known.join(limits, "rse", "left")
-        .withColumn("free", free)
+        known.withColumn("free", free)
         .withColumn("relative_pledge", static / total)
         .withColumn("coefficient", F.coalesce(F.col("coefficient").cast("double"), F.lit(1.0)))
         .withColumn("raw", F.when(off, 0.0).otherwise(raw) * F.col("coefficient"))

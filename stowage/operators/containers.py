@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names as N
-from ..session import cut_lineage
+from ..session import cut_lineage, keep_table
 
 
 def _climb(level: DataFrame, step) -> DataFrame:
@@ -29,11 +29,13 @@ def _cycle(edges: DataFrame) -> ValueError:
 
     Collections that nothing holds are taken away until none is left: what stays lies on cycles, or between two of them.
     """
+    left = edges.count()
     while True:
-        held = cut_lineage(edges.join(edges.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi").select("node", "parent"))
-        if held.count() == edges.count():
+        held = edges.select(F.col("node").alias("parent")).distinct()
+        edges = keep_table(edges.join(held, "parent", "left_semi").select("node", "parent"), "cycle")
+        before, left = left, edges.count()
+        if left == before:
             break
-        edges = held
     members = edges.select("node").distinct()
     named = [r[0] for r in members.orderBy("node").limit(20).collect()]
     return ValueError(f"contents contain themselves: {members.count()} collections, {', '.join(named)}")
@@ -42,41 +44,52 @@ def _cycle(edges: DataFrame) -> ValueError:
 def _peel(first: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, length, size) summed upward through ``edges`` (node, parent).
 
-    Each round settles the collections whose children are all settled, hands their totals to their parents once, and
-    forgets them and their edges.  There are as many rounds as levels.  A round that settles nothing while edges are left
-    has met a cycle, whatever the number of collections.
+    Each round settles the collections whose children are all settled: those that are no parent in what is left of the
+    edges.  Their totals go to their parents once, and their edges go.  There are as many rounds as levels.  A round that
+    takes no edge away while some are left has met a cycle, whatever the number of collections.  What a round hands on and
+    what it leaves are stored with their sizes, so that the next one broadcasts what has become small.
     """
-    totals = lambda df: df.groupBy("node").agg(F.sum("length").alias("length"), F.sum("size").alias("size"))
-    pending, edges, out = cut_lineage(first), cut_lineage(edges), None
-    while not edges.isEmpty():
-        ready = cut_lineage(edges.select("node").distinct().join(edges.select(F.col("parent").alias("node")).distinct(), "node", "left_anti"))
-        if ready.isEmpty():
+    sums = F.sum("length").alias("length"), F.sum("size").alias("size")
+    given, edges = keep_table(first, "sums"), keep_table(edges, "edges")
+    left = edges.count()
+    while left:
+        parents = edges.select(F.col("parent").alias("node")).distinct()
+        ready = edges.join(parents, "node", "left_anti")
+        up = given.join(ready, "node").groupBy(F.col("parent").alias("node")).agg(*sums)
+        rest = keep_table(edges.join(parents, "node", "left_semi"), "edges")
+        before, left = left, rest.count()
+        if left == before:
             raise _cycle(edges)
-        settled = cut_lineage(totals(pending.join(ready, "node", "left_semi")))
-        given = settled.join(edges, "node").select(F.col("parent").alias("node"), "length", "size")
-        pending = cut_lineage(totals(pending.join(ready, "node", "left_anti").unionByName(given)))
-        edges = cut_lineage(edges.join(ready, "node", "left_anti"))
-        out = settled if out is None else out.unionByName(settled)
-    return totals(pending) if out is None else out.unionByName(totals(pending))
+        given, edges = given.unionByName(keep_table(up, "sums")), rest
+    return given.groupBy("node").agg(*sums)
+
+
+def _nested(contents: DataFrame) -> DataFrame:
+    return contents.filter("child_type <> 'F'").select(F.col("child_name").alias("node"), F.col("name").alias("parent"))
+
+
+def _held_sums(held: DataFrame, files: DataFrame) -> DataFrame:
+    """Number and bytes of the files that collections hold themselves."""
+    size = files.select(F.col("name").alias("child_name"), "bytes")
+    return (
+        held.join(size, "child_name", "left")
+        .groupBy(F.col("name").alias("node"))
+        .agg(F.count(F.lit(1)).alias("length"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("size"))
+    )
 
 
 def container_stats(contents: DataFrame, files: DataFrame, distinct: bool = False) -> DataFrame:
-    """Number and bytes of the files below every collection, through all levels.  Runs one
-    job per level.
+    """Number and bytes of the files below every collection, through all levels.  Runs a few
+    jobs per level.
 
     A file attached twice counts twice unless ``distinct``.  The first way moves sums only:
     files shrink to datasets in the first aggregate, datasets to containers in the next.
     """
-    size = files.select(F.col("name").alias("child_name"), "bytes")
     held = contents.filter("child_type = 'F'").select("name", "child_name")
-    parents = contents.filter("child_type <> 'F'").select(F.col("child_name").alias("node"), F.col("name").alias("parent"))
     if not distinct:
-        first = (
-            held.join(size, "child_name", "left")
-            .groupBy(F.col("name").alias("node"))
-            .agg(F.count(F.lit(1)).alias("length"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("size"))
-        )
-        return _peel(first, parents).withColumnRenamed("node", "name")
+        return _peel(_held_sums(held, files), _nested(contents)).withColumnRenamed("node", "name")
+    size = files.select(F.col("name").alias("child_name"), "bytes")
+    parents = _nested(contents)
     first = held.select(F.col("name").alias("node"), "child_name").distinct()
     up = lambda level, seen: (
         level.join(parents, "node")
@@ -92,6 +105,31 @@ def container_stats(contents: DataFrame, files: DataFrame, distinct: bool = Fals
     )
 
 
+def _reached(nested: DataFrame, names: DataFrame) -> DataFrame:
+    """(name) of ``names`` and of all collections below them; ``nested`` (node, parent).  Runs one job per level."""
+    level = met = keep_table(names.select("name").distinct(), "below")
+    while True:
+        below = nested.join(level, nested["parent"] == level["name"], "left_semi").select(F.col("node").alias("name")).distinct()
+        level = keep_table(below.join(met, "name", "left_anti"), "below")
+        if level.isEmpty():
+            return met
+        met = met.unionByName(level)
+
+
+def stats_of(names: DataFrame, contents: DataFrame, files: DataFrame) -> DataFrame:
+    """``container_stats`` of ``names`` (name) alone.  Runs a few jobs per level.
+
+    Names come first: the way goes down from them and sums only what lies there.  ``contents`` is read twice, for its
+    nesting, which is stored, and for the files of the collections met; that list is stored with its size too, and Spark
+    broadcasts it while it is small, so that a few names do not shuffle the contents.
+    """
+    nested = keep_table(_nested(contents), "nested")
+    met = _reached(nested, names)
+    held = contents.filter("child_type = 'F'").select("name", "child_name").join(met, "name", "left_semi")
+    sums = _peel(_held_sums(held, files), nested.join(met.withColumnRenamed("name", "parent"), "parent", "left_semi").select("node", "parent"))
+    return sums.withColumnRenamed("node", "name").join(names.select("name").distinct(), "name", "left_semi")
+
+
 def rule_chain_closure(rules: DataFrame, start: DataFrame) -> DataFrame:
     """(key, protocol) reachable from ``start`` through ``chain`` columns of path rules.
 
@@ -140,10 +178,10 @@ def tape_hints(files: DataFrame, contents: DataFrame, sizes: DataFrame) -> DataF
 
     ``files`` is (name, bytes, md5, adler32, activity) and ``sizes`` all known files (name,
     bytes).  ``collocation_hints`` has the keys 0-3 that are known; a file of no known type
-    has key 0 only.
+    has key 0 only.  Runs jobs: only what lies under the files' containers is summed, level by level.
     """
     parents = tape_parent(files, contents)
-    stats = container_stats(contents, sizes).select(
+    stats = stats_of(parents.select(F.col("parent").alias("name")), contents, sizes).select(
         F.col("name").alias("parent"), F.col("length").alias("parent_length"), F.col("size").alias("parent_size")
     )
     kind = N.tape_data_type("name")

@@ -94,8 +94,12 @@ _SIZES = f"""
 """
 
 
-def _sizes(c):
-    return ap.did_sizes(c.nested_contents, c.files)
+def _sizes(c, *more):
+    """Sizes of the names under automatic rules, and of ``more``."""
+    names = c.rules.filter(F.col("activity") == ap.AUTO_ACTIVITY).select("name")
+    for other in more:
+        names = names.union(other.select("name"))
+    return ap.did_sizes(c.nested_contents, c.files, names)
 
 
 @registered("account_rse_autoapprove_usage", f"WITH {_SIZES} SELECT account, rse_expression, bytes, CAST(whole_account AS INTEGER) AS whole_account FROM us")
@@ -169,11 +173,12 @@ _SMALL = {"open": (9e6, 2e7, 1e16), "full": (9e6, 2e7, 1e3)}
 
 
 def _decisions(c, *limits):
-    sizes = _sizes(c)
     requests = _requests(c).join(c.rules.select(F.col("rule_id").alias("request_id"), "name", "rse_expression"), "request_id")
+    facts, banned = _facts(c), c.accounts.filter("email IS NULL").select("account").distinct()
+    sizes = _sizes(c, ap.names_to_size(requests, facts, banned))
     named = dict(zip(("max_single_rse", "max_account", "max_global"), limits))
     return ap.rule_request_decision(
-        requests, _facts(c), c.accounts.filter("email IS NULL").select("account").distinct(), sizes,
+        requests, facts, banned, sizes,
         ap.autoapprove_usage(c.rules, sizes), ap.autoapprove_locked(c.rules, c.locks), **named,
     )
 

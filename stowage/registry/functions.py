@@ -212,7 +212,7 @@ _CHAINED = """CASE WHEN name LIKE '/store/mc/%' THEN 'srm://se:8446/managerv2?SF
     f"""SELECT rse_id, name, {_CHAINED} AS pfn, CASE WHEN {_CHAINED} IS NULL THEN 'no rule matches' END AS error FROM replicas""",
 )
 def _(c):
-    out = c.replicas.withColumn("r", P.lfn_to_pfn_chain("name", _rules(*_CHAIN_RULES), F.lit("srm")))
+    out = c.replicas.withColumn("r", P.lfn_to_pfn_chain("name", _CHAIN_RULES, "srm"))
     return out.select("rse_id", "name", "r.pfn", "r.error")
 
 
@@ -222,13 +222,23 @@ def _(c):
         ELSE name END AS path FROM replicas""",
 )
 def _(c):
-    pfn = P.lfn_to_pfn_chain("name", _rules(*_CHAIN_RULES), F.lit("srm"))["pfn"]
+    pfn = P.lfn_to_pfn_chain("name", _CHAIN_RULES, "srm")["pfn"]
     rows = c.replicas.withColumn("pfn", pfn)
     path = P.lfn_to_path("name", F.col("pfn"), F.lit("srm"), F.lit("/plain/data"))
     # the base of the example is a plain text, cut out of the result
     return rows.select("rse_id", "name", F.when(F.col("pfn").startswith("/plain/data"), F.concat(F.lit("/short"), path)).otherwise(path).alias("path"))
 
 
+@registered(
+    "lfn_to_pfn_chain_table",
+    f"""SELECT rse_id, name, {_CHAINED} AS pfn, CASE WHEN {_CHAINED} IS NULL THEN 'no rule matches' END AS error FROM replicas""",
+)
+def _(c):
+    """The same rules as data, as an array that each row could bring along."""
+    out = c.replicas.withColumn("r", P.lfn_to_pfn_chain("name", P.rule_array(_CHAIN_RULES), F.lit("srm")))
+    return out.select("rse_id", "name", "r.pfn", "r.error")
+
+
 @registered(
     "lfn_to_pfn_simple",
     """SELECT r.name, s.rse, CASE WHEN r.name LIKE '/store/mc/%' THEN 'root://alt//mc/' || substr(r.name, 11)

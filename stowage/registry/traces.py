@@ -150,26 +150,30 @@ def _metrics(events, name):
     return events.select(name.alias("name"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("tie"), "value")
 
 
-_SECONDS = F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts")
-_USER = F.concat(F.lit("T2_"), F.col("user_id").cast("string"))
+def _seconds():
+    return F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts")
+
+
+def _user():
+    return F.concat(F.lit("T2_"), F.col("user_id").cast("string"))
 
 
 @registered("metric_latest_stream", _latest_sql("event_type"))
 def _(c):
     changes = stt.metric_latest_stream(_metrics(_event_stream(c), F.col("event_type")), "value", "tie")
-    return stt.current(st.run_once(changes, "update", ["name"])).select("name", _SECONDS, "tie", "value")
+    return stt.current(st.run_once(changes, "update", ["name"])).select("name", _seconds(), "tie", "value")
 
 
 @registered("metric_expiry_stream", _latest_sql("'T2_' || user_id"))
 def _(c):
     """Sites that fell silent a day before the newest report leave."""
-    changes = stt.metric_latest_stream(_metrics(_event_stream(c), _USER), "value", "tie")
-    return stt.current(st.run_once(changes, "update", ["name"])).select("name", _SECONDS, "tie", "value")
+    changes = stt.metric_latest_stream(_metrics(_event_stream(c), _user()), "value", "tie")
+    return stt.current(st.run_once(changes, "update", ["name"])).select("name", _seconds(), "tie", "value")
 
 
 @registered("metric_latest", _latest_sql("'T2_' || user_id"))
 def _(c):
-    return stt.metric_latest(_metrics(c.events, _USER), "value", "tie").select("name", _SECONDS, "tie", "value")
+    return stt.metric_latest(_metrics(c.events, _user()), "value", "tie").select("name", _seconds(), "tie", "value")
 
 
 def _samples(events):

@@ -109,6 +109,30 @@ def test_lfn_to_path(spark, table, name, scheme, base, expected):
     assert path(False) == (row.first()["pfn"] or expected)
 
 
+def test_settings_equal_rules_as_data(spark):
+    """Random rules, chains and loops among them: unrolled, and as an array."""
+    import random
+
+    rng = random.Random(6)
+    names = ["/store/mc/a", "/store/data//b", "//store/x", "/x", "", "/store/mc"]
+    frame = spark.createDataFrame([(n,) for n in names] + [(None,)], "n string")
+    both = []
+    for k in range(25):
+        table = [
+            (rng.choice("ab"), rng.choice(["/+store/(.*)", "/x", "(.*)", "/store/mc/(.*)", "/none", "/p/(.*)"]), rng.choice(["/p/$1", "/x", "q:$1", "/store/$1"]), rng.choice([None, None, None, "a", "b"]))
+            for _ in range(rng.randrange(4))
+        ]
+        table = [(p, r, o.replace("$1", "") if "(" not in r else o, c) for p, r, o, c in table]
+        both += [P.lfn_to_pfn_chain("n", table, "a").alias(f"s{k}"), P.lfn_to_pfn_chain("n", P.rule_array(table) if table else rules(("z", "z", "z", None)), F.lit("a")).alias(f"d{k}")]
+    for row in frame.select(*both).collect():
+        assert [row[f"s{k}"] for k in range(25)] == [row[f"d{k}"] for k in range(25)]
+
+
+def test_many_chained_settings_fall_back_to_the_array(spark):
+    table = [("a", f"/n{i}", "/x", "b") for i in range(12)] + [("b", f"/n{i}", "/x", None) for i in range(12)] + [("a", "/(.*)", "ok:$1", None)]
+    assert one(spark, P.lfn_to_pfn_chain("n", table, "a")["pfn"], n="/store") == "ok:store"
+
+
 def test_chain_errors(spark):
     loop = rules(("a", "/none", "/x", "b"), ("b", "/none", "/x", "a"))
     assert tuple(one(spark, P.lfn_to_pfn_chain("n", loop, F.lit("a")), n="/store/f")) == (None, "chain too deep")
