@@ -1,6 +1,7 @@
 """Operators against brute force, with nulls, empty tables, ties, repeated rows and clashing names."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -52,6 +53,29 @@ def test_hilbert_runs(spark):
     assert hilbert.curve_shards(empty, 7, ["lang", "source", "n_chars"]).collect() == []
 
 
+def test_codes_and_index_of_every_row(spark):
+    """Codes at the quantiles of whole values, also where texts begin alike, and the index by the state table."""
+    rng = random.Random(11)
+    rows = [(i, "t", f"https://example.org/a/long/beginning/{rng.randrange(60):03d}" if rng.random() < 0.8 else rng.choice([None, "", "hot"]), rng.choice([None, *range(40)])) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, url string, n int").repartition(4)
+    bits = 3
+    cells = 1 << bits
+    texts, numbers = sorted(r[2] for r in rows if r[2] is not None), sorted(r[3] for r in rows if r[3] is not None)
+    text_cuts = [texts[len(texts) * i // cells] for i in range(1, cells)]
+    number_cuts = [numbers[math.ceil(len(numbers) * i / cells) - 1] for i in range(1, cells)]
+    places, states = hilbert.curve_steps(2)
+    want = {}
+    for i, _, url, n in rows:
+        codes = [0 if v is None else sum(c < v for c in cuts) for v, cuts in ((url, text_cuts), (n, number_cuts))]
+        state = index = 0
+        for level in reversed(range(bits)):
+            corner = sum((c >> level & 1) << d for d, c in enumerate(codes))
+            state, index = states[state * 4 + corner], index * 4 + places[state * 4 + corner]
+        want[i] = index
+    got = {r.doc_id: r.curve_index for r in hilbert.curve_shards(docs, 5, ["url", "n"], bits=bits).collect()}
+    assert got == want and len(set(got.values())) > 20
+
+
 @pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3)])
 def test_curve_has_no_jumps(spark, dims, bits):
     from pyspark.sql import functions as F
