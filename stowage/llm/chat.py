@@ -39,9 +39,10 @@ def placed_turns(turns: DataFrame) -> DataFrame:
     """Turns with their place (from 1), n_turns and block of at most ``BLOCK`` places.  Runs a job.
 
     Turns that are equal in all of the order have one role and one text, so any order of them will do; the
-    row's own number only lets them go to several partitions.
+    row's own number only lets them go to several partitions.  The turns are stored first, as a number taken after a
+    join would be another one when a lost task is run again.
     """
-    own = turns.withColumns({
+    own = keep_table(turns, "turns").withColumns({
         "has_turn": F.col("turn").isNotNull(), "turn": F.coalesce("turn", F.lit(0)),
         "has_role": F.col("role").isNotNull(), "role_": F.coalesce("role", F.lit("")), "row": F.monotonically_increasing_id(),
     })
