@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .listing import folder_files
+
 
 def did_list_scan(spark: SparkSession, path: str) -> DataFrame:
     """Text of one name per line: trimmed, blank lines dropped."""
@@ -68,9 +70,9 @@ def line_counts(spark: SparkSession, path: str) -> DataFrame:
 
     A file counts one line more than it has newlines.  Lines are read as rows, so a file of
     any size is split over tasks; whether its last line ends in a newline follows from the
-    file size.  An empty file counts one line.
+    file size.  An empty file, which a scan leaves out, counts one line: files are listed by
+    tasks of their own (``folder_files``), and nothing is listed on the driver but folders.
     """
-    folder = lambda c: F.regexp_replace(c, "/[^/]*$", "")
     lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
     pieces = F.filter(F.split("value", "\r"), lambda p: p.rlike(r"\S"))
     per_file = (
@@ -84,14 +86,12 @@ def line_counts(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"), F.sum("filled").alias("filled"))
         .select("file", (F.col("rows") + F.when(F.col("bytes") == F.col("size"), 1).otherwise(0)).alias("total"), "filled")
     )
-    # scans skip empty files, so the names come from the file index that Spark has listed
-    listing = spark.createDataFrame([(f,) for f in lines.inputFiles()], "file string").withColumn(
-        "file", F.regexp_replace("file", r"^file:/+", "/")
-    )
-    per_file = per_file.withColumn("file", F.regexp_replace("file", r"^file:/+", "/"))
+    # a scan gives URIs: without scheme, and with escaped characters as they are
+    plain = F.url_decode(F.replace(F.regexp_replace("file", r"^[a-z0-9]+:/+", "/"), F.lit("+"), F.lit("%2B")))
+    listing = folder_files(spark, path).withColumn("file", F.regexp_replace("file", "^/*", "/"))
     return (
-        listing.join(per_file, "file", "left")
-        .groupBy(folder("file").alias("folder"))
+        listing.join(per_file.withColumn("file", plain), "file", "left")
+        .groupBy("folder")
         .agg(
             F.count(F.lit(1)).alias("files"),
             F.sum(F.coalesce("total", F.lit(1))).alias("total_lines"),

@@ -547,6 +547,25 @@ def test_line_counts(spark, tmp_path):
     assert (row["files"], row["total_lines"], row["non_blank_lines"]) == (3, 4 + 3 + 1, 4)
 
 
+@pytest.mark.parametrize("enough", [1, 3, 256])
+def test_files_are_listed_by_tasks(spark, rows, tmp_path, monkeypatch, enough):
+    from stowage.sources import listing
+
+    monkeypatch.setattr(listing, "ENOUGH_FOLDERS", enough)
+    names = ["a.txt", "x/b c+d.txt", "x/y/é.txt", "x/y/z/empty.txt", "p=%3A/_q=1/e.txt", "_hidden/f.txt", "x/.g.txt"]
+    for name in names:
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"" if "empty" in name else b"one\n\ntwo")
+    listed = listing.folder_files(spark, str(tmp_path))
+    assert rows(listed, "file", "size") == sorted(((str(tmp_path / n), 0 if "empty" in n else 8) for n in names[:5]), key=str)
+    got = rows(lists.line_counts(spark, str(tmp_path)), "folder", "files", "total_lines", "non_blank_lines")
+    assert got == sorted(((str((tmp_path / n).parent), 1, 1 if "empty" in n else 3, 0 if "empty" in n else 2) for n in names[:5]), key=str)
+    assert rows(lists.line_counts(spark, f"file://{tmp_path}"), "folder", "files", "total_lines", "non_blank_lines") == got
+    text = lists.line_counts(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in text and "LogicalRDD" not in text
+
+
 def test_csv_needs_its_columns(spark, tmp_path):
     (tmp_path / "l.csv").write_text("FILENAME,OTHER\n/a,1\n")
     with pytest.raises(ValueError, match="RSES"):
