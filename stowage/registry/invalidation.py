@@ -56,7 +56,8 @@ def _(c):
     return inv.replicas_with_rse(c.replicas, c.rses, rse="T0_AA_S0")
 
 
-@registered("container_dataset_file", f"WITH {_CDF} SELECT container, dataset, file FROM cdf")
+# ordered, as the checking engine does not end this join under a limit in several threads
+@registered("container_dataset_file", f"WITH {_CDF} SELECT container, dataset, file FROM cdf ORDER BY ALL")
 def _(c):
     return inv.container_dataset_file(c.contents)
 

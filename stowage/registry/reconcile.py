@@ -166,10 +166,11 @@ def _(c):
     return rec.block_replica_plan(c.source_files, c.catalogue_files)
 
 
+# ordered, as the checking engine does not end this join under a limit in several threads
 @registered(
     "replicas_to_recover",
     """SELECT rse, block, name, 'A' AS new_state FROM catalogue_files b WHERE state <> 'A'
-       AND EXISTS (SELECT 1 FROM source_files a WHERE a.rse = b.rse AND a.block = b.block AND a.name = b.name)""",
+       AND EXISTS (SELECT 1 FROM source_files a WHERE a.rse = b.rse AND a.block = b.block AND a.name = b.name) ORDER BY ALL""",
 )
 def _(c):
     return rec.replicas_to_recover(c.source_files, c.catalogue_files)
