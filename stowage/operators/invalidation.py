@@ -89,16 +89,29 @@ def _names(members: DataFrame) -> DataFrame:
     return members.select(F.col("file").alias("name")).distinct()
 
 
-def _present(replicas: DataFrame) -> DataFrame:
-    """Names with a replica, once each: repeats are taken out before the shuffle, which then
-    serves the join too."""
-    return replicas.select("name").distinct()
+def _held(listed: DataFrame, replicas: DataFrame) -> DataFrame:
+    """(name, at): the listed names that have a replica, with the set of their endpoints.
+
+    All lists are made from this one frame, in the same form, so that the tables are shuffled by name once and the
+    shuffles are used again; snapshots that are bucketed by name are not shuffled at all.
+    """
+    found = replicas.select("name", "rse").join(listed, "name", "left_semi")
+    return found.groupBy("name").agg(F.collect_set("rse").alias("at"))
+
+
+def _names_of(held: DataFrame) -> DataFrame:
+    # asks for the sets, as all lists do: a frame without them would be another shuffle
+    return held.filter(F.size("at") >= 0).select("name")
+
+
+def _rse_lists(held: DataFrame) -> DataFrame:
+    return held.select("name", F.array_join(F.array_sort("at"), ";").alias("rses"))
 
 
-def _rules_on(names: DataFrame, replicas: DataFrame, locks: DataFrame) -> DataFrame:
+def _rules_on(held: DataFrame, locks: DataFrame) -> DataFrame:
     """Distinct (rule, endpoint) of locks on existing replicas of the named files."""
-    held = locks.join(names, "name", "left_semi")
-    return held.join(replicas.select("name", "rse"), ["name", "rse"], "left_semi").select("rule_id", "rse").distinct()
+    found = locks.select("name", "rse", "rule_id").join(held, "name").filter(F.array_contains("at", F.col("rse")))
+    return found.select("rule_id", "rse").distinct()
 
 
 def invalidate_containers(
@@ -110,15 +123,14 @@ def invalidate_containers(
     A file without any replica is left out of all four.
     """
     members = _members(names, contents, "container")
-    listed = _names(members)
-    present = _present(replicas)
+    held = _held(_names(members), replicas)
     return {
-        "files": listed.join(present, "name", "left_semi"),
-        "replicas": replica_rse_list(replicas.join(listed, "name", "left_semi")),
-        "datasets": members.join(present.withColumnRenamed("name", "file"), "file", "left_semi")
+        "files": _names_of(held),
+        "replicas": _rse_lists(held),
+        "datasets": members.join(_names_of(held).withColumnRenamed("name", "file"), "file", "left_semi")
         .select(F.col("dataset").alias("name"))
         .distinct(),
-        "rules": _rules_on(listed, replicas, locks),
+        "rules": _rules_on(held, locks),
     }
 
 
@@ -126,13 +138,11 @@ def invalidate_datasets(
     names: DataFrame, contents: DataFrame, replicas: DataFrame, locks: DataFrame, rules: DataFrame
 ) -> dict[str, DataFrame]:
     """Lists for datasets; only rules set on datasets or files are to be deleted."""
-    listed = _names(_members(names, contents, "dataset"))
+    held = _held(_names(_members(names, contents, "dataset")), replicas)
     return {
-        "files": listed.join(_present(replicas), "name", "left_semi"),
-        "replicas": replica_rse_list(replicas.join(listed, "name", "left_semi")),
-        "rules": _rules_on(listed, replicas, locks).join(
-            rules_by_did_type(rules, ("D", "F")).select("rule_id"), "rule_id", "left_semi"
-        ),
+        "files": _names_of(held),
+        "replicas": _rse_lists(held),
+        "rules": _rules_on(held, locks).join(rules_by_did_type(rules, ("D", "F")).select("rule_id"), "rule_id", "left_semi"),
     }
 
 
@@ -143,10 +153,10 @@ def invalidate_files(
     with an empty list when it has no replica.  File-level rules go; suspended rules are
     to be tried again."""
     listed = _names(_members(names, contents, "file"))
-    lists = replica_rse_list(replicas.join(listed, "name", "left_semi"))
-    touched = _rules_on(listed, replicas, locks).join(rules.select("rule_id", "did_type", "state"), "rule_id")
+    held = _held(listed, replicas)
+    touched = _rules_on(held, locks).join(rules.select("rule_id", "did_type", "state"), "rule_id")
     return {
-        "replicas": listed.join(lists, "name", "left").select("name", F.coalesce("rses", F.lit("")).alias("rses")),
+        "replicas": listed.join(_rse_lists(held), "name", "left").select("name", F.coalesce("rses", F.lit("")).alias("rses")),
         "rules": touched.filter(F.col("did_type") == "F").select("rule_id", "rse").distinct(),
         "rules_stuck": rules_suspended(touched),
     }
