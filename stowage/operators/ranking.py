@@ -84,8 +84,9 @@ def rank_rows(
 
     Rows go to buckets between the bounds of a sketch over (key, order), so a key with a third of all rows has a third of the
     buckets.  A number is the place in (key, bucket) plus the rows of the key in lower buckets: at most one count per key and
-    bucket.  ``df`` is read three times (sketch, counts, rows) and must come out equal each time.  Rows that are equal in
-    key and order are in one bucket, and take neighbouring numbers.  A null key is a key like any other.  ``buckets`` is
+    bucket.  ``df`` is read for the sketch and for the rows, and again for the counts where columns beyond key and order are
+    asked for; it must come out equal each time.  Rows that are equal in key and order are in one bucket, and take
+    neighbouring numbers.  A null key is a key like any other.  ``buckets`` is
     four times the shuffle partitions unless given.
     """
     buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -95,13 +96,15 @@ def rank_rows(
     place = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
     placed = dealt.withColumn("_place", place)
     # from the placed rows, so that the shuffle of the rows serves both where no further column is asked for
-    counts = placed.groupBy(*keys, "_bucket").agg(F.max("_place").alias("_rows"))
-    lower = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # keys as a result of the group, so that a key that the plan knows to be one value still is a key
+    own = [f"_of_{k}" for k in keys]
+    counts = placed.groupBy(*keys, "_bucket").agg(F.max("_place").alias("_rows"), *[F.first(k).alias(o) for k, o in zip(keys, own)])
+    lower = Window.partitionBy(*own).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys],
+        *own,
         F.col("_bucket").alias("_of_bucket"),
         F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_shift"),
-        F.sum("_rows").over(Window.partitionBy(*keys)).alias(total),
+        F.sum("_rows").over(Window.partitionBy(*own)).alias(total),
     )
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.col("_bucket") == F.col("_of_bucket"))
     return placed.join(shifts, same).select(*df.columns, (F.col("_place") + F.col("_shift")).alias(n), total)

@@ -289,11 +289,10 @@ def _(c):
 
 @registered(
     "rules_reaching",
-    f"SELECT rule_id, account, name FROM rules JOIN rses ON {_MEANT} WHERE state = 'W' AND rse = (SELECT min(rse) FROM rses)",
+    f"SELECT rule_id, account, name FROM rules JOIN rses ON {_MEANT} WHERE state = 'W' AND rse = 'T0_AA_S0'",
 )
 def _(c):
-    first = c.rses.agg(F.min("rse")).scalar()
-    return ex.rules_reaching(_expression_rules(c), _facts(c), first).select("rule_id", "account", "name")
+    return ex.rules_reaching(_expression_rules(c), _facts(c), "T0_AA_S0").select("rule_id", "account", "name")
 
 
 @registered("malformed_expressions", "SELECT DISTINCT 'tier=' AS rse_expression FROM rules WHERE rule_id % 6 = 5")
