@@ -106,7 +106,8 @@ def rank_rows(
         F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_shift"),
         F.sum("_rows").over(Window.partitionBy(*own)).alias(total),
     )
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.col("_bucket") == F.col("_of_bucket"))
+    # null-safe throughout: a test for nulls would make the rows' shuffle another one than that of the counts
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(["_bucket", *keys], ["_of_bucket", *own])])
     return placed.join(shifts, same).select(*df.columns, (F.col("_place") + F.col("_shift")).alias(n), total)
 
 
