@@ -140,3 +140,11 @@ def test_subscription_filters(spark, rows):
     subs = [("all", None, None, None, None, None, [(1, "A"), (2, "B")]), ("cms", "/[ab]/", None, ["cms"], ["u", "v"], None, [(1, "C")]), ("d", ".*x", "D", None, None, ["p"], [(1, "D")]), ("none", "/a", None, None, None, None, None), ("acc", None, None, None, ["u"], None, [(3, "E")])]
     got = rows(pt.subscription_rules(dids, spark.createDataFrame(subs, schema)))
     assert got == sorted([("/a/x", "all", 0, 1, "A"), ("/a/x", "all", 1, 2, "B"), ("/b/x", "all", 0, 1, "A"), ("/b/x", "all", 1, 2, "B"), ("/a/x", "cms", 0, 1, "C"), ("/b/x", "d", 0, 1, "D"), ("/a/x", "acc", 0, 3, "E")], key=str)
+
+
+def test_rules_of_one_expression_spread(spark):
+    rules = spark.range(4000).select(F.col("id").alias("rule_id"), F.when(F.col("id") % 10 < 9, "*").otherwise("t=1").alias("rse_expression"))
+    facts = spark.range(50).select(F.concat(F.lit("e"), "id").alias("rse"), F.lit("t").alias("key"), (F.col("id") % 2).cast("string").alias("value"))
+    got = ex.rule_rses(rules, facts)
+    tasks = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 3600 * 50 + 400 * 25 and max(tasks) < sum(tasks) / 8
