@@ -21,6 +21,8 @@ FREE_THRESHOLD = 2e15
 FREE_PERCENT_THRESHOLD = 2
 TOTAL_WEIGHT = 100
 ENABLED_STATUS = ("dependable", "enabled")
+# Files from which on a dataset is not brought together row by row.
+LARGE_DATASET = 100_000
 
 
 # --- attributes and usage ------------------------------------------------------------
@@ -266,7 +268,7 @@ def dataset_summary(files: DataFrame, replicas: DataFrame) -> tuple[DataFrame, D
     """``files`` is (dataset, name, bytes, events), ``replicas`` (name, rse, state).
 
     Returns totals per dataset and the same per dataset and endpoint over available
-    replicas.  Missing sizes and events count as nothing.
+    replicas.  Missing sizes and events count as nothing.  Runs a job, for the large datasets.
     """
     totals = lambda df, *by: df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("file_count"),
@@ -275,16 +277,33 @@ def dataset_summary(files: DataFrame, replicas: DataFrame) -> tuple[DataFrame, D
     )
     whole = totals(files, "dataset").withColumn("size", human_size_si("bytes"))
     there = replicas.filter("state = 'A'").select("name", "rse")
-    return whole, totals(files.join(there, "name"), "dataset", "rse")
+    return whole, _per_dataset_rse(files, there, totals)
+
+
+def _per_dataset_rse(files: DataFrame, there: DataFrame, totals) -> DataFrame:
+    """``totals(rows, "dataset", "rse")`` over ``files`` (dataset, name, ...) at the endpoints of ``there`` (name, rse).
+
+    A file travels to its dataset once, with the list of its endpoints (one entry a replica), and becomes a row per
+    endpoint only there.  Datasets of more than ``LARGE_DATASET`` files are added up in parts before they travel.  Their
+    names are stored, so that Spark knows how few they are; this runs a job.
+    """
+    at = there.groupBy("name").agg(F.collect_list("rse").alias("at"))
+    held = files.join(at, "name")
+    counts = files.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
+    large = keep_table(counts.filter(F.col("n") > LARGE_DATASET).select("dataset"), "large")
+    each = lambda rows: totals(rows.withColumn("rse", F.explode("at")), "dataset", "rse")
+    small = each(held.join(large, "dataset", "left_anti").repartition("dataset"))
+    return small.unionByName(each(held.join(large, "dataset", "left_semi")))
 
 
 def block_replica_nodes(contents: DataFrame, replicas: DataFrame) -> DataFrame:
     """Block -> sorted endpoints with an available file of it (a set of endpoint names)."""
     files = contents.filter("did_type = 'D' AND child_type = 'F'").select(
-        F.col("name").alias("block"), F.col("child_name").alias("name")
+        F.col("name").alias("dataset"), F.col("child_name").alias("name")
     )
     there = replicas.filter("state = 'A'").select("name", "rse")
-    return files.join(there, "name").groupBy("block").agg(F.array_sort(F.collect_set("rse")).alias("rses"))
+    nodes = lambda rows, *by: rows.select(*by).distinct().groupBy("dataset").agg(F.array_sort(F.collect_set("rse")).alias("rses"))
+    return _per_dataset_rse(files, there, nodes).withColumnRenamed("dataset", "block")
 
 
 def blocks_in_container(contents: DataFrame, containers: DataFrame) -> DataFrame:

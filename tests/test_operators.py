@@ -673,3 +673,21 @@ def test_weights_read_the_usage_once(spark):
     text = weights._jdf.queryExecution().optimizedPlan().toString()
     assert "pivot" not in text.lower() and "Join" not in text
     assert abs(sum(r["dm_weight"] for r in weights.collect()) - 100) < 1e-9
+
+
+def test_files_travel_to_their_dataset_once(spark, rows, monkeypatch):
+    from stowage.operators import capacity as cap
+
+    files = spark.createDataFrame([(d, f"f{i}", i, 1) for i in range(40) for d in (["d0", "d1"] if i < 30 else ["d1", None])], "dataset string, name string, bytes bigint, events bigint")
+    at = [(f"f{i}", f"r{r}", "A" if r else "U") for i in range(39) for r in range(4) for _ in range(1 + (r == 3))]
+    replicas = spark.createDataFrame(at, "name string, rse string, state string")
+    want = sorted(map(tuple, files.join(replicas.filter("state = 'A'"), "name").groupBy("dataset", "rse").agg({"name": "count"}).collect()), key=str)
+    edges = files.select(F.col("dataset").alias("name"), F.col("name").alias("child_name"), F.lit("D").alias("did_type"), F.lit("F").alias("child_type"))
+    for limit in (5, 35, 1000):
+        monkeypatch.setattr(cap, "LARGE_DATASET", limit)
+        by_rse = cap.dataset_summary(files, replicas)[1]
+        assert rows(by_rse, "dataset", "rse", "file_count") == want
+        assert rows(cap.block_replica_nodes(edges, replicas), "block") == [("d0",), ("d1",), (None,)]
+    # no shuffle by endpoint for datasets of ordinary size: each endpoint row is made after the file has arrived
+    plan = by_rse._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(at") < plan.index("RepartitionByExpression [dataset")
