@@ -1,11 +1,12 @@
 """Streams that keep a state per key: newest metric with expiry, rules on changes of the catalogue.
 
 State is kept by ``applyInPandasWithState``, so it survives lost executors with the stream's progress folder.  Rows are
-reduced before they are shuffled where the rule allows it, and a key's rows of one batch are read frame by frame.
+reduced before they are shuffled where the rule allows it, or keys are served bucket by bucket.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
@@ -115,16 +116,54 @@ def seed_changes(table: DataFrame, op: str) -> DataFrame:
     return table.select(*table.columns, F.lit(0).cast("bigint").alias("seq"), F.lit(op).alias("op"))
 
 
-def _by_seq(frames: Iterator[pd.DataFrame]) -> list[dict]:
-    """A key's changes of one batch in order; a key changes a few times a batch."""
-    return pd.concat(list(frames)).sort_values(["seq", "op"], kind="stable").to_dict("records")
+# Fixed value: parts in which the state of the rules on names and keys is kept.
+STATE_BUCKETS = 8192
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _fold_by_key(changes: DataFrame, keys: list[str], outcomes: dict[str, str], step, buckets: int) -> DataFrame:
+    """``step(held, rows)`` gives (held, outcomes) for the changes of one key, in the order of ``seq``, that a batch brings.
+
+    A key's state lies with those of its bucket, so that a call from Spark to Python serves a bucket and not a key: there are
+    at most ``buckets`` calls a batch, whatever the number of keys.  A bucket's state is read and written whole; take
+    so many buckets that one holds thousands of keys at most.  Whole numbers go as text, which a null beside them does not
+    turn into floating point.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in changes.schema.fields}
+    as_text = lambda c, kind: kind in _WHOLE and c != "seq"
+    columns, rest = changes.columns, [c for c in changes.columns if c not in keys]
+    out_kinds = {k: kinds[k] for k in keys} | outcomes
+    dealt = changes.select(
+        F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"),
+        *[F.col(c).cast("string").alias(c) if as_text(c, kinds[c]) else F.col(c) for c in columns],
+    )
+
+    def work(_, frames, state: GroupState):
+        known = pickle.loads(state.get[0]) if state.exists else {}
+        waiting: dict[tuple, list[dict]] = {}
+        for frame in frames:
+            own = {c: [_plain(x) for x in frame[c].tolist()] for c in columns}
+            for key, *row in zip(zip(*(own[k] for k in keys)), *(own[c] for c in rest)):
+                waiting.setdefault(key, []).append(dict(zip(rest, row)))
+        out = []
+        for key, rows in waiting.items():
+            rows.sort(key=lambda r: (r["seq"], r["op"]))
+            known[key], found = step(known.get(key), rows)
+            out += [(*key, *o) for o in found]
+        state.update((pickle.dumps(known),))
+        if out:
+            yield pd.DataFrame(out, columns=list(out_kinds))
+
+    sent = ", ".join(f"{c} {'string' if as_text(c, kind) else kind}" for c, kind in out_kinds.items())
+    folded = dealt.groupBy("_bucket").applyInPandasWithState(work, sent, "known binary", "append", GroupStateTimeout.NoTimeout)
+    return folded.select(*[F.col(c).cast(kind).alias(c) if as_text(c, kind) else F.col(c) for c, kind in out_kinds.items()])
 
 
 def _values(schema: T.StructType, keys: list[str]) -> list[str]:
     return [f.name for f in schema.fields if f.name not in (*keys, "seq", "op")]
 
 
-def name_changes(changes: DataFrame, keys: tuple[str, ...] = ("scope", "name")) -> DataFrame:
+def name_changes(changes: DataFrame, keys: tuple[str, ...] = ("scope", "name"), buckets: int = STATE_BUCKETS) -> DataFrame:
     """Rules on names, change by change: an outcome for each change that says something new.
 
     ``changes`` has the keys, ``seq``, ``op`` (insert, update, delete; present, archived as seeds) and values.  Outcomes:
@@ -138,11 +177,11 @@ def name_changes(changes: DataFrame, keys: tuple[str, ...] = ("scope", "name"))
     values = _values(changes.schema, keys)
     kinds = {f.name: f.dataType.simpleString() for f in changes.schema.fields}
 
-    def work(key, frames, state: GroupState):
-        present, archived, last, *held = state.get if state.exists else (False, False, -1, *[None] * len(values))
+    def step(state, rows):
+        present, archived, last, held = state or (False, False, -1, [None] * len(values))
         out = []
-        for row in _by_seq(frames):
-            now, op = [_plain(row[v]) for v in values], row["op"]
+        for row in rows:
+            now, op = [row[v] for v in values], row["op"]
             if row["seq"] == 0 and op in ("present", "archived"):
                 if last <= 0:
                     present, archived, last = present or op == "present", archived or op == "archived", 0
@@ -153,31 +192,23 @@ def name_changes(changes: DataFrame, keys: tuple[str, ...] = ("scope", "name"))
             last = row["seq"]
             if op == "insert":
                 if archived:
-                    out.append((last, "refused", now))
+                    out.append((last, "refused", *now))
                 elif not present:
                     present, held = True, now
-                    out.append((last, "added", now))
+                    out.append((last, "added", *now))
             elif op == "update" and present:
                 held = now
-                out.append((last, "changed", now))
+                out.append((last, "changed", *now))
             elif op == "delete" and present:
-                out.append((last, "deleted" if archived else "archived", held))
+                out.append((last, "deleted" if archived else "archived", *held))
                 present, archived = False, True
-        state.update((present, archived, last, *held))
-        if out:
-            yield pd.DataFrame([(*key, seq, outcome, *own) for seq, outcome, own in out], columns=[*keys, "seq", "outcome", *values])
-
-    listed = ", ".join(f"{v} {kinds[v]}" for v in values)
-    return changes.groupBy(*keys).applyInPandasWithState(
-        work,
-        ", ".join([*(f"{k} {kinds[k]}" for k in keys), "seq bigint", "outcome string", listed]),
-        f"present boolean, archived boolean, last bigint, {listed}",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+        return (present, archived, last, held), out
 
+    outcomes = {"seq": "bigint", "outcome": "string"} | {v: kinds[v] for v in values}
+    return _fold_by_key(changes, keys, outcomes, step, buckets)
 
-def key_changes(changes: DataFrame, surrogate: str, key: str) -> DataFrame:
+
+def key_changes(changes: DataFrame, surrogate: str, key: str, buckets: int = STATE_BUCKETS) -> DataFrame:
     """Rules on keys that must not change, by their surrogate: (surrogate, seq, outcome, old_key, new_key).
 
     Outcomes: ``refused`` (another key for a known surrogate, also when it is deleted and comes again; the old key stays)
@@ -185,13 +216,13 @@ def key_changes(changes: DataFrame, surrogate: str, key: str) -> DataFrame:
     """
     kinds = {f.name: f.dataType.simpleString() for f in changes.schema.fields}
 
-    def work(ids, frames, state: GroupState):
-        held, last = state.get if state.exists else (None, -1)
+    def step(state, rows):
+        held, last = state or (None, -1)
         out = []
-        for row in _by_seq(frames):
+        for row in rows:
             if row["seq"] <= last:
                 continue
-            last, new = row["seq"], _plain(row[key])
+            last, new = row["seq"], row[key]
             if new is None or row["op"] == "delete":
                 continue
             if held is None:
@@ -200,17 +231,10 @@ def key_changes(changes: DataFrame, surrogate: str, key: str) -> DataFrame:
                     out.append((last, "added", None, new))
             elif new != held:
                 out.append((last, "refused", held, new))
-        state.update((held, last))
-        if out:
-            yield pd.DataFrame([(*ids, *own) for own in out], columns=[surrogate, "seq", "outcome", "old_key", "new_key"])
-
-    return changes.groupBy(surrogate).applyInPandasWithState(
-        work,
-        f"{surrogate} {kinds[surrogate]}, seq bigint, outcome string, old_key {kinds[key]}, new_key {kinds[key]}",
-        f"held {kinds[key]}, last bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+        return (held, last), out
+
+    outcomes = {"seq": "bigint", "outcome": "string", "old_key": kinds[key], "new_key": kinds[key]}
+    return _fold_by_key(changes, [surrogate], outcomes, step, buckets)
 
 
 def _plain(x):

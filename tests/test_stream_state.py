@@ -130,3 +130,18 @@ def test_complete_windows(spark, tmp_path):
     got = sorted(map(tuple, st.complete_windows(stream, ["kind", "stat"]).select(order).collect()), key=str)
     assert got == sorted(map(tuple, whole.select(order).collect()), key=str) and len(got) == 3
     assert [r for r in got if r[1] == "gauge"][0][4] == 1.0
+
+
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_keys_share_calls_and_states(spark, tmp_path, buckets):
+    rng = random.Random(buckets)
+    names = [(rng.choice("st"), f"n{i}") for i in range(40)] + [(None, "n0")]
+    big = 2**53 + 1  # beside a null it must not become floating point
+    log = [(*rng.choice(names), rng.choice([None, big, big + 2]), k, rng.choice(["insert", "delete", "update"])) for k in range(1, 200)]
+    stream = stt.name_changes(delivered(spark, tmp_path / "in", [log[:80], log[:80], log[60:]], CHANGES), buckets=buckets)
+    query = stream.writeStream.format("memory").queryName(f"shared{buckets}").trigger(availableNow=True)
+    query = query.option("checkpointLocation", str(tmp_path / "progress")).start()
+    query.awaitTermination()
+    got = sorted(((r.scope, r.name, r.seq, r.outcome, r["size"]) for r in spark.table(f"shared{buckets}").collect()), key=str)
+    assert got == slow_names(log)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= buckets
