@@ -67,7 +67,10 @@ def _(c):
     path = scratch_path(c.spark, "json")
     proto = lambda name, prio: F.struct(F.lit(name).alias("protocol"), prio.alias("prio"))
     entry = F.struct("rse", "site", F.array(proto("root", F.col("tier")), proto("davs", F.col("tier") + 1)).alias("protocols"))
-    docs = c.rses.withColumn("folder", F.col("site")).groupBy("folder").agg(F.to_json(F.collect_list(entry)).alias("value"))
+    # opening a file takes far longer than its few bytes, which do not tell that many tasks are needed
+    tasks = int(c.spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = c.rses.withColumn("folder", F.col("site")).repartition(tasks, "folder")
+    docs = dealt.groupBy("folder").agg(F.to_json(F.collect_list(entry)).alias("value"))
     docs.write.partitionBy("folder").text(path)
     schema = "rse string, site string, protocols array<struct<protocol:string,prio:bigint>>"
     return ls.json_list_scan(c.spark, path, schema).select("rse", "site", F.inline("protocols"))

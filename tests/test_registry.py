@@ -1,5 +1,7 @@
 """Every registered query against its check, at the smallest scale; names and plans."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -38,3 +40,8 @@ def no_nested_loops(df):
 def test_matches_check(spark, con, name):
     problem = compare(spark, con, name, QUERIES[name], CHECKS[name], SF, no_nested_loops)
     assert problem is None or problem in MAY_BE_EMPTY
+
+
+def test_documents_are_written_by_many_tasks(spark):
+    files = registry.queries()["json_list_scan"](spark, "/root/testdata/sf0.01").inputFiles()
+    assert len(files) > 30 and len({re.search(r"/part-(\d+)-", f)[1] for f in files}) > 4
