@@ -277,23 +277,22 @@ def dataset_summary(files: DataFrame, replicas: DataFrame) -> tuple[DataFrame, D
     )
     whole = totals(files, "dataset").withColumn("size", human_size_si("bytes"))
     there = replicas.filter("state = 'A'").select("name", "rse")
-    return whole, _per_dataset_rse(files, there, totals)
+    each = lambda rows: totals(rows.withColumn("rse", F.explode("at")), "dataset", "rse")
+    small, large = _at_datasets(files, there)
+    return whole, each(small).unionByName(each(large))
 
 
-def _per_dataset_rse(files: DataFrame, there: DataFrame, totals) -> DataFrame:
-    """``totals(rows, "dataset", "rse")`` over ``files`` (dataset, name, ...) at the endpoints of ``there`` (name, rse).
+def _at_datasets(files: DataFrame, there: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``files`` (dataset, name, ...) with ``at``: the list of their endpoints in ``there`` (name, rse), one entry a replica.
 
-    A file travels to its dataset once, with the list of its endpoints (one entry a replica), and becomes a row per
-    endpoint only there.  Datasets of more than ``LARGE_DATASET`` files are added up in parts before they travel.  Their
+    A file travels to its dataset once, with that list, and becomes a row per endpoint only there: the first frame has the
+    rows of a dataset in one task.  The second has the datasets of more than ``LARGE_DATASET`` files, as they come.  Their
     names are stored, so that Spark knows how few they are; this runs a job.
     """
-    at = there.groupBy("name").agg(F.collect_list("rse").alias("at"))
-    held = files.join(at, "name")
+    held = files.join(there.groupBy("name").agg(F.collect_list("rse").alias("at")), "name")
     counts = files.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
     large = keep_table(counts.filter(F.col("n") > LARGE_DATASET).select("dataset"), "large")
-    each = lambda rows: totals(rows.withColumn("rse", F.explode("at")), "dataset", "rse")
-    small = each(held.join(large, "dataset", "left_anti").repartition("dataset"))
-    return small.unionByName(each(held.join(large, "dataset", "left_semi")))
+    return held.join(large, "dataset", "left_anti").repartition("dataset"), held.join(large, "dataset", "left_semi")
 
 
 def block_replica_nodes(contents: DataFrame, replicas: DataFrame) -> DataFrame:
@@ -302,8 +301,10 @@ def block_replica_nodes(contents: DataFrame, replicas: DataFrame) -> DataFrame:
         F.col("name").alias("dataset"), F.col("child_name").alias("name")
     )
     there = replicas.filter("state = 'A'").select("name", "rse")
-    nodes = lambda rows, *by: rows.select(*by).distinct().groupBy("dataset").agg(F.array_sort(F.collect_set("rse")).alias("rses"))
-    return _per_dataset_rse(files, there, nodes).withColumnRenamed("dataset", "block")
+    small, large = _at_datasets(files, there)
+    few = small.groupBy("dataset").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("rses"))
+    many = large.select("dataset", F.explode("at").alias("rse")).groupBy("dataset").agg(F.collect_set("rse").alias("rses"))
+    return few.unionByName(many).select(F.col("dataset").alias("block"), F.array_sort("rses").alias("rses"))
 
 
 def blocks_in_container(contents: DataFrame, containers: DataFrame) -> DataFrame:
