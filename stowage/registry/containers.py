@@ -172,20 +172,19 @@ _ASKING = f"{_SIZES}, {_REQUESTS}, rr AS (SELECT rq.*, r.name, r.rse_expression
 _SMALL = {"open": (9e6, 2e7, 1e16), "full": (9e6, 2e7, 1e3)}
 
 
-def _decisions(c, *limits):
+def _decisions(c, *each):
+    """Decisions under ``each`` of the limits; what does not depend on them is worked out once."""
     requests = _requests(c).join(c.rules.select(F.col("rule_id").alias("request_id"), "name", "rse_expression"), "request_id")
     facts, banned = _facts(c), c.accounts.filter("email IS NULL").select("account").distinct()
     sizes = _sizes(c, ap.names_to_size(requests, facts, banned))
-    named = dict(zip(("max_single_rse", "max_account", "max_global"), limits))
-    return ap.rule_request_decision(
-        requests, facts, banned, sizes,
-        ap.autoapprove_usage(c.rules, sizes), ap.autoapprove_locked(c.rules, c.locks), **named,
-    )
+    usage, locked = ap.autoapprove_usage(c.rules, sizes), ap.autoapprove_locked(c.rules, c.locks)
+    named = [dict(zip(("max_single_rse", "max_account", "max_global"), limits)) for limits in each]
+    return [ap.rule_request_decision(requests, facts, banned, sizes, usage, locked, **n) for n in named]
 
 
 @registered("rule_request_decision", f"WITH {_ASKING} {_decision_sql(50e12, 1e15, 1e16)}")
 def _(c):
-    return _decisions(c)
+    return _decisions(c, ())[0]
 
 
 @registered(
@@ -193,7 +192,7 @@ def _(c):
     f"WITH {_ASKING} " + " UNION ALL ".join(f"SELECT '{k}' AS limits, * FROM ({_decision_sql(*v)})" for k, v in _SMALL.items()),
 )
 def _(c):
-    open_, full = (_decisions(c, *v).withColumn("limits", F.lit(k)) for k, v in _SMALL.items())
+    open_, full = (d.withColumn("limits", F.lit(k)) for k, d in zip(_SMALL, _decisions(c, *_SMALL.values())))
     return open_.unionByName(full)
 
 

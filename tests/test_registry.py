@@ -45,3 +45,12 @@ def test_matches_check(spark, con, name):
 def test_documents_are_written_by_many_tasks(spark):
     files = registry.queries()["json_list_scan"](spark, "/root/testdata/sf0.01").inputFiles()
     assert len(files) > 30 and len({re.search(r"/part-(\d+)-", f)[1] for f in files}) > 4
+
+
+def test_limits_share_what_does_not_depend_on_them(spark, monkeypatch):
+    from stowage.operators import approval
+
+    sized, whole = [], approval.did_sizes
+    monkeypatch.setattr(approval, "did_sizes", lambda *a: sized.append(a) or whole(*a))
+    QUERIES["rule_request_decision_limits"](spark, SF)
+    assert len(sized) == 1
