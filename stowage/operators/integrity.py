@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -138,43 +140,49 @@ def integrity_upsert(old: DataFrame, results: DataFrame) -> DataFrame:
 
     Pending rows of reported files go.  A file-level error makes one ERROR row, otherwise
     there is one row per endpoint.  Rows that exist stay, so a second run changes nothing.
+    Results with a column ``batch`` (number from 0) are those of several batches: the table is
+    the one that the batches make one after the other.
     """
     cols = ["request_id", "scope", "lfn", "rse", "pfn", "status"]
+    several = "batch" in results.columns
     reported = (
         results.filter(F.coalesce(F.col("filename") != "", F.lit(False)))
         .withColumn("_did", split_scope("filename"))
-        .select("request_id", "_did.scope", F.col("_did.name").alias("lfn"), "error", "replicas")
+        .select("request_id", "_did.scope", F.col("_did.name").alias("lfn"), "error", "replicas", *["batch"] * several)
     )
     pending = F.col("status").eqNullSafe(PENDING)
     done = reported.select("request_id", "lfn")
+    if several:
+        # one shuffle for all that is counted by file below
+        reported = reported.repartition("request_id", "lfn")
+        done = reported.groupBy("request_id", "lfn").agg(F.max("batch").alias("last"))
+    later = lambda rows: rows.join(done, ["request_id", "lfn"], "left_anti")
     # only pending rows are looked up; all others pass without a shuffle
-    kept = (
-        old.filter(~pending)
-        .select(*cols)
-        .unionByName(old.filter(pending).select(*cols).join(done, ["request_id", "lfn"], "left_anti"))
-    )
+    kept = old.filter(~pending).select(*cols).unionByName(later(old.filter(pending).select(*cols)))
     blank = F.lit(None).cast("string")
+    row = ["request_id", "scope", "lfn", *["batch"] * several]
     failed = reported.filter("error IS NOT NULL").select(
-        "request_id", "scope", "lfn", blank.alias("rse"), blank.alias("pfn"), F.lit(ERROR).alias("status")
+        *row, blank.alias("rse"), blank.alias("pfn"), F.lit(ERROR).alias("status")
     )
     checked = (
         reported.filter("error IS NULL")
-        .select("request_id", "scope", "lfn", F.explode("replicas").alias("r"))
-        .select("request_id", "scope", "lfn", "r.rse", "r.pfn", F.coalesce("r.status", F.lit(ERROR)).alias("status"))
-    )
-    new = (
-        failed.unionByName(checked)
-        .groupBy("request_id", "lfn", "rse")
-        .agg(F.min(F.struct("scope", "pfn", "status")).alias("_row"))
-        .select("request_id", "lfn", "rse", "_row.*")
-        .select(*cols)
-    )
-    k, n = kept.alias("k"), new.alias("n")
-    same = (
-        (F.col("k.request_id") == F.col("n.request_id"))
-        & (F.col("k.lfn") == F.col("n.lfn"))
-        & F.col("k.rse").eqNullSafe(F.col("n.rse"))
+        .select(*row, F.explode("replicas").alias("r"))
+        .select(*row, "r.rse", "r.pfn", F.coalesce("r.status", F.lit(ERROR)).alias("status"))
     )
+    # null-safe on the endpoint by two plain columns, so that the rows of the groups are joined where they are
+    keyed = lambda rows: rows.withColumn("at", F.coalesce("rse", F.lit(""))).withColumn("nowhere", F.col("rse").isNull())
+    key, endpoint = ["request_id", "lfn", "at", "nowhere"], F.when(~F.col("nowhere"), F.col("at")).alias("rse")
+    found = keyed(failed.unionByName(checked))
+    if several:
+        found = found.groupBy(*key, "batch").agg(F.min(F.struct("scope", "pfn", "status")).alias("_row")).select(*key, "batch", "_row.*")
+        # a new row that is pending itself goes with the next report of its file; of the others the first stays
+        own = (F.col("o.request_id") == F.col("d.request_id")) & (F.col("o.lfn") == F.col("d.lfn"))
+        still = found.filter(pending).alias("o").join(done.alias("d"), own & (F.col("d.last") > F.col("o.batch")), "left_anti")
+        found = found.filter(~pending).unionByName(still)
+    first = F.min(F.struct(*["batch"] * several, "scope", "pfn", "status")).alias("_row")
+    new = found.groupBy(*key).agg(first).select(*key, endpoint, "_row.scope", "_row.pfn", "_row.status")
+    k, n = keyed(kept).alias("k"), new.alias("n")
+    same = reduce(and_, (F.col(f"k.{c}") == F.col(f"n.{c}") for c in key))
     # an old row wins over the new one of its key; one outer join does both
     old_row = F.col("k.request_id").isNotNull()
     pick = lambda c: F.when(old_row, F.col(f"k.{c}")).otherwise(F.col(f"n.{c}")).alias(c)

@@ -8,7 +8,7 @@ from ..operators import integrity as itg
 from ..operators import quality as q
 from ..operators import records as recs
 from ..operators import requests as rq
-from ..session import scratch_path
+from ..session import keep_table, scratch_path
 from ..streaming import streams as st
 from ..streaming import upserts as up
 from . import registered
@@ -275,12 +275,14 @@ def _(c):
     old = c.int_replicas.select("request_id", "scope", "lfn", "rse", "pfn", "status")
     replicas = up.UpsertTable(f"{path}/table", "lfn", ", ".join(f"{n} {t}" for n, t in old.dtypes), buckets=32)
     replicas.create(old)
-    results = _results(c)
+    results = keep_table(_results(c), "reported")
     for _ in range(2):
         results.write.mode("append").parquet(f"{path}/results")
     stream = st.read_stream(c.spark, f"{path}/results", "*.parquet", results.schema, files_a_batch=6)
-    sink = up.upsert_sink(stream, replicas, itg.split_scope("filename")["name"], itg.integrity_upsert)
+    name = itg.split_scope("filename")["name"]
+    sink = up.upsert_sink(stream, replicas, name, itg.integrity_upsert, several=True)
     sink.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    replicas.fold(c.spark, results.schema, name, itg.integrity_upsert)
     return replicas.stored(c.spark)
 
 

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stowage.operators.integrity import integrity_upsert
 from stowage.streaming import streams as st
 from stowage.streaming import upserts as up
 
@@ -128,3 +129,59 @@ def test_stream_that_is_started_again(spark, table, tmp_path):
         sink = up.upsert_sink(stream, table, F.col("name"), add)
         sink.option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
         assert content(spark, table) == expected(FIRST, sent)
+
+
+RESULT = "request_id string, filename string, error string, replicas array<struct<rse:string,pfn:string,status:string>>"
+REPLICA = "request_id string, scope string, lfn string, rse string, pfn string, status string"
+
+
+def some_results(rng):
+    pick = lambda: (rng.choice(["X", "Y", None]), rng.choice("pq"), rng.choice(["OK", "CORRUPTED", "pending", "pending", None]))
+    name = lambda: rng.choice(["", "cms:"]) + f"f{rng.randrange(5)}"
+    return [(rng.choice("ab"), name(), rng.choice([None, None, None, "lost"]), [pick() for _ in range(rng.randrange(3))]) for _ in range(rng.randrange(9))]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_results_of_several_batches_at_once(spark, seed):
+    """The same table as from one batch after the other, with new rows that are pending themselves."""
+    rng = random.Random(seed)
+    first = [(rng.choice("ab"), "cms", f"f{rng.randrange(6)}", rng.choice(["X", None]), "p", rng.choice(["pending", "OK"])) for _ in range(12)]
+    batches = [some_results(rng) for _ in range(5)]
+    one = spark.createDataFrame(first, REPLICA)
+    for batch in batches:
+        one = spark.createDataFrame(integrity_upsert(one, spark.createDataFrame(batch, RESULT)).collect(), REPLICA)
+    every = spark.createDataFrame([(*r, k) for k, batch in enumerate(batches) for r in batch], RESULT + ", batch bigint")
+    whole = integrity_upsert(spark.createDataFrame(first, REPLICA), every)
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, one.collect()), key=str)
+
+
+def test_waiting_batches_do_not_write_the_table(spark, tmp_path):
+    """Many small batches, each played twice: the table is written when it is made and when the log is folded."""
+    table = up.UpsertTable(str(tmp_path / "table"), "name", SCHEMA, buckets=8)
+    first = FIRST + [(f"other{i}", i, 1) for i in range(4000)]
+    table.create(spark.createDataFrame(first, SCHEMA))
+    batches = some_batches(random.Random(5), 6)
+    schema = "name string, v bigint"
+    for k, batch in enumerate(batches):
+        for _ in range(2):
+            table.keep_batch(spark.createDataFrame(batch, schema), k, F.col("name"), add)
+        assert table.batches(spark) == [-1]
+    with pytest.raises(ValueError, match="wait"):
+        play(spark, table, batches[0], 6)
+    for _ in range(2):
+        table.fold(spark, spark.createDataFrame([], schema).schema, F.col("name"), add)
+    assert table.batches(spark) == [-1, 5] and content(spark, table) == expected(first, batches)
+    table.keep_batch(spark.createDataFrame(batches[3], schema), 3, F.col("name"), add)
+    assert table.waiting(spark) == []
+
+
+def test_a_long_log_is_folded(spark, tmp_path):
+    table = up.UpsertTable(str(tmp_path / "table"), "name", SCHEMA, buckets=1)
+    table.create(spark.createDataFrame([("hot", 5, 1)], SCHEMA))
+    sent = []
+    for k in range(12):
+        sent.append([("hot", 1), ("n", 2)])
+        table.keep_batch(spark.createDataFrame(sent[-1], "name string, v bigint").coalesce(1), k, F.col("name"), add)
+    assert len(table.waiting(spark)) < 12 and 1 < len(table.batches(spark)) < 5
+    table.fold(spark, spark.createDataFrame([], "name string, v bigint").schema, F.col("name"), add)
+    assert content(spark, table) == expected([("hot", 5, 1)], sent)
