@@ -88,21 +88,35 @@ def container_stats(contents: DataFrame, files: DataFrame, distinct: bool = Fals
     held = contents.filter("child_type = 'F'").select("name", "child_name")
     if not distinct:
         return _peel(_held_sums(held, files), _nested(contents)).withColumnRenamed("node", "name")
-    size = files.select(F.col("name").alias("child_name"), "bytes")
-    parents = _nested(contents)
-    first = held.select(F.col("name").alias("node"), "child_name").distinct()
+    return _distinct_sums(held, _nested(contents), files)
+
+
+def _distinct_sums(held: DataFrame, edges: DataFrame, files: DataFrame) -> DataFrame:
+    """(name, length, size) of all files below a collection, each counted once.
+
+    The levels are climbed by collections alone, not by their files: ``above`` has all collections over a collection, and
+    a file goes to those in one join.  A collection that holds no other counts its files where they were joined; only
+    those with something below need one more shuffle, by (collection, file), to find what comes in twice.
+    """
+    edges = keep_table(edges.filter("node IS NOT NULL").distinct(), "edges")
     up = lambda level, seen: (
-        level.join(parents, "node")
-        .select(F.col("parent").alias("node"), "child_name")
+        level.join(edges.select(F.col("node").alias("above"), "parent"), "above")
+        .select("node", F.col("parent").alias("above"))
         .distinct()
-        .join(seen, ["node", "child_name"], "left_anti")
-    )
-    return (
-        _climb(first, up)
-        .join(size, "child_name", "left")
-        .groupBy(F.col("node").alias("name"))
-        .agg(F.count(F.lit(1)).alias("length"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("size"))
+        .join(seen, ["node", "above"], "left_anti")
     )
+    # the name as a struct, which is never null: the two joins add no filter of their own and read one shuffle
+    key = lambda c: F.struct(F.col(c).alias("name")).alias("key")
+    over = edges.select("parent").distinct()
+    above = _climb(edges.select("node", F.col("parent").alias("above")), up).unionByName(over.select(F.col("parent").alias("node"), F.col("parent").alias("above")))
+    # a name that is listed twice counts twice, as where the list is joined last
+    known = files.groupBy(F.col("name").alias("child_name")).agg(F.count(F.lit(1)).alias("copies"), F.sum("bytes").alias("bytes"))
+    rows = held.join(known, "child_name", "left").select(key("name"), "child_name", "copies", "bytes").repartition("key").distinct()
+    sums = F.sum(F.coalesce("copies", F.lit(1))).alias("length"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("size")
+    # by a mark: an anti join would be moved below the shuffle
+    own = rows.join(over.select(key("parent"), F.lit(True).alias("holds")), "key", "left").filter("holds IS NULL").groupBy("key").agg(*sums).select("key.name", "length", "size")
+    below = rows.join(above.select(key("node"), "above"), "key").select(F.col("above").alias("name"), "child_name", "copies", "bytes")
+    return own.unionByName(below.distinct().groupBy("name").agg(*sums))
 
 
 def _reached(nested: DataFrame, names: DataFrame) -> DataFrame:

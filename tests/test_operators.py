@@ -245,6 +245,21 @@ def test_container_stats_levels_and_cycle(spark, rows):
     assert containers.container_stats(contents.limit(0), files).collect() == []
 
 
+def test_distinct_stats_carry_each_file_up_once(spark, rows):
+    """A file in several sets, held by a parent itself, in a cycle, or under no name; one shuffle of the files' rows for both joins."""
+    contents = spark.createDataFrame(
+        [("a", "f1", "F"), ("b", "f1", "F"), ("b", "f2", "F"), ("top", "f2", "F"), ("top", "a", "D"), ("top", "b", "D"), ("mid", "b", "D"),
+         ("up", "mid", "C"), ("up", "top", "C"), ("x", "y", "C"), ("y", "x", "C"), ("y", "f3", "F"), (None, "f1", "F"), (None, "b", "D"), ("lone", "gone", "F")],
+        "name string, child_name string, child_type string",
+    )
+    files = spark.createDataFrame([("f1", 1), ("f2", 10), ("f3", 100)], "name string, bytes long")
+    out = containers.container_stats(contents, files, distinct=True)
+    both = [(n, 2, 11) for n in ("b", "mid", "top", "up", None)]
+    assert rows(out) == sorted([("a", 1, 1), *both, ("lone", 1, 0), ("x", 1, 100), ("y", 1, 100)], key=str)
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cycle_among_many_collections_is_named_in_few_rounds(spark, monkeypatch):
     """10^4 collections in chains of five, and a cycle of three with something above and below it."""
     schema = "name string, child_name string, did_type string, child_type string"
