@@ -125,3 +125,14 @@ def test_hot_join_key_is_split(spark, tmp_path):
         for key in confs:
             spark.conf.unset(key)
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_scan_is_split_so_that_grouping_its_rows_fits_a_task(spark, tmp_path):
+    """Grouping by a key that hardly repeats holds a split's rows; a split stays small whatever the size of the table."""
+    rows = spark.range(9_000_000).select(F.xxhash64("id").alias("k"))
+    rows.coalesce(1).write.option("compression", "none").option("parquet.block.size", 4 << 20).parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert spark.read.parquet(f"{tmp_path}/t").rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
