@@ -109,8 +109,12 @@ def _rse_lists(held: DataFrame) -> DataFrame:
 
 
 def _rules_on(held: DataFrame, locks: DataFrame) -> DataFrame:
-    """Distinct (rule, endpoint) of locks on existing replicas of the named files."""
-    found = locks.select("name", "rse", "rule_id").join(held, "name").filter(F.array_contains("at", F.col("rse")))
+    """Distinct (rule, endpoint) of locks on existing replicas of the named files.
+
+    A lock without a rule is left out before the shuffle at every level: the levels that join the rules would ask for it
+    there anyway, and a plan over several levels then shuffles the locks once.
+    """
+    found = locks.select("name", "rse", "rule_id").filter("rule_id IS NOT NULL").join(held, "name").filter(F.array_contains("at", F.col("rse")))
     return found.select("rule_id", "rse").distinct()
 
 

@@ -136,3 +136,19 @@ def test_a_scan_is_split_so_that_grouping_its_rows_fits_a_task(spark, tmp_path):
         assert spark.read.parquet(f"{tmp_path}/t").rdd.getNumPartitions() > 1
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_levels_of_an_invalidation_shuffle_the_locks_once(spark, stored):
+    _, t = stored
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        contents = t["contents"].unionByName(t["contents"].select(F.col("child_name").alias("name"), F.concat(F.lit("/store/f"), F.split("child_name", "#")[1]).alias("child_name"), F.lit("D").alias("did_type"), F.lit("F").alias("child_type")))
+        tables = contents, t["replicas"].select("name", "rse"), t["locks"].join(t["rses"].select("rse_id", "rse"), "rse_id")
+        whole = invalidation.invalidate_containers(spark.createDataFrame([("/C",)], "name string"), *tables)
+        single = invalidation.invalidate_files(t["replicas"].select("name"), *tables, t["rules"])
+        out = whole["rules"].unionByName(single["rules_stuck"].select("rule_id", F.lit("").alias("rse")))
+        assert len(out.collect()) == 4000
+        scans = [line for line in plan(out).split("== Initial Plan")[0].splitlines() if "FileScan" in line and "ReadSchema: struct<name:string,rse_id:bigint,rule_id:bigint" in line]
+        assert len(scans) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
