@@ -291,9 +291,9 @@ def source_copy_plan(contents: DataFrame, replicas: DataFrame) -> DataFrame:
     files = contents.filter("did_type = 'D' AND child_type = 'F'").select(
         F.col("name").alias("block"), F.col("child_name").alias("name")
     )
-    return files.join(replicas.filter("state = 'A'").select("name", "rse", "bytes"), "name").select(
-        "block", "name", F.concat("rse", F.lit("_Input")).alias("rse"), "bytes"
-    )
+    # named before the join: a file is there once per block, so the join has many more rows than the replicas
+    sources = replicas.filter("state = 'A'").select("name", F.concat("rse", F.lit("_Input")).alias("rse"), "bytes")
+    return files.join(sources, "name").select("block", "name", "rse", "bytes")
 
 
 def first_n_blocks(blocks: DataFrame, n: int = 3) -> DataFrame:

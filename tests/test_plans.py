@@ -1,10 +1,13 @@
 """Plans over stored catalogue tables: what reaches the scan, which joins are chosen."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from stowage.operators import capacity, integrity, invalidation, reconcile
+from stowage.operators import capacity, containers, integrity, invalidation, placement, reconcile
 from stowage.sources import lists, snapshots
+from stowage.sources.testtables import Catalogue
 
 
 @pytest.fixture(scope="module")
@@ -152,3 +155,25 @@ def test_levels_of_an_invalidation_shuffle_the_locks_once(spark, stored):
         assert len(scans) == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_views_over_orders_shuffle_their_rows_once(spark, no_broadcast):
+    c = Catalogue(spark, "/root/testdata/sf0.001")
+    assert "hashpartitioning(l_orderkey#" in plan(c.contents.filter("did_type = 'D'"))
+    assert not re.search(r"hashpartitioning\(l_orderkey#\d+L, l_partkey#", plan(c.contents.filter("did_type = 'D'")))
+    held = plan(c.locks.select("rule_id", "name").join(c.rules.select("rule_id"), "rule_id", "left_semi"))
+    assert held.count("Exchange hashpartitioning") == 2
+
+
+def test_sources_are_named_before_their_join(spark, stored, no_broadcast):
+    _, t = stored
+    text = plan(placement.source_copy_plan(t["contents"], t["replicas"])).splitlines()
+    line = lambda word: next(i for i, x in enumerate(text) if word in x)
+    assert line("SortMergeJoin") < line("_Input")
