@@ -192,9 +192,10 @@ def tape_hints(files: DataFrame, contents: DataFrame, sizes: DataFrame) -> DataF
 
     ``files`` is (name, bytes, md5, adler32, activity) and ``sizes`` all known files (name,
     bytes).  ``collocation_hints`` has the keys 0-3 that are known; a file of no known type
-    has key 0 only.  Runs jobs: only what lies under the files' containers is summed, level by level.
+    has key 0 only.  Runs jobs: the files' containers are stored, and only what lies under them is summed, level by level.
     """
-    parents = tape_parent(files, contents)
+    # stored, as the way down from the parents and the hints both ask for it: a row per file
+    parents = keep_table(tape_parent(files, contents), "parents")
     stats = stats_of(parents.select(F.col("parent").alias("name")), contents, sizes).select(
         F.col("name").alias("parent"), F.col("length").alias("parent_length"), F.col("size").alias("parent_size")
     )

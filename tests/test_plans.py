@@ -177,3 +177,11 @@ def test_sources_are_named_before_their_join(spark, stored, no_broadcast):
     text = plan(placement.source_copy_plan(t["contents"], t["replicas"])).splitlines()
     line = lambda word: next(i for i, x in enumerate(text) if word in x)
     assert line("SortMergeJoin") < line("_Input")
+
+
+def test_parents_of_tape_hints_are_found_once(spark, stored):
+    _, t = stored
+    files = t["replicas"].select("name", "bytes", F.lit("").alias("md5"), "adler32", F.lit(None).cast("string").alias("activity"))
+    out = containers.tape_hints(files, t["contents"], files.select("name", "bytes"))
+    assert any("/parents-" in f for f in out.inputFiles())
+    assert not any("/contents/" in f for f in out.inputFiles())
