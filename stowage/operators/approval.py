@@ -53,9 +53,10 @@ def autoapprove_locked(rules: DataFrame, locks: DataFrame) -> DataFrame:
 def request_rse_facts(request_rses: DataFrame, rses: DataFrame) -> DataFrame:
     """Facts on the endpoints of each request.  ``rses`` is (rse, rse_type, tier, cms_type,
     availability_write, requires_approval)."""
+    # the endpoints of a request as a set, which their number bounds: what follows needs no other shuffle by request
+    asked = request_rses.groupBy("request_id").agg(F.collect_set("rse").alias("at"))
     return (
-        request_rses.select("request_id", "rse")
-        .distinct()
+        asked.select("request_id", F.explode("at").alias("rse"))
         .join(rses, "rse")
         .groupBy("request_id")
         .agg(
@@ -69,7 +70,7 @@ def request_rse_facts(request_rses: DataFrame, rses: DataFrame) -> DataFrame:
     )
 
 
-def _with_early_reason(requests: DataFrame, facts: DataFrame, banned: DataFrame, max_lifetime: float) -> DataFrame:
+def with_early_reason(requests: DataFrame, facts: DataFrame, banned: DataFrame, max_lifetime: float = MAX_LIFETIME) -> DataFrame:
     """Requests with their facts, and ``early``: the first reason against one that needs no sizes."""
     early = (
         F.when(~F.coalesce("ask_approval", F.lit(False)), "ask_approval missing")
@@ -83,13 +84,24 @@ def _with_early_reason(requests: DataFrame, facts: DataFrame, banned: DataFrame,
     return known.withColumn("early", early)
 
 
-def names_to_size(requests: DataFrame, facts: DataFrame, banned: DataFrame, max_lifetime: float = MAX_LIFETIME) -> DataFrame:
-    """Names of the requests that come as far as the limits: only theirs need a size (``did_sizes``)."""
-    return _with_early_reason(requests, facts, banned, max_lifetime).filter("early IS NULL").select("name").distinct()
+def _judged(requests: DataFrame, facts: DataFrame | None, banned: DataFrame | None, max_lifetime: float) -> DataFrame:
+    if "early" in requests.columns:
+        return requests
+    return with_early_reason(requests, facts, banned, max_lifetime)
+
+
+def names_to_size(
+    requests: DataFrame, facts: DataFrame | None = None, banned: DataFrame | None = None, max_lifetime: float = MAX_LIFETIME
+) -> DataFrame:
+    """Names of the requests that come as far as the limits: only theirs need a size (``did_sizes``).
+
+    ``requests`` may be what ``with_early_reason`` gave; facts, banned accounts and lifetime are in it then.
+    """
+    return _judged(requests, facts, banned, max_lifetime).filter("early IS NULL").select("name").distinct()
 
 
 def rule_request_decision(
-    requests: DataFrame, facts: DataFrame, banned: DataFrame, sizes: DataFrame, usage: DataFrame, locked: DataFrame,
+    requests: DataFrame, facts: DataFrame | None, banned: DataFrame | None, sizes: DataFrame, usage: DataFrame, locked: DataFrame,
     max_lifetime: float = MAX_LIFETIME, max_single_rse: float = MAX_SINGLE_RSE,
     max_account: float = MAX_ACCOUNT, max_global: float = MAX_GLOBAL,
 ) -> DataFrame:
@@ -98,25 +110,28 @@ def rule_request_decision(
     ``requests`` has one row per request and name: request_id, position, name, account,
     rse_expression, ask_approval, locked, lifetime.  ``usage`` comes from
     ``autoapprove_usage`` and ``locked`` from ``autoapprove_locked`` (one row, read as a
-    scalar).  Limits are checked name by name in position order.
+    scalar).  Limits are checked name by name in position order.  Where ``requests`` is what ``with_early_reason`` gave
+    (stored, as the sizes ask for it too), facts, banned accounts and lifetime are in it.
     """
     per_account = usage.filter("whole_account = 1").select("account", F.col("bytes").alias("account_bytes"))
     per_rse = usage.filter("whole_account = 0").select("account", "rse_expression", F.col("bytes").alias("rse_bytes"))
     size, held = F.coalesce("size", F.lit(0)), lambda c: F.coalesce(c, F.lit(0))
     whole = locked.select("bytes").scalar()
     reason = (
-        F.when(F.col("early").isNotNull(), F.col("early"))
-        .when((F.col("n_writable") == 1) & (held("rse_bytes") + size > max_single_rse), "single endpoint usage exceeded")
+        F.when((F.col("n_writable") == 1) & (held("rse_bytes") + size > max_single_rse), "single endpoint usage exceeded")
         .when(held("account_bytes") + size > max_account, "account usage exceeded")
         .when(whole + size > max_global, "global usage exceeded")
     )
-    checked = (
-        _with_early_reason(requests, facts, banned, max_lifetime)
+    judged = _judged(requests, facts, banned, max_lifetime)
+    out = lambda df, why: df.select("request_id", "position", why.alias("reason"))
+    # only rows without an early reason travel to the sizes and the usage
+    checked = out(
+        judged.filter("early IS NULL")
         .join(sizes, "name", "left")
         .join(per_account, "account", "left")
-        .join(per_rse, ["account", "rse_expression"], "left")
-        .withColumn("reason", reason)
-    )
+        .join(per_rse, ["account", "rse_expression"], "left"),
+        reason,
+    ).unionByName(out(judged.filter("early IS NOT NULL"), F.col("early")))
     # min_by over failing rows only: the first name that fails decides
     return checked.groupBy("request_id").agg(
         F.coalesce(

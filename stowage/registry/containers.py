@@ -6,6 +6,7 @@ from ..operators import approval as ap
 from ..operators import containers as cont
 from ..operators import invalidation as inv
 from ..plans import actions as act
+from ..session import keep_table
 from . import capacity as reg_capacity
 from . import placement as reg_placement
 from . import registered
@@ -175,11 +176,13 @@ _SMALL = {"open": (9e6, 2e7, 1e16), "full": (9e6, 2e7, 1e3)}
 def _decisions(c, *each):
     """Decisions under ``each`` of the limits; what does not depend on them is worked out once."""
     requests = _requests(c).join(c.rules.select(F.col("rule_id").alias("request_id"), "name", "rse_expression"), "request_id")
-    facts, banned = _facts(c), c.accounts.filter("email IS NULL").select("account").distinct()
-    sizes = _sizes(c, ap.names_to_size(requests, facts, banned))
+    banned = c.accounts.filter("email IS NULL").select("account").distinct()
+    # the names to size are a job of their own: stored, so that facts and reasons are not worked out again after it
+    judged = keep_table(ap.with_early_reason(requests, _facts(c), banned), "judged")
+    sizes = _sizes(c, ap.names_to_size(judged))
     usage, locked = ap.autoapprove_usage(c.rules, sizes), ap.autoapprove_locked(c.rules, c.locks)
     named = [dict(zip(("max_single_rse", "max_account", "max_global"), limits)) for limits in each]
-    return [ap.rule_request_decision(requests, facts, banned, sizes, usage, locked, **n) for n in named]
+    return [ap.rule_request_decision(judged, None, None, sizes, usage, locked, **n) for n in named]
 
 
 @registered("rule_request_decision", f"WITH {_ASKING} {_decision_sql(50e12, 1e15, 1e16)}")

@@ -185,3 +185,11 @@ def test_parents_of_tape_hints_are_found_once(spark, stored):
     out = containers.tape_hints(files, t["contents"], files.select("name", "bytes"))
     assert any("/parents-" in f for f in out.inputFiles())
     assert not any("/contents/" in f for f in out.inputFiles())
+
+
+def test_early_reasons_are_found_once_and_only_open_requests_travel(spark, no_broadcast):
+    from stowage import registry
+
+    out = registry.queries()["rule_request_decision"](spark, "/root/testdata/sf0.001")
+    assert any("/judged-" in f for f in out.inputFiles())
+    assert "IsNull(early)" in plan(out) and "IsNotNull(early)" in plan(out)
