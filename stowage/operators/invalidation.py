@@ -108,14 +108,28 @@ def _rse_lists(held: DataFrame) -> DataFrame:
     return held.select("name", F.array_join(F.array_sort("at"), ";").alias("rses"))
 
 
-def _rules_on(held: DataFrame, locks: DataFrame) -> DataFrame:
-    """Distinct (rule, endpoint) of locks on existing replicas of the named files.
+def _locks_on(held: DataFrame, locks: DataFrame) -> DataFrame:
+    """(rule_id, rse) per lock on an existing replica of the named files.
 
     A lock without a rule is left out before the shuffle at every level: the levels that join the rules would ask for it
     there anyway, and a plan over several levels then shuffles the locks once.
     """
     found = locks.select("name", "rse", "rule_id").filter("rule_id IS NOT NULL").join(held, "name").filter(F.array_contains("at", F.col("rse")))
-    return found.select("rule_id", "rse").distinct()
+    return found.select("rule_id", "rse")
+
+
+def _rules_on(held: DataFrame, locks: DataFrame) -> DataFrame:
+    """Distinct (rule, endpoint) of locks on existing replicas of the named files."""
+    return _locks_on(held, locks).distinct()
+
+
+def _rule_sets_on(held: DataFrame, locks: DataFrame) -> DataFrame:
+    """(rule_id, at): the same with a rule's endpoints as a set, so that the rules join without another shuffle."""
+    return _locks_on(held, locks).groupBy("rule_id").agg(F.collect_set("rse").alias("at"))
+
+
+def _each_endpoint(sets: DataFrame) -> DataFrame:
+    return sets.select("rule_id", F.explode("at").alias("rse"))
 
 
 def invalidate_containers(
@@ -146,7 +160,7 @@ def invalidate_datasets(
     return {
         "files": _names_of(held),
         "replicas": _rse_lists(held),
-        "rules": _rules_on(held, locks).join(rules_by_did_type(rules, ("D", "F")).select("rule_id"), "rule_id", "left_semi"),
+        "rules": _each_endpoint(_rule_sets_on(held, locks).join(rules_by_did_type(rules, ("D", "F")).select("rule_id"), "rule_id", "left_semi")),
     }
 
 
@@ -158,11 +172,12 @@ def invalidate_files(
     to be tried again."""
     listed = _names(_members(names, contents, "file"))
     held = _held(listed, replicas)
-    touched = _rules_on(held, locks).join(rules.select("rule_id", "did_type", "state"), "rule_id")
+    # both lists of rules ask for the sets: without them it would be another shuffle
+    touched = _rule_sets_on(held, locks).filter(F.size("at") > 0)
     return {
         "replicas": listed.join(_rse_lists(held), "name", "left").select("name", F.coalesce("rses", F.lit("")).alias("rses")),
-        "rules": touched.filter(F.col("did_type") == "F").select("rule_id", "rse").distinct(),
-        "rules_stuck": rules_suspended(touched),
+        "rules": _each_endpoint(touched.join(rules_by_did_type(rules, ("F",)).select("rule_id"), "rule_id", "left_semi")),
+        "rules_stuck": touched.select("rule_id").join(rules_suspended(rules), "rule_id", "left_semi"),
     }
 
 

@@ -172,6 +172,16 @@ def test_views_over_orders_shuffle_their_rows_once(spark, no_broadcast):
     assert held.count("Exchange hashpartitioning") == 2
 
 
+def test_rules_of_an_invalidation_join_by_rule_without_a_second_shuffle(spark, stored, no_broadcast):
+    _, t = stored
+    tables = t["contents"], t["replicas"].select("name", "rse"), t["locks"].join(t["rses"].select("rse_id", "rse"), "rse_id")
+    by_file = invalidation.invalidate_files(t["replicas"].select("name"), *tables, t["rules"])
+    by_set = invalidation.invalidate_datasets(t["contents"].select("name"), *tables, t["rules"])
+    for df in (by_file["rules"], by_file["rules_stuck"], by_set["rules"]):
+        assert not re.search(r"hashpartitioning\(rule_id#\d+L, rse#", plan(df))
+        assert len(re.findall(r"Exchange hashpartitioning\(rule_id#", plan(df))) == 2
+
+
 def test_sources_are_named_before_their_join(spark, stored, no_broadcast):
     _, t = stored
     text = plan(placement.source_copy_plan(t["contents"], t["replicas"])).splitlines()
