@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep_table
+
 # One-letter states of the catalogue.
 REPLICA_AVAILABLE = "A"
 REPLICA_TEMPORARY_UNAVAILABLE = "T"
@@ -92,15 +94,21 @@ def _names(members: DataFrame) -> DataFrame:
 def _held(listed: DataFrame, replicas: DataFrame) -> DataFrame:
     """(name, at): the listed names that have a replica, with the set of their endpoints.
 
-    All lists are made from this one frame, in the same form, so that the tables are shuffled by name once and the
+    All lazy lists are made from this one frame, in the same form, so that the tables are shuffled by name once and the
     shuffles are used again; snapshots that are bucketed by name are not shuffled at all.
     """
     found = replicas.select("name", "rse").join(listed, "name", "left_semi")
     return found.groupBy("name").agg(F.collect_set("rse").alias("at"))
 
 
+def _store_held(listed: DataFrame, replicas: DataFrame) -> DataFrame:
+    """(name, at, held): the listed names, stored, with the set of their endpoints where they have a replica.  Runs a job."""
+    sets = listed.join(_held(listed, replicas), "name", "left")
+    return keep_table(sets.withColumn("held", F.col("at").isNotNull()), "held")
+
+
 def _names_of(held: DataFrame) -> DataFrame:
-    # asks for the sets, as all lists do: a frame without them would be another shuffle
+    # asks for the sets, as all lazy lists do: a frame without them would be another shuffle
     return held.filter(F.size("at") >= 0).select("name")
 
 
@@ -133,14 +141,30 @@ def _each_endpoint(sets: DataFrame) -> DataFrame:
 
 
 def invalidate_containers(
-    names: DataFrame, contents: DataFrame, replicas: DataFrame, locks: DataFrame
+    names: DataFrame, contents: DataFrame, replicas: DataFrame, locks: DataFrame, stored: bool = False
 ) -> dict[str, DataFrame]:
     """Lists for whole containers.  ``replicas`` and ``locks`` carry endpoint names.
 
     ``files``, ``replicas`` (file, ``;`` list), ``datasets``, ``rules`` (rule, endpoint).
     A file without any replica is left out of all four.
+
+    With ``stored`` the members and the files' sets of endpoints are worked out once and stored, which runs jobs; without
+    it the lists are lazy, and each builds the sets again.
     """
     members = _members(names, contents, "container")
+    if stored:
+        # both uses of the names ask for known files, so that they are shuffled once
+        members = keep_table(members, "members").filter("file IS NOT NULL")
+        found = _store_held(_names(members), replicas)
+        # mostly few: stored apart, so that their size is known before the members are shuffled to them
+        missing = keep_table(found.filter("NOT held").select(F.col("name").alias("file")), "missing")
+        held = found.filter("held")
+        return {
+            "files": held.select("name"),
+            "replicas": _rse_lists(held),
+            "datasets": members.join(missing, "file", "left_anti").select(F.col("dataset").alias("name")).distinct(),
+            "rules": _rules_on(held.select("name", "at"), locks),
+        }
     held = _held(_names(members), replicas)
     return {
         "files": _names_of(held),

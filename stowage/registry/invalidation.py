@@ -97,7 +97,7 @@ def _stack(lists):
 )
 def invalidate_containers(c):
     names = c.contents.filter("did_type = 'C'").select("name").distinct()
-    return _stack(inv.invalidate_containers(names, c.contents, replicas_named(c), locks_named(c)))
+    return _stack(inv.invalidate_containers(names, c.contents, replicas_named(c), locks_named(c), stored=True))
 
 
 @registered(

@@ -120,6 +120,23 @@ def test_invalidate_containers(spark, rows, catalogue):
     assert rows(out["rules"]) == [(1, "A_Disk"), (2, "A_Disk"), (3, "B_Tape")]
 
 
+def test_stored_lists_are_the_lazy_lists(spark, rows, catalogue):
+    """Also where files have no name, no replica or a replica without endpoint, and where a dataset's files are all missing."""
+    c = dict(catalogue)
+    more = [("/C", "/C#3", "C", "D"), ("/C", "/C#4", "C", "D"), ("/C", "/C#5", "C", "D"), ("/C#2", "f4", "D", "F"), ("/C#3", None, "D", "F"),
+            ("/C#4", "f5", "D", "F"), ("/C#5", "f3", "D", "F"), ("/C#5", "f2", "D", "F"), ("/C#5", None, "D", "F")]
+    c["contents"] = c["contents"].unionByName(spark.createDataFrame(more, c["contents"].schema))
+    c["replicas"] = c["replicas"].unionByName(spark.createDataFrame([("f5", None, "A"), (None, "A_Disk", "A"), ("f2", "A_Disk", "A")], c["replicas"].schema))
+    tables = c["contents"], c["replicas"], c["locks"]
+    for wanted in (names(spark, "/C", "/O", "/none"), names(spark, "/none")):
+        lazy = invalidation.invalidate_containers(wanted, *tables)
+        kept = invalidation.invalidate_containers(wanted, *tables, stored=True)
+        assert {k: rows(df) for k, df in kept.items()} == {k: rows(df) for k, df in lazy.items()}
+    whole = invalidation.invalidate_containers(names(spark, "/C"), *tables, stored=True)
+    assert rows(whole["datasets"]) == [("/C#1",), ("/C#4",), ("/C#5",)]
+    assert rows(whole["replicas"]) == [("f1", "A_Disk;B_Tape"), ("f2", "A_Disk"), ("f5", "")]
+
+
 def test_invalidate_datasets_and_files(spark, rows, catalogue):
     c = catalogue
     by_set = invalidation.invalidate_datasets(names(spark, "/C#1"), c["contents"], c["replicas"], c["locks"], c["rules"])
