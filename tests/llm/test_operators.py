@@ -76,6 +76,19 @@ def test_codes_and_index_of_every_row(spark):
     assert got == want and len(set(got.values())) > 20
 
 
+def test_quantiles_count_every_row(spark):
+    """Far more values than cells: the cuts stand at exact places, whatever rows a sample would draw."""
+    rng = random.Random(5)
+    rows = [(i, "t", f"{rng.randrange(10**6):07d}" if i % 3 else "hot" * (i % 2), rng.choice([None, rng.random(), 0.5])) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, url string, n double").repartition(4)
+    got = {r.doc_id: (r.a, r.b) for r in docs.select("doc_id", hilbert.quantile_code(docs, "url", 2).alias("a"), hilbert.quantile_code(docs, "n", 2).alias("b")).collect()}
+    texts, numbers = sorted(r[2] for r in rows), sorted(r[3] for r in rows if r[3] is not None)
+    text_cuts = [texts[len(texts) * i // 4] for i in range(1, 4)]
+    number_cuts = [numbers[math.ceil(len(numbers) * i / 4) - 1] for i in range(1, 4)]
+    code = lambda v, cuts: 0 if v is None else sum(c < v for c in cuts)
+    assert got == {i: (code(url, text_cuts), code(n, number_cuts)) for i, _, url, n in rows}
+
+
 @pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3)])
 def test_curve_has_no_jumps(spark, dims, bits):
     from pyspark.sql import functions as F
