@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from functools import reduce
-from operator import and_
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import split_scope
@@ -142,51 +140,43 @@ def integrity_upsert(old: DataFrame, results: DataFrame) -> DataFrame:
     there is one row per endpoint.  Rows that exist stay, so a second run changes nothing.
     Results with a column ``batch`` (number from 0) are those of several batches: the table is
     the one that the batches make one after the other.
+
+    Old rows and results are dealt once, by file of a request, or by the columns ``bucket`` and ``_part`` where the frames
+    carry them (which must follow from the file's name, and are handed on); all the rest happens within those groups.
     """
     cols = ["request_id", "scope", "lfn", "rse", "pfn", "status"]
-    several = "batch" in results.columns
+    place = [c for c in ("bucket", "_part") if c in old.columns]
+    file = [*place, "request_id", "lfn"]
+    number = F.col("batch") if "batch" in results.columns else F.lit(0)
+    blank = lambda kind="string": F.lit(None).cast(kind)
+    found = F.transform("replicas", lambda r: F.struct(r["rse"].alias("rse"), r["pfn"].alias("pfn"), F.coalesce(r["status"], F.lit(ERROR)).alias("status")))
     reported = (
         results.filter(F.coalesce(F.col("filename") != "", F.lit(False)))
         .withColumn("_did", split_scope("filename"))
-        .select("request_id", "_did.scope", F.col("_did.name").alias("lfn"), "error", "replicas", *["batch"] * several)
-    )
-    pending = F.col("status").eqNullSafe(PENDING)
-    done = reported.select("request_id", "lfn")
-    if several:
-        # one shuffle for all that is counted by file below
-        reported = reported.repartition("request_id", "lfn")
-        done = reported.groupBy("request_id", "lfn").agg(F.max("batch").alias("last"))
-    later = lambda rows: rows.join(done, ["request_id", "lfn"], "left_anti")
-    # only pending rows are looked up; all others pass without a shuffle
-    kept = old.filter(~pending).select(*cols).unionByName(later(old.filter(pending).select(*cols)))
-    blank = F.lit(None).cast("string")
-    row = ["request_id", "scope", "lfn", *["batch"] * several]
-    failed = reported.filter("error IS NOT NULL").select(
-        *row, blank.alias("rse"), blank.alias("pfn"), F.lit(ERROR).alias("status")
-    )
-    checked = (
-        reported.filter("error IS NULL")
-        .select(*row, F.explode("replicas").alias("r"))
-        .select(*row, "r.rse", "r.pfn", F.coalesce("r.status", F.lit(ERROR)).alias("status"))
-    )
-    # null-safe on the endpoint by two plain columns, so that the rows of the groups are joined where they are
-    keyed = lambda rows: rows.withColumn("at", F.coalesce("rse", F.lit(""))).withColumn("nowhere", F.col("rse").isNull())
-    key, endpoint = ["request_id", "lfn", "at", "nowhere"], F.when(~F.col("nowhere"), F.col("at")).alias("rse")
-    found = keyed(failed.unionByName(checked))
-    if several:
-        found = found.groupBy(*key, "batch").agg(F.min(F.struct("scope", "pfn", "status")).alias("_row")).select(*key, "batch", "_row.*")
-        # a new row that is pending itself goes with the next report of its file; of the others the first stays
-        own = (F.col("o.request_id") == F.col("d.request_id")) & (F.col("o.lfn") == F.col("d.lfn"))
-        still = found.filter(pending).alias("o").join(done.alias("d"), own & (F.col("d.last") > F.col("o.batch")), "left_anti")
-        found = found.filter(~pending).unionByName(still)
-    first = F.min(F.struct(*["batch"] * several, "scope", "pfn", "status")).alias("_row")
-    new = found.groupBy(*key).agg(first).select(*key, endpoint, "_row.scope", "_row.pfn", "_row.status")
-    k, n = keyed(kept).alias("k"), new.alias("n")
-    same = reduce(and_, (F.col(f"k.{c}") == F.col(f"n.{c}") for c in key))
-    # an old row wins over the new one of its key; one outer join does both
-    old_row = F.col("k.request_id").isNotNull()
-    pick = lambda c: F.when(old_row, F.col(f"k.{c}")).otherwise(F.col(f"n.{c}")).alias(c)
-    return k.join(n, same, "full_outer").select(*[pick(c) for c in cols])
+        .select(
+            *place, "request_id", "_did.scope", F.col("_did.name").alias("lfn"), number.cast("bigint").alias("batch"),
+            blank().alias("rse"), blank().alias("pfn"), F.when(F.col("error").isNotNull(), ERROR).alias("status"),
+            F.when(F.col("error").isNull(), found).alias("found"),
+        )
+    )
+    # old rows are those of a batch before all others
+    before = old.select(*place, *cols, F.lit(-1).cast("bigint").alias("batch"), blank(reported.schema["found"].dataType).alias("found"))
+    dealt = before.unionByName(reported).repartition(*(place or file))
+    is_old = F.col("batch") < 0
+    own = F.array(F.struct("rse", "pfn", "status"))
+    each = F.explode(F.when(is_old | F.col("status").isNotNull(), own).otherwise(F.col("found"))).alias("r")
+    last = F.max("batch").over(Window.partitionBy(*file))
+    rows = dealt.withColumn("last", last).select(*file, "scope", "batch", "last", each).select(*file, "scope", "batch", "last", "r.*")
+    # a name that is null is that of no other row: it keeps old rows apart from new ones
+    named = F.col("request_id").isNotNull() & F.col("lfn").isNotNull()
+    rows = rows.withColumn("apart", is_old & ~named)
+    key = [*file, "rse", "apart"]
+    place_in_batch = F.row_number().over(Window.partitionBy(*key, "batch").orderBy("scope", "pfn", "status"))
+    one = rows.withColumn("n", place_in_batch).filter(is_old | (F.col("n") == 1))
+    # a pending row goes with the next report of its file; of the others the first batch's stay, an old row before all
+    gone = F.col("status").eqNullSafe(PENDING) & named & (F.col("last") > F.col("batch"))
+    first = F.min("batch").over(Window.partitionBy(*key))
+    return one.filter(~gone).withColumn("first", first).filter(F.col("batch") == F.col("first")).select(*cols, *place)
 
 
 # --- checks on content ---------------------------------------------------------------

@@ -8,7 +8,7 @@ from ..operators import integrity as itg
 from ..operators import quality as q
 from ..operators import records as recs
 from ..operators import requests as rq
-from ..session import keep_table, scratch_path
+from ..session import drop_path, scratch_path
 from ..streaming import streams as st
 from ..streaming import upserts as up
 from . import registered
@@ -273,15 +273,17 @@ def _(c):
     """Results that arrive in batches, each delivered twice, go into a stored table."""
     path = scratch_path(c.spark, "integrity")
     old = c.int_replicas.select("request_id", "scope", "lfn", "rse", "pfn", "status")
-    replicas = up.UpsertTable(f"{path}/table", "lfn", ", ".join(f"{n} {t}" for n, t in old.dtypes), buckets=32)
+    replicas = up.UpsertTable(f"{path}/table", "lfn", ", ".join(f"{n} {t}" for n, t in old.dtypes), buckets=32, placed=True)
     replicas.create(old)
-    results = keep_table(_results(c), "reported")
-    for _ in range(2):
-        results.write.mode("append").parquet(f"{path}/results")
+    results = _results(c)
+    results.write.parquet(f"{path}/results")
+    c.spark.read.schema(results.schema).parquet(f"{path}/results").write.mode("append").parquet(f"{path}/results")
     stream = st.read_stream(c.spark, f"{path}/results", "*.parquet", results.schema, files_a_batch=6)
     name = itg.split_scope("filename")["name"]
     sink = up.upsert_sink(stream, replicas, name, itg.integrity_upsert, several=True)
     sink.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    # what has arrived is in the table's log
+    drop_path(c.spark, f"{path}/results")
     replicas.fold(c.spark, results.schema, name, itg.integrity_upsert)
     return replicas.stored(c.spark)
 

@@ -30,12 +30,17 @@ FOLD_AT = 4
 
 @dataclass(frozen=True)
 class UpsertTable:
-    """``key``: the column whose hash deals rows into ``buckets``; ``schema``: of the rows, as DDL."""
+    """``key``: the column whose hash deals rows into ``buckets``; ``schema``: of the rows, as DDL.
+
+    ``placed``: merges get both frames with the columns ``bucket`` and ``_part`` (a part of a bucket, by another hash of the
+    key), deal rows by them and hand them on; what comes out is then written where it is, without another shuffle.
+    """
 
     path: str
     key: str
     schema: str
     buckets: int = 256
+    placed: bool = False
 
     def bucket(self, key: Column) -> Column:
         """A null key has the bucket of an empty text, as it must not get lost."""
@@ -66,8 +71,21 @@ class UpsertTable:
         return rows.filter(reduce(lambda a, b: a | b, wanted, F.lit(False))).drop("batch", "bucket")
 
     def write(self, rows: DataFrame, number: int) -> None:
-        dealt = rows.withColumn("bucket", self.bucket(F.col(self.key)))
-        dealt.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={number}")
+        if "_part" in rows.columns:
+            dealt = rows.drop("_part")
+        else:
+            dealt = rows.withColumn("bucket", self.bucket(F.col(self.key))).repartition("bucket")
+        dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={number}")
+
+    def _merged(self, spark: SparkSession, touched: list[int], changes: DataFrame, key: Column, merge: Callable) -> DataFrame:
+        old = self.stored(spark, touched)
+        if not self.placed:
+            return merge(old, changes)
+        # as many parts as give each task of a shuffle its own
+        parts = F.lit(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets))
+        part = lambda k: F.pmod(F.xxhash64(F.lit(7), F.coalesce(k.cast("string"), F.lit(""))), parts).cast("int")
+        place = lambda rows, k: rows.withColumns({"bucket": self.bucket(k), "_part": part(k)})
+        return merge(place(old, F.col(self.key)), place(changes, key))
 
     def create(self, rows: DataFrame) -> None:
         """First contents, as batch -1.  Does nothing if they are there."""
@@ -83,7 +101,7 @@ class UpsertTable:
             raise ValueError("batches wait in the log: fold them first")
         touched = [r[0] for r in changes.select(self.bucket(key).alias("b")).distinct().collect()]
         if touched:
-            self.write(merge(self.stored(spark, touched), changes), number)
+            self.write(self._merged(spark, touched, changes, key, merge), number)
 
     def keep_batch(self, changes: DataFrame, number: int, key: Column, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         """Add a batch to the log; nothing if it is there or merged.  ``merge`` must take the changes of several batches,
@@ -107,7 +125,7 @@ class UpsertTable:
         changes = spark.read.schema(whole).option("basePath", log).parquet(*(f"{log}/batch={n}" for n in numbers))
         touched = [r[0] for r in changes.select(self.bucket(key).alias("b")).distinct().collect()]
         if touched:
-            self.write(merge(self.stored(spark, touched), changes), numbers[-1])
+            self.write(self._merged(spark, touched, changes, key, merge), numbers[-1])
 
     def vacuum(self, spark: SparkSession) -> None:
         """Drop buckets that a newer finished batch has replaced.  No reader may be on its way in an older form.

@@ -175,6 +175,29 @@ def test_waiting_batches_do_not_write_the_table(spark, tmp_path):
     assert table.waiting(spark) == []
 
 
+def test_placed_merge_shuffles_once(spark, tmp_path):
+    """Old rows and log meet in one shuffle, which serves the write: the same table as without places, null names too."""
+    rng = random.Random(9)
+    first = [(rng.choice("ab"), "cms", rng.choice(["f1", "f2", "f3", None]), rng.choice(["X", None]), "p", rng.choice(["pending", "OK"])) for _ in range(20)]
+    batches = [some_results(rng) or [("a", "f1", None, [])] for _ in range(3)]
+    name, seen, plans = F.regexp_replace("filename", "^cms:", ""), [], []
+
+    def merge(old, changes):
+        out = integrity_upsert(old, changes)
+        plans.append(out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return out
+
+    for placed in (False, True):
+        table = up.UpsertTable(str(tmp_path / f"table{placed}"), "lfn", REPLICA, buckets=3, placed=placed)
+        table.create(spark.createDataFrame(first, REPLICA))
+        for k, batch in enumerate(batches):
+            table.keep_batch(spark.createDataFrame(batch, RESULT), k, name, merge)
+        table.fold(spark, spark.createDataFrame([], RESULT).schema, name, merge)
+        seen.append(content(spark, table))
+    assert seen[0] == seen[1] and plans == [1] * len(plans)
+    assert "_part" not in table.stored(spark).columns
+
+
 def test_a_long_log_is_folded(spark, tmp_path):
     table = up.UpsertTable(str(tmp_path / "table"), "name", SCHEMA, buckets=1)
     table.create(spark.createDataFrame([("hot", 5, 1)], SCHEMA))
