@@ -189,17 +189,27 @@ def invalidate_datasets(
 
 
 def invalidate_files(
-    names: DataFrame, contents: DataFrame, replicas: DataFrame, locks: DataFrame, rules: DataFrame
+    names: DataFrame, contents: DataFrame, replicas: DataFrame, locks: DataFrame, rules: DataFrame, stored: bool = False
 ) -> dict[str, DataFrame]:
     """Lists for single files.  A listed file that is in a dataset stays in ``replicas``
     with an empty list when it has no replica.  File-level rules go; suspended rules are
-    to be tried again."""
+    to be tried again.
+
+    With ``stored`` the listed names, their sets of endpoints and the sets of the rules on them are stored one after the
+    other, which runs jobs: what the tables shuffle on the way is then held for one step at a time.
+    """
     listed = _names(_members(names, contents, "file"))
-    held = _held(listed, replicas)
-    # both lists of rules ask for the sets: without them it would be another shuffle
-    touched = _rule_sets_on(held, locks).filter(F.size("at") > 0)
+    if stored:
+        found = _store_held(keep_table(listed, "listed"), replicas)
+        lists = _rse_lists(found).select("name", F.coalesce("rses", F.lit("")).alias("rses"))
+        touched = keep_table(_rule_sets_on(found.filter("held").select("name", "at"), locks), "touched")
+    else:
+        held = _held(listed, replicas)
+        lists = listed.join(_rse_lists(held), "name", "left").select("name", F.coalesce("rses", F.lit("")).alias("rses"))
+        # both lists of rules ask for the sets: without them it would be another shuffle
+        touched = _rule_sets_on(held, locks).filter(F.size("at") > 0)
     return {
-        "replicas": listed.join(_rse_lists(held), "name", "left").select("name", F.coalesce("rses", F.lit("")).alias("rses")),
+        "replicas": lists,
         "rules": _each_endpoint(touched.join(rules_by_did_type(rules, ("F",)).select("rule_id"), "rule_id", "left_semi")),
         "rules_stuck": touched.select("rule_id").join(rules_suspended(rules), "rule_id", "left_semi"),
     }

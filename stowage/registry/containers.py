@@ -303,9 +303,11 @@ def _(c):
 def _(c):
     names = c.contents.filter("did_type = 'C'").select("name").distinct()
     replicas, locks = replicas_named(c), locks_named(c)
-    whole = inv.invalidate_containers(names, c.contents, replicas, locks)
+    # step by step, each stored: the shuffles of all steps at once are many times the tables
+    whole = inv.invalidate_containers(names, c.contents, replicas, locks, stored=True)
+    whole |= {step: keep_table(whole[step], step) for step in ("datasets", "rules")}
     files = c.files.select("name")
-    single = inv.invalidate_files(files, c.contents, replicas, locks, c.rules)
+    single = inv.invalidate_files(files, c.contents, replicas, locks, c.rules, stored=True)
     plans = {
         "global": act.invalidation_plan_by_mode("global", "container", names, whole, "lost", erase=True),
         "catalogue-only": act.invalidation_plan_by_mode("catalogue-only", "container", names, whole, "lost"),

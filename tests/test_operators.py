@@ -132,6 +132,10 @@ def test_stored_lists_are_the_lazy_lists(spark, rows, catalogue):
         lazy = invalidation.invalidate_containers(wanted, *tables)
         kept = invalidation.invalidate_containers(wanted, *tables, stored=True)
         assert {k: rows(df) for k, df in kept.items()} == {k: rows(df) for k, df in lazy.items()}
+    for wanted in (names(spark, "f1", "f1", "f3", "f5", "f9", "unknown"), names(spark, "unknown")):
+        lazy = invalidation.invalidate_files(wanted, *tables, c["rules"])
+        kept = invalidation.invalidate_files(wanted, *tables, c["rules"], stored=True)
+        assert {k: rows(df) for k, df in kept.items()} == {k: rows(df) for k, df in lazy.items()}
     whole = invalidation.invalidate_containers(names(spark, "/C"), *tables, stored=True)
     assert rows(whole["datasets"]) == [("/C#1",), ("/C#4",), ("/C#5",)]
     assert rows(whole["replicas"]) == [("f1", "A_Disk;B_Tape"), ("f2", "A_Disk"), ("f5", "")]

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from stowage import registry
 from stowage.operators import capacity, containers, integrity, invalidation, placement, reconcile
 from stowage.sources import lists, snapshots
 from stowage.sources.testtables import Catalogue
@@ -221,3 +222,10 @@ def test_members_are_not_shuffled_to_the_few_files_without_a_replica(spark, stor
     assert out["datasets"].count() == 1999
     assert "LeftAnti, BuildRight" in plan(out["datasets"])
     assert "hashpartitioning(file#" not in plan(out["datasets"])
+
+
+def test_plan_by_mode_is_made_of_stored_steps(spark):
+    """Locks and contents are not shuffled beside each other in one plan: only the last replicas are looked up there."""
+    out = registry.queries()["invalidation_plan_by_mode"](spark, "/root/testdata/sf0.001")
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan(out).split("== Initial Plan ==")[0])
+    assert sum("l_partkey" in s for s in scans) == 1 and not any("l_orderkey" in s for s in scans)
