@@ -276,23 +276,46 @@ def dataset_summary(files: DataFrame, replicas: DataFrame) -> tuple[DataFrame, D
         F.coalesce(F.sum("events"), F.lit(0)).alias("events"),
     )
     whole = totals(files, "dataset").withColumn("size", human_size_si("bytes"))
-    there = replicas.filter("state = 'A'").select("name", "rse")
-    each = lambda rows: totals(rows.withColumn("rse", F.explode("at")), "dataset", "rse")
-    small, large = _at_datasets(files, there)
-    return whole, each(small).unionByName(each(large))
+    small, large, names = _at_datasets(files, replicas.filter("state = 'A'").select("name", "rse"))
+    each = lambda rows: totals(rows.withColumn("code", F.explode("at")), "dataset", "code")
+    both = each(small).unionByName(each(large))
+    return whole, both.select("dataset", F.get(names, "code").alias("rse"), "file_count", "bytes", "events")
 
 
-def _at_datasets(files: DataFrame, there: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``files`` (dataset, name, ...) with ``at``: the list of their endpoints in ``there`` (name, rse), one entry a replica.
+def _endpoint_codes(there: DataFrame) -> tuple[DataFrame, Column]:
+    """``there`` (name, rse) as (name, high, low): a row per name with the numbers of its endpoints; and the names of the numbers.
+
+    The names are one sorted array, a value no longer than a row that lists all endpoints.  A number goes as 8 high and
+    16 low bits in arrays of their own: 3 bytes, where a name takes some 8 even after compression.  Runs jobs: rows, names
+    and sets are stored.
+    """
+    known = keep_table(there, "there")
+    names = keep_table(known.select("rse").distinct().agg(F.array_sort(F.collect_list("rse")).alias("names")), "endpoints")
+    codes = names.select(F.posexplode("names").alias("code", "rse"))
+    sets = known.join(codes, "rse", "left").groupBy("name").agg(F.array_sort(F.collect_list("code")).alias("codes"))
+    high = F.transform("codes", lambda c: F.shiftright(c, 16).cast("tinyint"))
+    low = F.transform("codes", lambda c: (c.bitwiseAND(0xFFFF) - 0x8000).cast("smallint"))
+    return keep_table(sets.select("name", high.alias("high"), low.alias("low")), "sets"), names.scalar()
+
+
+def _at_datasets(files: DataFrame, there: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """``files`` (dataset, name, ...) with ``at``: the numbers of their endpoints in ``there`` (name, rse), one entry a replica.
 
     A file travels to its dataset once, with that list, and becomes a row per endpoint only there: the first frame has the
-    rows of a dataset in one task.  The second has the datasets of more than ``LARGE_DATASET`` files, as they come.  Their
-    names are stored, so that Spark knows how few they are; this runs a job.
+    rows of a dataset in one task, and four times the tasks of a shuffle, as its rows become many.  The second has the datasets
+    of more than ``LARGE_DATASET`` files, as they come.  Third are the names of the numbers, as an array.  The names of large
+    datasets are stored, so that Spark knows how few they are, and so are the lists: this runs jobs, whose shuffles are gone
+    before the files travel.
     """
-    held = files.join(there.groupBy("name").agg(F.collect_list("rse").alias("at")), "name")
+    sets, names = _endpoint_codes(there)
     counts = files.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
     large = keep_table(counts.filter(F.col("n") > LARGE_DATASET).select("dataset"), "large")
-    return held.join(large, "dataset", "left_anti").repartition("dataset"), held.join(large, "dataset", "left_semi")
+    held = files.join(sets, "name").drop("name")
+    tasks = 4 * int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = F.zip_with("high", "low", lambda h, l: h.cast("int") * 0x10000 + l.cast("int") + 0x8000)
+    numbered = lambda rows: rows.withColumn("at", at).drop("high", "low")
+    small = held.join(large, "dataset", "left_anti").repartition(tasks, "dataset")
+    return numbered(small), numbered(held.join(large, "dataset", "left_semi")), names
 
 
 def block_replica_nodes(contents: DataFrame, replicas: DataFrame) -> DataFrame:
@@ -300,11 +323,10 @@ def block_replica_nodes(contents: DataFrame, replicas: DataFrame) -> DataFrame:
     files = contents.filter("did_type = 'D' AND child_type = 'F'").select(
         F.col("name").alias("dataset"), F.col("child_name").alias("name")
     )
-    there = replicas.filter("state = 'A'").select("name", "rse")
-    small, large = _at_datasets(files, there)
-    few = small.groupBy("dataset").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("rses"))
-    many = large.select("dataset", F.explode("at").alias("rse")).groupBy("dataset").agg(F.collect_set("rse").alias("rses"))
-    return few.unionByName(many).select(F.col("dataset").alias("block"), F.array_sort("rses").alias("rses"))
+    small, large, names = _at_datasets(files, replicas.filter("state = 'A'").select("name", "rse"))
+    held = lambda rows: rows.select("dataset", F.explode_outer("at").alias("code")).select("dataset", F.get(names, "code").alias("rse"))
+    sets = lambda rows: held(rows).groupBy("dataset").agg(F.collect_set("rse").alias("rses"))
+    return sets(small).unionByName(sets(large)).select(F.col("dataset").alias("block"), F.array_sort("rses").alias("rses"))
 
 
 def blocks_in_container(contents: DataFrame, containers: DataFrame) -> DataFrame:

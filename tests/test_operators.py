@@ -727,3 +727,22 @@ def test_files_travel_to_their_dataset_once(spark, rows, monkeypatch):
     # no shuffle by endpoint for datasets of ordinary size: each endpoint row is made after the file has arrived
     plan = by_rse._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode(at") < plan.index("RepartitionByExpression [dataset")
+
+
+def test_endpoint_lists_travel_as_numbers(spark):
+    """Also numbers of more than 16 bits come back as their names, and a file without a known endpoint leaves its block empty."""
+    ends = spark.range(70_000).select(F.format_string("r%06d", "id").alias("rse"), "id")
+    replicas = ends.filter("id % 3 = 0").select(F.lit("f0").alias("name"), "rse").unionByName(ends.filter("id >= 69990").select(F.lit("f1").alias("name"), "rse"))
+    replicas = replicas.unionByName(spark.createDataFrame([("f2", None)], "name string, rse string")).withColumn("state", F.lit("A"))
+    edges = spark.createDataFrame([("d0", "f0"), ("d0", "f1"), ("d1", "f1"), ("d2", "f2"), ("d3", "f3")], "name string, child_name string")
+    out = capacity.block_replica_nodes(edges.selectExpr("*", "'D' AS did_type", "'F' AS child_type"), replicas)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("zip_with(high") < plan.index("RepartitionByExpression [dataset") and "collect_list(rse" not in plan
+    last = {f"r{i:06d}" for i in range(69990, 70000)}
+    whole = {r["block"]: r["rses"] for r in out.collect()}
+    assert whole == {"d0": sorted(last | {f"r{i:06d}" for i in range(0, 70000, 3)}), "d1": sorted(last), "d2": []}
+    files = edges.selectExpr("name AS dataset", "child_name AS name", "10L AS bytes", "1L AS events")
+    by_rse = capacity.dataset_summary(files, replicas)[1]
+    assert {r["rse"]: tuple(r)[2:] for r in by_rse.filter("dataset = 'd0' AND rse >= 'r069990'").collect()} == {
+        r: ((2, 20, 2) if int(r[1:]) % 3 == 0 else (1, 10, 1)) for r in last
+    }
